@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featward.functions.compare import any_of, differs
-from featward.functions.names import as_list, positional, positions
+from featward.functions.compare import any_of, differs, sql_text
+from featward.functions.names import as_list, positional, positions, quoted
 from featward.operators.align import align_columns
 
 CELL = "struct<column_name:string,original_value:string,new_value:string>"
@@ -40,22 +38,21 @@ class _Pair:
         return [f"k{i}" for i in range(len(self.key))]
 
     @property
-    def key_out(self) -> list[Column]:
-        return [F.col(i).alias(name) for i, name in zip(self.key_ids, self.key)]
+    def key_out(self) -> list[str]:
+        return [f"{i} AS {quoted(name)}" for i, name in zip(self.key_ids, self.key)]
 
-    def _has_key(self) -> Column:
-        return reduce(and_, [F.col(k).isNotNull() for k in self.key_ids])
+    @property
+    def _has_key(self) -> str:
+        return " AND ".join(f"{k} IS NOT NULL" for k in self.key_ids)
 
     def matched(self) -> DataFrame:
-        keyed = self._has_key()
-        return self.original.filter(keyed).join(self.new.filter(keyed), self.key_ids, "inner")
+        original, new = self.original.filter(self._has_key), self.new.filter(self._has_key)
+        return original.join(new, self.key_ids, "inner")
 
     def _only(self, side: DataFrame, other: DataFrame) -> DataFrame:
-        keyed = self._has_key()
-        unmatched = side.filter(keyed).join(
-            other.filter(keyed).select(*self.key_ids), self.key_ids, "left_anti"
-        )
-        return unmatched.unionAll(side.filter(~keyed))
+        other_keys = other.filter(self._has_key).select(*self.key_ids)
+        unmatched = side.filter(self._has_key).join(other_keys, self.key_ids, "left_anti")
+        return unmatched.unionAll(side.filter(f"NOT ({self._has_key})"))
 
     def only_original(self) -> DataFrame:
         return self._only(self.original, self.new)
@@ -63,11 +60,11 @@ class _Pair:
     def only_new(self) -> DataFrame:
         return self._only(self.new, self.original)
 
-    def changes(self, null_safe: bool) -> list[Column]:
+    def changes(self, null_safe: bool) -> list[str]:
         """Per compared column: do the matched rows differ in it?"""
         return [
-            differs(F.col(f"o{i}"), F.col(f"n{i}"), o, n, null_safe)
-            for i, (o, n) in enumerate(zip(self.original_types, self.new_types))
+            differs(f"o{i}", f"n{i}", old, new, null_safe)
+            for i, (old, new) in enumerate(zip(self.original_types, self.new_types))
         ]
 
     def refuse_products(self) -> None:
@@ -75,16 +72,15 @@ class _Pair:
 
         Reads the key columns only; copies are counted before the shuffle.
         """
-        keyed, one, none = self._has_key(), F.lit(1), F.lit(0)
+        one, none = F.lit(1), F.lit(0)
+        original = self.original.select(*self.key_ids, one.alias("original"), none.alias("new"))
+        new = self.new.select(*self.key_ids, none.alias("original"), one.alias("new"))
         worst = (
-            self.original.filter(keyed)
-            .select(*self.key_ids, one.alias("original"), none.alias("new"))
-            .unionAll(
-                self.new.filter(keyed).select(*self.key_ids, none.alias("original"), one.alias("new"))
-            )
+            original.unionAll(new)
+            .filter(self._has_key)
             .groupBy(*self.key_ids)
             .agg(F.sum("original").alias("original"), F.sum("new").alias("new"))
-            .filter((F.col("original") > 1) & (F.col("new") > 1))
+            .filter("original > 1 AND new > 1")
             .agg(F.max_by(F.struct("*"), F.least("original", "new")))
             .first()[0]
         )
@@ -109,10 +105,8 @@ def _pair(
     new_at = positions(new.columns, columns, "new")
 
     def side(df: DataFrame, keys: list[int], values: list[int], prefix: str) -> DataFrame:
-        return positional(df, "c").select(
-            *[F.col(f"c{p}").alias(f"k{i}") for i, p in enumerate(keys)],
-            *[F.col(f"c{p}").alias(f"{prefix}{i}") for i, p in enumerate(values)],
-        )
+        names = [f"k{i}" for i in range(len(keys))] + [f"{prefix}{i}" for i in range(len(values))]
+        return positional(df, "c").select(*[f"c{p}" for p in [*keys, *values]]).toDF(*names)
 
     pair = _Pair(
         key,
@@ -127,40 +121,47 @@ def _pair(
     return pair
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
+def _text(column: str) -> str:
+    return f"CAST({column} AS STRING)"
+
+
+def _sides(prefix: str, i: int, nothing: str) -> tuple[str, str]:
+    """Old and new text of a value that only one side has."""
+    value = _text(f"{prefix}{i}")
+    return (value, nothing) if prefix == "o" else (nothing, value)
+
+
+def _cell_if(condition: str, name: str, old: str, new: str) -> str:
+    cell = f"named_struct('column_name', {sql_text(name)}, 'original_value', {old}, 'new_value', {new})"
+    return f"IF({condition}, {cell}, NULL)"
 
 
-def _cell(name: str, old: Column, new: Column) -> Column:
-    return F.struct(
-        F.lit(name).alias("column_name"), old.alias("original_value"), new.alias("new_value")
-    ).cast(CELL)
+def _cells(cells: list[str]) -> str:
+    return f"CAST(array({', '.join(cells)}) AS array<{CELL}>)"
 
 
 def _changed_cells(pair: _Pair, null_safe: bool) -> DataFrame:
     """One row per differing cell of the matched rows; equal rows stop at the join condition."""
     changes = pair.changes(null_safe)
     cells = [
-        F.when(change, _cell(name, _text(F.col(f"o{i}")), _text(F.col(f"n{i}"))))
+        _cell_if(change, name, _text(f"o{i}"), _text(f"n{i}"))
         for i, (name, change) in enumerate(zip(pair.columns, changes))
     ]
     return (
         pair.matched()
         .filter(any_of(changes))
-        .select(*pair.key_out, F.inline(F.array(*cells).cast(f"array<{CELL}>")))
-        .filter(F.col("column_name").isNotNull())
+        .selectExpr(*pair.key_out, f"inline({_cells(cells)})")
+        .filter("column_name IS NOT NULL")
     )
 
 
 def _one_sided_cells(pair: _Pair, side: DataFrame, prefix: str) -> DataFrame:
     """One row per value of the rows of one side; a row without any value still gives one line."""
-    cells = []
-    for i, name in enumerate(pair.columns):
-        value, nothing = _text(F.col(f"{prefix}{i}")), F.lit(None).cast("string")
-        old, new = (value, nothing) if prefix == "o" else (nothing, value)
-        cells.append(F.when(F.col(f"{prefix}{i}").isNotNull(), _cell(name, old, new)))
-    present = F.array_compact(F.array(*cells).cast(f"array<{CELL}>"))
-    return side.select(*pair.key_out, F.inline_outer(present))
+    cells = [
+        _cell_if(f"{prefix}{i} IS NOT NULL", name, *_sides(prefix, i, "CAST(NULL AS STRING)"))
+        for i, name in enumerate(pair.columns)
+    ]
+    return side.selectExpr(*pair.key_out, f"inline_outer(array_compact({_cells(cells)}))")
 
 
 def diff_cells(
@@ -206,23 +207,15 @@ def diff_flags(
     A NULL on either side, or a missing row, reads SAME.
     """
     pair = _pair(original, new, key, [column], duplicates)
-    old_type, new_type = pair.original_types[0], pair.new_types[0]
-    different = pair.changes(null_safe=False)[0]
-    flag = F.when(different, "DIFFERENT").otherwise("SAME")
-    matched = pair.matched().select(
-        *pair.key_out, F.col("o0").alias("original_value"), F.col("n0").alias("new_value"), flag.alias("diff")
+    old_type, new_type = pair.original_types[0].simpleString(), pair.new_types[0].simpleString()
+    (different,) = pair.changes(null_safe=False)
+    flag = f"IF({different}, 'DIFFERENT', 'SAME') AS diff"
+    matched = pair.matched().selectExpr(*pair.key_out, "o0 AS original_value", "n0 AS new_value", flag)
+    removed = pair.only_original().selectExpr(
+        *pair.key_out, "o0 AS original_value", f"CAST(NULL AS {new_type}) AS new_value", "'SAME' AS diff"
     )
-    removed = pair.only_original().select(
-        *pair.key_out,
-        F.col("o0").alias("original_value"),
-        F.lit(None).cast(new_type).alias("new_value"),
-        F.lit("SAME").alias("diff"),
-    )
-    added = pair.only_new().select(
-        *pair.key_out,
-        F.lit(None).cast(old_type).alias("original_value"),
-        F.col("n0").alias("new_value"),
-        F.lit("SAME").alias("diff"),
+    added = pair.only_new().selectExpr(
+        *pair.key_out, f"CAST(NULL AS {old_type}) AS original_value", "n0 AS new_value", "'SAME' AS diff"
     )
     return matched.unionAll(removed).unionAll(added)
 
@@ -247,33 +240,27 @@ def diff_report(
     pair = _pair(original, new, key, [c for c in original.columns if c not in key], duplicates)
     head = pair.key_out if include_key else []
 
-    def entry(name: str, old: Column, now: Column) -> Column:
-        return F.concat(F.lit(f"{name}: "), old, F.lit(" -> "), now)
+    def listed(entries: list[str]) -> str:
+        return f"concat_ws({', '.join([sql_text(', '), *entries])}) AS differences"
+
+    def entry(name: str, old: str, now: str) -> str:
+        return f"concat({sql_text(name + ': ')}, {old}, ' -> ', {now})"
 
-    def shown(column: Column) -> Column:
-        return F.coalesce(_text(column), F.lit("NULL"))
+    def shown(column: str) -> str:
+        return f"coalesce({_text(column)}, 'NULL')"
 
     changes = pair.changes(null_safe)
-    listed = F.concat_ws(
-        ", ",
-        *[
-            F.when(change, entry(name, shown(F.col(f"o{i}")), shown(F.col(f"n{i}"))))
-            for i, (name, change) in enumerate(zip(pair.columns, changes))
-        ],
-    )
-    changed = pair.matched().filter(any_of(changes)).select(*head, listed.alias("differences"))
+    entries = [
+        f"IF({change}, {entry(name, shown(f'o{i}'), shown(f'n{i}'))}, NULL)"
+        for i, (name, change) in enumerate(zip(pair.columns, changes))
+    ]
+    changed = pair.matched().filter(any_of(changes)).selectExpr(*head, listed(entries))
     if not null_safe:
         return changed
 
     def one_sided(side: DataFrame, prefix: str, change: str) -> DataFrame:
-        entries = []
-        for i, name in enumerate(pair.columns):
-            value, nothing = _text(F.col(f"{prefix}{i}")), F.lit("NULL")
-            old, now = (value, nothing) if prefix == "o" else (nothing, value)
-            entries.append(entry(name, old, now))
-        return side.select(
-            *head, F.concat_ws(", ", *entries).alias("differences"), F.lit(change).alias("change")
-        )
+        values = [entry(name, *_sides(prefix, i, "'NULL'")) for i, name in enumerate(pair.columns)]
+        return side.selectExpr(*head, listed(values), f"'{change}' AS change")
 
     return (
         changed.withColumn("change", F.lit("changed"))

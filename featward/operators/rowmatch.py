@@ -6,30 +6,25 @@ and never multiply, and each distinct row is reported once with its number of co
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featward.functions.names import positional
+from featward.functions.compare import any_of
+from featward.functions.names import positional, quoted
 from featward.operators.align import align_columns
+from featward.operators.positional import compare_positional
 
 
-def _ids(columns: list[str]) -> list[str]:
-    return [f"c{i}" for i in range(len(columns))]
-
-
-def _counted(a: DataFrame, b: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Distinct rows c0… with n_original and n_new; ``extra`` groups by one more column, ``lone``."""
-    ids = _ids(a.columns)
-    both = (
-        positional(a, "c")
-        .select(*ids, F.lit(1).alias("original"), F.lit(0).alias("new"))
-        .unionAll(positional(b, "c").select(*ids, F.lit(0).alias("original"), F.lit(1).alias("new")))
+def _counted(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows c0… of both frames with n_original and n_new, their copies on either side."""
+    one, none = F.lit(1), F.lit(0)
+    original = positional(a, "c").select("*", one.alias("original"), none.alias("new"))
+    new = positional(b, "c").select("*", none.alias("original"), one.alias("new"))
+    return (
+        original.unionAll(new)
+        .groupBy(*[f"c{i}" for i in range(len(a.columns))])
+        .agg(F.sum("original").alias("n_original"), F.sum("new").alias("n_new"))
     )
-    group = [*ids] if extra is None else [*ids, extra.alias("lone")]
-    return both.groupBy(*group).agg(F.sum("original").alias("n_original"), F.sum("new").alias("n_new"))
 
 
 def match_rows(
@@ -47,40 +42,31 @@ def match_rows(
     The flags are false throughout: paired rows are equal, and a missing row differs from nothing.
     """
     a, b = align_columns(a, b, sanitize)
-    ids = _ids(a.columns)
-    n_original, n_new = F.col("n_original"), F.col("n_new")
-    if null_safe:
-        rows = _counted(a, b)
-        lone = F.lit(False)
-    else:
-        rows = _counted(a, b, extra=reduce(or_, [F.col(i).isNull() for i in ids]))
-        lone = F.col("lone")
-    paired = (n_original > 0) & (n_new > 0) & ~lone
-    side = "struct<in_original:boolean,in_new:boolean,n_original:bigint,n_new:bigint>"
-
-    def line(in_original: Column, in_new: Column) -> Column:
-        return F.struct(
-            in_original.alias("in_original"),
-            in_new.alias("in_new"),
-            F.when(in_original, n_original).otherwise(F.lit(0)).alias("n_original"),
-            F.when(in_new, n_new).otherwise(F.lit(0)).alias("n_new"),
-        ).cast(side)
-
-    yes, no = F.lit(True), F.lit(False)
-    lines = [F.when(~paired & (n_original > 0), line(yes, no)), F.when(~paired & (n_new > 0), line(no, yes))]
+    ids = [f"c{i}" for i in range(len(a.columns))]
+    has_null = "false" if null_safe else any_of(f"{i} IS NULL" for i in ids)
+    paired = f"(n_original > 0 AND n_new > 0 AND NOT ({has_null}))"
+
+    def line_if(condition: str, n_original: str, n_new: str) -> str:
+        return f"IF({condition}, struct({n_original} AS in_original, {n_new} AS in_new), NULL)"
+
+    lines = [
+        line_if(f"NOT {paired} AND n_original > 0", "n_original", "0L"),
+        line_if(f"NOT {paired} AND n_new > 0", "0L", "n_new"),
+    ]
+    rows = _counted(a, b)
     if unmatched_only:
-        rows = rows.filter(~paired)
+        rows = rows.filter(f"NOT {paired}")
     else:
-        lines.append(F.when(paired, line(yes, yes)))
-    placed = rows.select(*ids, F.inline(F.array(*lines))).filter(F.col("in_original").isNotNull())
+        lines.append(line_if(paired, "n_original", "n_new"))
+    placed = rows.selectExpr(*ids, f"inline(array({', '.join(lines)}))").filter("in_original IS NOT NULL")
     shown = []
     for i, name in zip(ids, a.columns):
         shown += [
-            F.when(F.col("in_original"), F.col(i)).alias(f"{name}_original"),
-            F.when(F.col("in_new"), F.col(i)).alias(f"{name}_new"),
-            F.lit(False).alias(f"{name}_is_different"),
+            f"IF(in_original > 0, {i}, NULL) AS {quoted(name + '_original')}",
+            f"IF(in_new > 0, {i}, NULL) AS {quoted(name + '_new')}",
+            f"false AS {quoted(name + '_is_different')}",
         ]
-    return placed.select(*shown, "n_original", "n_new")
+    return placed.selectExpr(*shown, "in_original AS n_original", "in_new AS n_new")
 
 
 def row_multiset_diff(a: DataFrame, b: DataFrame, sanitize: bool = True) -> DataFrame:
@@ -89,14 +75,14 @@ def row_multiset_diff(a: DataFrame, b: DataFrame, sanitize: bool = True) -> Data
     Null-safe; ``side`` is ``original`` or ``new`` and ``n_rows`` the number of surplus copies.
     """
     a, b = align_columns(a, b, sanitize)
-    surplus = F.col("n_original") - F.col("n_new")
+    columns = [f"c{i} AS {quoted(name)}" for i, name in enumerate(a.columns)]
     return (
         _counted(a, b)
-        .filter(surplus != 0)
-        .select(
-            *[F.col(i).alias(name) for i, name in zip(_ids(a.columns), a.columns)],
-            F.when(surplus > 0, "original").otherwise("new").alias("side"),
-            F.abs(surplus).alias("n_rows"),
+        .filter("n_original <> n_new")
+        .selectExpr(
+            *columns,
+            "IF(n_original > n_new, 'original', 'new') AS side",
+            "abs(n_original - n_new) AS n_rows",
         )
     )
 
@@ -108,8 +94,6 @@ def frames_equal(a: DataFrame, b: DataFrame, order_by: str | list[str] | None =
     with different columns (or, by position, different row counts) are an error.
     """
     if order_by is not None:
-        from featward.operators.positional import compare_positional
-
         differences = compare_positional(a, b, order_by)
     else:
         if sorted(a.columns) != sorted(b.columns):

@@ -26,10 +26,11 @@ def _sigmoid(margin: Column) -> Column:
 
 
 def _logistic(model: LogisticModel) -> Column:
-    margin = F.lit(float(model.intercept))
-    for feature, weight in zip(model.features, model.weights):
-        margin = margin + F.lit(weight) * named(feature).cast("double")
-    return _sigmoid(margin)
+    terms = [F.lit(float(model.intercept))]
+    terms += [F.lit(w) * named(f).cast("double") for f, w in zip(model.features, model.weights)]
+    while len(terms) > 1:  # add in pairs: a plain chain of many features nests too deep
+        terms = [sum(terms[i + 1 : i + 2], terms[i]) for i in range(0, len(terms), 2)]
+    return _sigmoid(terms[0])
 
 
 def _tree_case(node: dict, single: bool) -> Column:

@@ -51,15 +51,17 @@ def q_ingest_dated_csv(spark, sf_dir):
 
 
 def q_list_dated_files(spark, sf_dir):
-    found = list_dated_files(spark, dated_tree(spark, sf_dir), "feat_final.csv")
+    root = dated_tree(spark, sf_dir)
+    found = list_dated_files(spark, root, "name=feat_final.csv", part_files=True)
     return found.select("prcsng_dt").distinct()
 
 
 def q_read_date_list(spark, sf_dir):
     """Every date the listing finds, and one without a file."""
     root = dated_tree(spark, sf_dir)
-    listed = list_dated_files(spark, root, "feat_final.csv").select("prcsng_dt").distinct()
-    dates = ["19000101", *sorted(r.prcsng_dt for r in listed.toLocalIterator())]
+    listed = list_dated_files(spark, root, "name=feat_final.csv", part_files=True)
+    days = listed.select("prcsng_dt").distinct().collect()
+    dates = ["19000101", *sorted(r.prcsng_dt for r in days)]
     return read_date_list(spark, root + "/day={date}/name=feat_final.csv", dates, on_missing="skip")
 
 

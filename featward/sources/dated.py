@@ -38,19 +38,31 @@ def ingest_dated_csv(
     )
 
 
-def list_dated_files(spark: SparkSession, root: str, name: str) -> DataFrame:
+def list_dated_files(
+    spark: SparkSession, root: str, name: str, part_files: bool = False
+) -> DataFrame:
     """Files called ``name`` at any depth below ``root``: path, prcsng_dt, length, modified.
 
-    The date is the directory above the file. ``name`` may also be a directory of part files,
-    as Spark writes them, and either level may be written ``column=value``. No content is read.
+    The date is the directory above the file, plain or written ``column=date``. With
+    ``part_files`` the name is a directory of part files, as Spark writes them, and each part is
+    listed. No content is read.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    shape = rf"/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?{re.escape(name)}(?:/[^/]+)?$"
-    return found.filter(F.col("path").rlike(shape)).select(
-        "path",
-        F.regexp_extract("path", shape, 1).alias(DATE_COLUMN),
-        "length",
-        F.col("modificationTime").alias("modified"),
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    above = r"(?:[^/=]+=)?([^/]+)"
+    if part_files:
+        shape = rf"/{above}/{re.escape(name)}/[^/]+$"
+    else:
+        files = files.option("pathGlobFilter", re.sub(r"([\\*?\[\]{}])", r"\\\1", name))
+        shape = rf"/{above}/[^/]+$"
+    return (
+        files.load(root)
+        .filter(F.col("path").rlike(shape))
+        .select(
+            "path",
+            F.regexp_extract("path", shape, 1).alias(DATE_COLUMN),
+            "length",
+            F.col("modificationTime").alias("modified"),
+        )
     )
 
 
