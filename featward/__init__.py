@@ -5,7 +5,7 @@ Every public function takes and returns a Spark DataFrame.
 
 from featward.operators.align import align_columns, sanitize_names
 from featward.operators.diff import diff_cells, diff_flags, diff_report
-from featward.operators.lookback import lookback_select
+from featward.operators.lookback import lookback_dates, lookback_select
 from featward.operators.models import (
     LogisticModel,
     MlClassifier,
@@ -41,6 +41,7 @@ __all__ = [
     "ingest_dated_csv",
     "list_dated_files",
     "load_model",
+    "lookback_dates",
     "lookback_select",
     "match_rows",
     "non_numeric_values",

@@ -50,7 +50,8 @@ class _Pair:
         return original.join(new, self.key_ids, "inner")
 
     def _only(self, side: DataFrame, other: DataFrame) -> DataFrame:
-        other_keys = other.filter(self._has_key).select(*self.key_ids)
+        # copies of a hot key are dropped before the shuffle
+        other_keys = other.filter(self._has_key).select(*self.key_ids).distinct()
         unmatched = side.filter(self._has_key).join(other_keys, self.key_ids, "left_anti")
         return unmatched.unionAll(side.filter(f"NOT ({self._has_key})"))
 

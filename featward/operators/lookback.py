@@ -11,6 +11,19 @@ from pyspark.sql import types as T
 from featward.functions.names import named
 
 
+def _day(run_dt: str | date) -> date:
+    if isinstance(run_dt, str):
+        return datetime.strptime(run_dt.replace("-", ""), "%Y%m%d").date()
+    return run_dt
+
+
+def lookback_dates(run_dt: str | date, days: int = 7, date_format: str = "%Y%m%d") -> list[str]:
+    """The ``days`` days up to and including ``run_dt``, oldest first, as a list for
+    :func:`featward.sources.dated.read_date_list`."""
+    last = _day(run_dt)
+    return [(last - timedelta(days=n)).strftime(date_format) for n in reversed(range(days))]
+
+
 def lookback_select(
     txns: DataFrame,
     accounts: DataFrame,
@@ -27,12 +40,11 @@ def lookback_select(
     compared as it is stored, so the range reaches the file scan. ``run_dt`` as text is
     ``YYYYMMDD`` or ``YYYY-MM-DD``.
     """
-    if isinstance(run_dt, str):
-        run_dt = datetime.strptime(run_dt.replace("-", ""), "%Y%m%d").date()
+    run_dt = _day(run_dt)
     first, after = run_dt - timedelta(days=days - 1), run_dt + timedelta(days=1)
     when, kind = named(date_col), txns.schema[date_col].dataType
     if isinstance(kind, T.StringType):
         when, kind = F.to_date(when, date_format), T.DateType()
     recent = txns.filter((when >= F.lit(first).cast(kind)) & (when < F.lit(after).cast(kind)))
-    chosen = accounts.select(named(account_key or account_col).alias("chosen_account"))
+    chosen = accounts.select(named(account_key or account_col).alias("chosen_account")).distinct()
     return recent.join(chosen, recent[f"`{account_col}`"] == chosen["chosen_account"], "left_semi")

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featward.functions.names import as_list, positional, positions
+from featward.functions.names import as_list, named, positional, positions
 from featward.session import new_scratch
+from featward.sources.delimited import FILE_ORDER
 
 # monotonically_increasing_id() keeps the partition in its upper bits and the row in the lower 33.
 ROW_BITS = 33
@@ -62,6 +63,41 @@ def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) ->
     return numbered, total
 
 
+def number_file_rows(df: DataFrame) -> tuple[DataFrame, int]:
+    """As :func:`number_rows` for a frame fresh from a file scan, in the order of its lines.
+
+    The splits of a scan are pieces of that order already, so the rows are written as they are
+    read, once and without a shuffle. The rows of each split are counted from the written table,
+    and a running sum over the splits, one row for each piece of a file, says where it starts.
+    That sum is a small table of known size: the planner broadcasts it if it may.
+    """
+    spark = df.sparkSession
+    order, columns = F.col(FILE_ORDER), [c for c in df.columns if c != FILE_ORDER]
+    names = [f"c{i}" for i in range(len(columns))]
+    rows, starts = new_scratch(spark, "file-rows"), new_scratch(spark, "split-starts")
+    (
+        df.select(*[named(c) for c in columns], order["file"], order["block"], order["row"])
+        .toDF(*names, "file", "block", "row")
+        .write.parquet(rows)
+    )
+    written = spark.read.parquet(rows)
+    (
+        written.groupBy("file", "block")
+        .agg(F.count("row").alias("size"), F.min("row").alias("first"))
+        .withColumn("end", F.sum("size").over(Window.orderBy("file", "block")))
+        .withColumn("before", F.col("end") - F.col("size"))
+        .write.parquet(starts)
+    )
+    split = spark.read.parquet(starts)
+    total = split.agg(F.coalesce(F.max("end"), F.lit(0))).first()[0]
+    numbered = (
+        written.join(split, ["file", "block"])
+        .withColumn("pos", F.col("before") + F.col("row") - F.col("first"))
+        .select(*names, "pos")
+    )
+    return numbered, total
+
+
 def with_ordinal(
     df: DataFrame, order_by: str | Iterable[str], name: str = "pos", start: int = 0
 ) -> DataFrame:

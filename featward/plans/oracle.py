@@ -217,6 +217,8 @@ SELECT o_orderkey AS id,
             ELSE o_orderpriority END AS note
 FROM orders""",
     "overwrite_table": f"{VERSIONS} SELECT id, status, price FROM restated",
+    "read_lookback_dates": f"""
+SELECT * FROM ({EVENT_FILES}) WHERE prcsng_dt BETWEEN '20240109' AND '20240115'""",
     "lookback_select": """
 SELECT event_id, user_id, event_type FROM events
 WHERE CAST(ts AS DATE) > DATE '2024-01-08' AND CAST(ts AS DATE) <= DATE '2024-01-15'

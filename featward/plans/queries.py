@@ -5,12 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featward.operators.align import align_columns
 from featward.operators.diff import diff_cells, diff_flags, diff_report
-from featward.operators.lookback import lookback_select
+from featward.operators.lookback import lookback_dates, lookback_select
 from featward.operators.models import load_model, save_model
 from featward.operators.ordinal import with_ordinal
 from featward.operators.positional import compare_csv, compare_positional
@@ -42,8 +42,13 @@ def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return original_orders(spark, sf_dir), restated_orders(spark, sf_dir)
 
 
+def _six_places(proba: Column) -> Column:
+    """To six places in double arithmetic; ``round`` would go through decimals row by row."""
+    return F.rint(proba * 1e6) / 1e6
+
+
 def _rounded(scored: DataFrame) -> DataFrame:
-    return scored.withColumn(PROBA, F.round(PROBA, 6))
+    return scored.withColumn(PROBA, _six_places(F.col(PROBA)))
 
 
 def q_ingest_dated_csv(spark, sf_dir):
@@ -147,8 +152,7 @@ def q_compare_csv(spark, sf_dir):
     """Two CSVs of all orders, compared in the order of their lines."""
     a = ordered_csv(original_orders(spark, sf_dir), "id")
     b = ordered_csv(restated_orders(spark, sf_dir, rekeyed=False), "id")
-    cells = compare_csv(spark, a, b, "id bigint, status string, price decimal(15,2)")
-    return cells
+    return compare_csv(spark, a, b, "id bigint, status string, price decimal(15,2)")
 
 
 def q_frames_equal(spark, sf_dir):
@@ -198,7 +202,7 @@ def q_assign_bin(spark, sf_dir):
 def q_class_id(spark, sf_dir):
     """Class ids over the whole line table; a line without a discount has a NULL bin."""
     proba = F.when(F.col("l_discount") > 0, F.col("l_discount") * 10)
-    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, F.round(proba, 6).alias(PROBA))
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, _six_places(proba).alias(PROBA))
     return class_id(assign_bin(lines, default=F.lit(None).cast("int")))
 
 
@@ -246,12 +250,22 @@ def q_overwrite_table(spark, sf_dir):
 
 
 def q_lookback_select(spark, sf_dir):
+    """Recent events of overdrawn customers, written as Parquet and read back."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     overdrawn = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0)
     recent = lookback_select(
         events, overdrawn, "2024-01-15", 7, date_col="ts", account_col="user_id", account_key="c_custkey"
     )
-    return recent.select("event_id", "user_id", "event_type")
+    path = new_scratch(spark, "lookback")
+    recent.select("event_id", "user_id", "event_type").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_read_lookback_dates(spark, sf_dir):
+    """The files of the seven days up to a run date, found by date alone."""
+    root = dated_tree(spark, sf_dir)
+    days = lookback_dates("2024-01-15", 7)
+    return read_date_list(spark, root + "/day={date}/name=feat_final.csv", days, on_missing="skip")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

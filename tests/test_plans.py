@@ -49,6 +49,8 @@ def test_null_safe_diff_shuffles_the_rows_once(versions):
     text = _final(diff_cells(*versions, "id", null_safe=True))
     assert "FullOuter" not in text and "BroadcastNestedLoop" not in text and "Cartesian" not in text
     assert text.count("ReusedExchange") == 2
+    # the keys to look up are made distinct before their shuffle
+    assert len(re.findall(r"Exchange hashpartitioning\(k0[^\n]*\n[^\n]*HashAggregate\(keys=\[k0", text)) == 2
 
 
 def test_flags_read_two_columns(versions, plan):

@@ -13,6 +13,7 @@ from featward import (
     assign_bin,
     class_id,
     load_model,
+    lookback_dates,
     lookback_select,
     non_numeric_values,
     save_model,
@@ -229,3 +230,8 @@ def test_lookback(spark, rows):
         for run_dt in ("20240115", "2024-01-15"):
             got = lookback_select(typed, accounts, run_dt, 7, date_col="when", account_col="account")
             assert rows(got, "d", "account") == expected
+
+
+def test_lookback_dates():
+    assert lookback_dates("20240302", 4) == ["20240228", "20240229", "20240301", "20240302"]
+    assert lookback_dates("2024-01-01", 1, "%Y-%m-%d") == ["2024-01-01"]
