@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featward.functions.compare import any_of, differs, sql_text
+from featward.functions.lookup import lookup_keys
 from featward.functions.names import as_list, positional, positions, quoted
 from featward.operators.align import align_columns
 
@@ -50,8 +51,7 @@ class _Pair:
         return original.join(new, self.key_ids, "inner")
 
     def _only(self, side: DataFrame, other: DataFrame) -> DataFrame:
-        # copies of a hot key are dropped before the shuffle
-        other_keys = other.filter(self._has_key).select(*self.key_ids).distinct()
+        other_keys = lookup_keys(other.filter(self._has_key).select(*self.key_ids))
         unmatched = side.filter(self._has_key).join(other_keys, self.key_ids, "left_anti")
         return unmatched.unionAll(side.filter(f"NOT ({self._has_key})"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featward.functions.lookup import lookup_keys
 from featward.functions.names import named
 
 
@@ -46,5 +47,5 @@ def lookback_select(
     if isinstance(kind, T.StringType):
         when, kind = F.to_date(when, date_format), T.DateType()
     recent = txns.filter((when >= F.lit(first).cast(kind)) & (when < F.lit(after).cast(kind)))
-    chosen = accounts.select(named(account_key or account_col).alias("chosen_account")).distinct()
+    chosen = lookup_keys(accounts.select(named(account_key or account_col).alias("chosen_account")))
     return recent.join(chosen, recent[f"`{account_col}`"] == chosen["chosen_account"], "left_semi")
