@@ -31,20 +31,22 @@ def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) ->
     partition and place in it, to the scratch folder: a written table has the same partitions for
     every reader, also after an executor was lost. The second counts the rows per partition.
     Both the counts and the broadcast offsets hold one row per range partition, not per data row.
-    Ties in ``order_by`` are broken by a hash of the row, so rows that share an order value spread
-    over partitions too.
+    Ties in ``order_by`` are broken by a hash of the row and, among exact copies, by the input
+    partition, so that neither a hot order value nor a hot group of copies stays in one task.
     """
     spark = df.sparkSession
     order = [f"c{i}" for i in positions(df.columns, as_list(order_by), "ordered")]
     row = positional(df, "c")
     tie = F.xxhash64(*[F.col(f.name) for f in row.schema.fields if _hashable(f.dataType)])
-    sort = [*[F.col(c) for c in order], tie]
+    sort = [*[F.col(c) for c in order], tie, F.col("at_partition")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_scratch(spark, "ordered-rows")
     (
-        row.repartitionByRange(parts, *sort)
+        row.withColumn("at_partition", F.spark_partition_id())
+        .repartitionByRange(parts, *sort)
         .sortWithinPartitions(*sort)
         .withColumn("place", F.monotonically_increasing_id())
+        .drop("at_partition")
         .write.parquet(path)
     )
     written = spark.read.schema(T.StructType([*row.schema.fields, T.StructField("place", T.LongType())])).parquet(path)

@@ -117,17 +117,20 @@ def _ml_scored(df: DataFrame, model: MlClassifier, kept: list[str]) -> DataFrame
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    vector = model.model.getFeaturesCol()
-    renamed = [f"_feature{i}" for i in range(len(model.features))]
-    assembled = VectorAssembler(inputCols=renamed, outputCol=vector, handleInvalid="keep").transform(
-        df.select("*", *[named(f).cast("double").alias(r) for f, r in zip(model.features, renamed)])
+    # internal names throughout: the model adds columns of its own, whose names may be taken
+    passed = [f"_kept{i}" for i in range(len(kept))]
+    given = [f"_feature{i}" for i in range(len(model.features))]
+    assembler = VectorAssembler(
+        inputCols=given, outputCol=model.model.getFeaturesCol(), handleInvalid="keep"
     )
-    scored = model.model.transform(assembled)
-    present = F.lit(True)
-    for name in renamed:
-        present = present & F.col(name).isNotNull()
-    proba = F.when(present, vector_to_array(F.col(model.model.getProbabilityCol()))[1])
-    return scored.select(*[named(c) for c in kept], proba.alias(PROBA))
+    inputs = df.select(
+        *[named(c).alias(p) for c, p in zip(kept, passed)],
+        *[named(f).cast("double").alias(g) for f, g in zip(model.features, given)],
+    )
+    scored = model.model.transform(assembler.transform(inputs))
+    complete = F.expr(" AND ".join(f"{g} IS NOT NULL" for g in given))
+    proba = F.when(complete, vector_to_array(F.col(model.model.getProbabilityCol()))[1])
+    return scored.select(*passed, proba).toDF(*kept, PROBA)
 
 
 def score(

@@ -82,6 +82,15 @@ def _bin(p: str, default: str) -> str:
        END"""
 
 
+SCORED = f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS "CUST_ID",
+       {{blank}} AS "AA_NODE_PATH_ATTR_CHAR", p AS "PREDICTED_PROBA", CAST(b AS DOUBLE) AS "BIN",
+       'C' || CAST(b AS VARCHAR) AS "CLASS_ID",
+       strftime(strptime('20240305', '%Y%m%d'), '%d-%b-%Y') AS "PRCSNG_DT", '71621' AS "SCNRO_ID",
+       {{blank}} AS "DECISION_PATH_FEATURE_LIST"
+FROM (SELECT l_orderkey, l_linenumber, p, {_bin('p', '1')} AS b
+      FROM (SELECT l_orderkey, l_linenumber, {LOGISTIC_P} AS p FROM lineitem))"""
+
 EVENT_FILES = """
 SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type, props,
        strftime(ts, '%Y%m%d') AS prcsng_dt
@@ -91,6 +100,7 @@ NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 ORACLE: dict[str, str] = {
     "ingest_dated_csv": EVENT_FILES,
+    "ingest_to_table": EVENT_FILES,
     "list_dated_files": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS prcsng_dt FROM events",
     "read_date_list": EVENT_FILES,
     "align_columns": """
@@ -190,14 +200,8 @@ FROM (SELECT l_orderkey, l_linenumber, p, {_bin('p', 'NULL')} AS b
                    CASE WHEN l_discount > CAST(0 AS DOUBLE)
                         THEN round(l_discount * CAST(10 AS DOUBLE), 6) END AS p
             FROM lineitem))""",
-    "scored_output": f"""
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS "CUST_ID",
-       '' AS "AA_NODE_PATH_ATTR_CHAR", p AS "PREDICTED_PROBA", CAST(b AS DOUBLE) AS "BIN",
-       'C' || CAST(b AS VARCHAR) AS "CLASS_ID",
-       strftime(strptime('20240305', '%Y%m%d'), '%d-%b-%Y') AS "PRCSNG_DT", '71621' AS "SCNRO_ID",
-       '' AS "DECISION_PATH_FEATURE_LIST"
-FROM (SELECT l_orderkey, l_linenumber, p, {_bin('p', '1')} AS b
-      FROM (SELECT l_orderkey, l_linenumber, {LOGISTIC_P} AS p FROM lineitem))""",
+    "scored_output": SCORED.format(blank="''"),
+    "scored_output_csv": SCORED.format(blank="CAST(NULL AS VARCHAR)"),
     "non_numeric_values": f"""
 WITH mixed AS (
   SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_brand WHEN p_partkey % 7 = 0 THEN ''

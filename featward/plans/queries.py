@@ -55,6 +55,14 @@ def q_ingest_dated_csv(spark, sf_dir):
     return ingest_dated_csv(spark, dated_files(spark, sf_dir) + "/file=feat_final_*.csv")
 
 
+def q_ingest_to_table(spark, sf_dir):
+    """Dated files into a table partitioned by their date."""
+    rows = ingest_dated_csv(spark, dated_files(spark, sf_dir) + "/file=feat_final_*.csv", strict_header=True)
+    name = f"features_{uuid.uuid4().hex}"
+    overwrite_table(rows, name, partition_by="prcsng_dt", path=new_scratch(spark, "table"), rebalance=True)
+    return spark.table(name)
+
+
 def q_list_dated_files(spark, sf_dir):
     root = dated_tree(spark, sf_dir)
     found = list_dated_files(spark, root, "name=feat_final.csv", part_files=True)
@@ -215,6 +223,14 @@ def q_scored_output(spark, sf_dir):
     return scored_output(assign_bin(scored), RUN_DT, cust_col="line")
 
 
+def q_scored_output_csv(spark, sf_dir):
+    """The scored output as separated text, read back: blanks come back as NULL."""
+    path = new_scratch(spark, "scored")
+    output = q_scored_output(spark, sf_dir)
+    write_delimited(output, path)
+    return read_delimited(spark, path, schema=output.schema)
+
+
 def q_non_numeric_values(spark, sf_dir):
     return non_numeric_values(mixed_text(spark, sf_dir), "v")
 

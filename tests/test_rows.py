@@ -14,6 +14,7 @@ from featward import (
     row_multiset_diff,
     with_ordinal,
 )
+from featward.operators.ordinal import number_rows
 
 NAN = float("nan")
 
@@ -117,6 +118,14 @@ def test_ordinal_with_a_hot_order_value(spark):
     assert ties == (10_001, 0, 10_000)
 
 
+def test_hot_copies_are_numbered_in_several_tasks(spark):
+    frame = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
+    numbered, total = number_rows(frame, "v")
+    hot = numbered.filter("c0 = 1")
+    assert total == 30_000 and hot.select(F.input_file_name()).distinct().count() > 2
+    assert hot.agg(F.countDistinct("pos"), F.min("pos"), F.max("pos")).first()[:] == (10_001, 0, 10_000)
+
+
 def test_ordinal_of_an_empty_frame(spark, rows):
     assert rows(with_ordinal(spark.createDataFrame([], "a int"), "a")) == []
 

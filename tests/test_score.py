@@ -151,8 +151,12 @@ def test_ml_classifier(spark):
         [(0.0, 0.0, 0), (1.0, 0.2, 0), (0.1, 1.0, 1), (1.2, 2.0, 1)], "a double, b double, label int"
     )
     fitted = LogisticRegression(regParam=0.1).fit(VectorAssembler(inputCols=["b", "a"], outputCol="features").transform(train))
-    frame = spark.createDataFrame([(1, 0.5, 0.25), (2, None, 1.0)], "id int, a double, b double")
-    got = {r.id: r.PREDICTED_PROBA for r in score(frame, MlClassifier(("b", "a"), fitted), keep="id").collect()}
+    frame = spark.createDataFrame(
+        [(1, 0.5, 0.25, "p"), (2, None, 1.0, "q")], "id int, a double, b double, features string"
+    )
+    scored = score(frame, MlClassifier(("b", "a"), fitted), keep=["id", "features"])
+    assert scored.columns == ["id", "features", "b", "a", "PREDICTED_PROBA"]
+    got = {r.id: r.PREDICTED_PROBA for r in scored.collect()}
     weight_b, weight_a = fitted.coefficients
     assert got[1] == pytest.approx(sigmoid(fitted.intercept + weight_b * 0.25 + weight_a * 0.5))
     assert got[2] is None
