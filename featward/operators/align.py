@@ -18,7 +18,7 @@ def sanitize_names(df: DataFrame) -> DataFrame:
 
 def _pick(df: DataFrame, names: list[str]) -> DataFrame:
     where = {name: i for i, name in enumerate(df.columns)}
-    return positional(df, "c").select(*[f"c{where[n]}" for n in names]).toDF(*names)
+    return positional(df, "c").selectExpr(*[f"c{where[n]}" for n in names]).toDF(*names)
 
 
 def align_columns(a: DataFrame, b: DataFrame, sanitize: bool = True) -> tuple[DataFrame, DataFrame]:

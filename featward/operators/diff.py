@@ -107,7 +107,7 @@ def _pair(
 
     def side(df: DataFrame, keys: list[int], values: list[int], prefix: str) -> DataFrame:
         names = [f"k{i}" for i in range(len(keys))] + [f"{prefix}{i}" for i in range(len(values))]
-        return positional(df, "c").select(*[f"c{p}" for p in [*keys, *values]]).toDF(*names)
+        return positional(df, "c").selectExpr(*[f"c{p}" for p in [*keys, *values]]).toDF(*names)
 
     pair = _Pair(
         key,

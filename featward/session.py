@@ -17,12 +17,14 @@ def get_spark(app: str = "featward", master: str | None = None, **conf: str) ->
     """Session with the settings the operators are planned for.
 
     AQE does the run-time work: it sizes shuffle partitions, turns joins with a small
-    side into broadcasts and splits hot join partitions.
+    side into broadcasts and splits hot join partitions. Where every partition of one side came
+    out below the threshold, it hashes that side and neither side is sorted.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }

@@ -167,6 +167,18 @@ def test_bucketed_tables_are_compared_without_a_shuffle(spark, rows, plan, setti
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_scratch_must_be_shared_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_base(Session())
+
+
 def test_scratch_is_the_sessions_shared_folder(spark, setting):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_base(spark) == shared
