@@ -71,18 +71,21 @@ class _Pair:
     def refuse_products(self) -> None:
         """Raise if a key repeats on both sides, where a join would pair every copy with every copy.
 
-        Reads the key columns only; copies are counted before the shuffle.
+        Reads the key columns only; copies are counted before the shuffle. The new side is looked
+        at only if the original has a repeated key.
         """
-        one, none = F.lit(1), F.lit(0)
-        original = self.original.select(*self.key_ids, one.alias("original"), none.alias("new"))
-        new = self.new.select(*self.key_ids, none.alias("original"), one.alias("new"))
+        keyed = self.original.filter(self._has_key)
+        copies = keyed.groupBy(*self.key_ids).agg(F.count("*").alias("original"))
+        if (copies.agg(F.max("original")).first()[0] or 0) < 2:
+            return
+        twice = copies.filter("original > 1")
         worst = (
-            original.unionAll(new)
-            .filter(self._has_key)
+            self.new.filter(self._has_key)
             .groupBy(*self.key_ids)
-            .agg(F.sum("original").alias("original"), F.sum("new").alias("new"))
-            .filter("original > 1 AND new > 1")
-            .agg(F.max_by(F.struct("*"), F.least("original", "new")))
+            .agg(F.count("*").alias("new"))
+            .filter("new > 1")
+            .join(twice, self.key_ids)
+            .agg(F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")))
             .first()[0]
         )
         if worst:
