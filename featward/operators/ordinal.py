@@ -27,10 +27,11 @@ def _hashable(dtype: T.DataType) -> bool:
 def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) -> tuple[DataFrame, int]:
     """Columns c0… and ``pos`` for a frame, and its number of rows.
 
-    Runs two jobs. The first range-partitions and sorts the rows and writes them, each with its
-    partition and place in it, to the scratch folder: a written table has the same partitions for
-    every reader, also after an executor was lost. The second counts the rows per partition.
-    Both the counts and the broadcast offsets hold one row per range partition, not per data row.
+    Two steps run at once. The rows are sorted, which partitions them by range, and written to the
+    scratch folder, each with its partition and place in it: a written table has the same
+    partitions for every reader, also after an executor was lost. Then the rows per partition are
+    counted. The counts and the broadcast offsets hold one row per range partition, at most
+    ``spark.sql.shuffle.partitions``, not per data row.
     Ties in ``order_by`` are broken by a hash of the row and, among exact copies, by the input
     partition, so that neither a hot order value nor a hot group of copies stays in one task.
     """
@@ -39,17 +40,16 @@ def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) ->
     row = positional(df, "c")
     tie = F.xxhash64(*[F.col(f.name) for f in row.schema.fields if _hashable(f.dataType)])
     sort = [*[F.col(c) for c in order], tie, F.col("at_partition")]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = new_scratch(spark, "ordered-rows")
     (
         row.withColumn("at_partition", F.spark_partition_id())
-        .repartitionByRange(parts, *sort)
-        .sortWithinPartitions(*sort)
+        .orderBy(*sort)
         .withColumn("place", F.monotonically_increasing_id())
         .drop("at_partition")
         .write.parquet(path)
     )
-    written = spark.read.schema(T.StructType([*row.schema.fields, T.StructField("place", T.LongType())])).parquet(path)
+    stored = T.StructType([*row.schema.fields, T.StructField("place", T.LongType())])
+    written = spark.read.schema(stored).parquet(path)
     part = F.shiftright("place", ROW_BITS)
     counts = dict(written.groupBy(part.alias("part")).count().collect())
     offsets, total = [], 0

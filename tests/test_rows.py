@@ -98,7 +98,9 @@ def test_frames_equal(pair, spark, rows):
         frames_equal(left, right.select("a"))
 
 
-def test_ordinal_equals_place_in_sorted_order(spark, rows):
+@pytest.mark.parametrize("merge", ["true", "false"])
+def test_ordinal_equals_place_in_sorted_order(spark, rows, setting, merge):
+    setting(spark__sql__adaptive__coalescePartitions__enabled=merge)
     draw = random.Random(5)
     values = [(draw.randrange(50), i) for i in range(5000)]
     frame = spark.createDataFrame(values, "a int, b int").repartition(7)
@@ -118,7 +120,8 @@ def test_ordinal_with_a_hot_order_value(spark):
     assert ties == (10_001, 0, 10_000)
 
 
-def test_hot_copies_are_numbered_in_several_tasks(spark):
+def test_hot_copies_are_numbered_in_several_tasks(spark, setting):
+    setting(spark__sql__adaptive__coalescePartitions__enabled="false")
     frame = spark.range(0, 30_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
     numbered, total = number_rows(frame, "v")
     hot = numbered.filter("c0 = 1")

@@ -150,7 +150,8 @@ def test_ml_classifier(spark):
     train = spark.createDataFrame(
         [(0.0, 0.0, 0), (1.0, 0.2, 0), (0.1, 1.0, 1), (1.2, 2.0, 1)], "a double, b double, label int"
     )
-    fitted = LogisticRegression(regParam=0.1).fit(VectorAssembler(inputCols=["b", "a"], outputCol="features").transform(train))
+    assembled = VectorAssembler(inputCols=["b", "a"], outputCol="features").transform(train)
+    fitted = LogisticRegression(regParam=0.1).fit(assembled)
     frame = spark.createDataFrame(
         [(1, 0.5, 0.25, "p"), (2, None, 1.0, "q")], "id int, a double, b double, features string"
     )
