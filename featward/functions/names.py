@@ -39,6 +39,13 @@ def repeated(names: Iterable[str]) -> list[str]:
     return sorted(n for n, count in Counter(names).items() if count > 1)
 
 
+def refuse_taken(columns: Iterable[str], added: Iterable[str]) -> None:
+    """Raise if the input already has a column that an operator is about to add."""
+    taken = sorted({c.lower() for c in columns} & {a.lower() for a in added})
+    if taken:
+        raise ValueError(f"the result has its own columns {taken}; rename those of the input")
+
+
 def positional(df: DataFrame, prefix: str) -> DataFrame:
     """Columns renamed to prefix0, prefix1, …, so that no name can clash or need quoting."""
     return df.toDF(*[f"{prefix}{i}" for i in range(len(df.columns))])

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from featward.functions.compare import any_of, differs, sql_text
 from featward.functions.lookup import lookup_keys
-from featward.functions.names import as_list, positional, positions, quoted
+from featward.functions.names import as_list, positional, positions, quoted, refuse_taken
 from featward.operators.align import align_columns
 
 CELL = "struct<column_name:string,original_value:string,new_value:string>"
@@ -188,6 +188,7 @@ def diff_cells(
     A key may repeat on one side. Repeated on both it would pair every copy with every copy:
     refused, unless ``duplicates='multiply'``.
     """
+    refuse_taken(as_list(key), ["column_name", "original_value", "new_value", "change"])
     pair = _pair(original, new, key, None, duplicates)
     changed = _changed_cells(pair, null_safe)
     if not null_safe:
@@ -210,6 +211,7 @@ def diff_flags(
 
     A NULL on either side, or a missing row, reads SAME.
     """
+    refuse_taken(as_list(key), ["original_value", "new_value", "diff"])
     pair = _pair(original, new, key, [column], duplicates)
     old_type, new_type = pair.original_types[0].simpleString(), pair.new_types[0].simpleString()
     (different,) = pair.changes(null_safe=False)
@@ -241,6 +243,7 @@ def diff_report(
     """
     original, new = align_columns(original, new, sanitize)
     key = as_list(key)
+    refuse_taken(key, ["differences", "change"])
     pair = _pair(original, new, key, [c for c in original.columns if c not in key], duplicates)
     head = pair.key_out if include_key else []
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featward.functions.names import as_list, named, positional, positions
+from featward.functions.names import as_list, named, positional, positions, refuse_taken
 from featward.session import new_scratch
 from featward.sources.delimited import FILE_ORDER
 
@@ -107,5 +107,6 @@ def with_ordinal(
 
     ``order_by`` should be unique: rows that tie get consecutive numbers in an order of their own.
     """
+    refuse_taken(df.columns, [name])
     numbered, _ = number_rows(df, order_by, start)
     return numbered.toDF(*df.columns, name)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featward.functions.names import named
+from featward.functions.names import named, refuse_taken
 from featward.functions.text import is_non_numeric
 
 
@@ -14,6 +14,7 @@ def non_numeric_values(df: DataFrame, column: str) -> DataFrame:
 
     Duplicates are kept; NULL and '' are not reported.
     """
+    refuse_taken([c for c in df.columns if c != column], ["value", "message"])
     text = named(column).cast("string")
     return df.filter(is_non_numeric(text)).withColumns(
         {"value": text, "message": F.concat(F.lit("Non-numeric value found: "), text)}

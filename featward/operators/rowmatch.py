@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featward.functions.compare import any_of
-from featward.functions.names import positional, quoted
+from featward.functions.names import positional, quoted, refuse_taken
 from featward.operators.align import align_columns
 from featward.operators.positional import compare_positional
 
@@ -75,6 +75,7 @@ def row_multiset_diff(a: DataFrame, b: DataFrame, sanitize: bool = True) -> Data
     Null-safe; ``side`` is ``original`` or ``new`` and ``n_rows`` the number of surplus copies.
     """
     a, b = align_columns(a, b, sanitize)
+    refuse_taken(a.columns, ["side", "n_rows"])
     columns = [f"c{i} AS {quoted(name)}" for i, name in enumerate(a.columns)]
     return (
         _counted(a, b)
@@ -98,5 +99,6 @@ def frames_equal(a: DataFrame, b: DataFrame, order_by: str | list[str] | None =
     else:
         if sorted(a.columns) != sorted(b.columns):
             raise ValueError(f"different columns: {a.columns} and {b.columns}")
-        differences = row_multiset_diff(a, b, sanitize=False)
+        a, b = align_columns(a, b, sanitize=False)
+        differences = _counted(a, b).filter("n_original <> n_new")
     return differences.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_same"))

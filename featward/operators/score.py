@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featward.functions.bins import DECISION_BINS, Bin, bin_of, class_of
-from featward.functions.names import as_list, named
+from featward.functions.names import as_list, named, refuse_taken
 from featward.functions.text import day_month_year
 from featward.operators.models import MAX_MODEL_BYTES, LogisticModel, MlClassifier, TreeEnsemble
 
@@ -156,6 +156,7 @@ def score(
         kept = [named(c) for c in keep if c not in model.features]
         df = df.select(*kept, *[named(c).alias(f) for c, f in zip(feature_cols, model.features)])
     kept = [*[c for c in keep if c not in model.features], *model.features]
+    refuse_taken(kept, [PROBA])
     if isinstance(model, MlClassifier):
         return _ml_scored(df, model, kept)
     if isinstance(model, LogisticModel):

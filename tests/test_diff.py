@@ -6,7 +6,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from featward import align_columns, diff_cells, diff_flags, diff_report, sanitize_names
+from featward import (
+    align_columns,
+    diff_cells,
+    diff_flags,
+    diff_report,
+    non_numeric_values,
+    row_multiset_diff,
+    sanitize_names,
+    with_ordinal,
+)
 
 NAN = float("nan")
 
@@ -147,6 +156,20 @@ def test_awkward_names(spark, rows):
     assert line == (1, "a.b: 1 -> 2, a_b: 1 -> 2, back\\slash: 1 -> 2, it's: 1 -> 2, o.x: 1 -> 2")
 
 
+def test_result_columns_must_be_free(spark):
+    frame = spark.createDataFrame([(1, 1, "a")], "change int, side int, Value string")
+    for call in (
+        lambda: diff_cells(frame, frame, "change"),
+        lambda: diff_report(frame, frame, "change"),
+        lambda: row_multiset_diff(frame, frame),
+        lambda: with_ordinal(frame, "side", name="VALUE"),
+        lambda: non_numeric_values(frame, "side"),
+    ):
+        with pytest.raises(ValueError, match="rename"):
+            call()
+    assert non_numeric_values(frame, "Value").columns == ["change", "side", "value", "message"]
+
+
 def test_names_that_differ_in_case(spark, rows):
     original = spark.createDataFrame([(1, 1, 1)], ["id", "a", "A"])
     new = spark.createDataFrame([(1, 1, 2)], ["ID", "a", "A"])
