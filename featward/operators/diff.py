@@ -20,7 +20,7 @@ from featward.functions.lookup import lookup_keys
 from featward.functions.names import as_list, positional, positions, quoted, refuse_taken
 from featward.operators.align import align_columns
 
-CELL = "struct<column_name:string,original_value:string,new_value:string>"
+CELL = "struct<present:boolean,column_name:string,original_value:string,new_value:string>"
 
 
 @dataclass
@@ -136,36 +136,38 @@ def _sides(prefix: str, i: int, nothing: str) -> tuple[str, str]:
 
 
 def _cell_if(condition: str, name: str, old: str, new: str) -> str:
-    cell = f"named_struct('column_name', {sql_text(name)}, 'original_value', {old}, 'new_value', {new})"
-    return f"IF({condition}, {cell}, NULL)"
+    cell = f"'column_name', {name}, 'original_value', {old}, 'new_value', {new}"
+    return f"IF({condition}, named_struct('present', true, {cell}), NULL)"
 
 
-def _cells(cells: list[str]) -> str:
-    return f"CAST(array({', '.join(cells)}) AS array<{CELL}>)"
+def _cell_rows(pair: _Pair, frame: DataFrame, cells: list[str]) -> DataFrame:
+    """One row per cell that is there."""
+    return (
+        frame.selectExpr(*pair.key_ids, f"inline(CAST(array({', '.join(cells)}) AS array<{CELL}>))")
+        .filter("present")
+        .selectExpr(*pair.key_out, "column_name", "original_value", "new_value")
+    )
 
 
 def _changed_cells(pair: _Pair, null_safe: bool) -> DataFrame:
     """One row per differing cell of the matched rows; equal rows stop at the join condition."""
     changes = pair.changes(null_safe)
     cells = [
-        _cell_if(change, name, _text(f"o{i}"), _text(f"n{i}"))
+        _cell_if(change, sql_text(name), _text(f"o{i}"), _text(f"n{i}"))
         for i, (name, change) in enumerate(zip(pair.columns, changes))
     ]
-    return (
-        pair.matched()
-        .filter(any_of(changes))
-        .selectExpr(*pair.key_out, f"inline({_cells(cells)})")
-        .filter("column_name IS NOT NULL")
-    )
+    return _cell_rows(pair, pair.matched().filter(any_of(changes)), cells)
 
 
 def _one_sided_cells(pair: _Pair, side: DataFrame, prefix: str) -> DataFrame:
     """One row per value of the rows of one side; a row without any value still gives one line."""
+    ids = [f"{prefix}{i}" for i in range(len(pair.columns))]
     cells = [
-        _cell_if(f"{prefix}{i} IS NOT NULL", name, *_sides(prefix, i, "CAST(NULL AS STRING)"))
-        for i, name in enumerate(pair.columns)
+        _cell_if(f"{value} IS NOT NULL", sql_text(name), *_sides(prefix, i, "NULL"))
+        for i, (value, name) in enumerate(zip(ids, pair.columns))
     ]
-    return side.selectExpr(*pair.key_out, f"inline_outer(array_compact({_cells(cells)}))")
+    empty = " AND ".join(f"{value} IS NULL" for value in ids) or "true"
+    return _cell_rows(pair, side, [*cells, _cell_if(empty, "NULL", "NULL", "NULL")])
 
 
 def diff_cells(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featward.functions.compare import any_of
 from featward.functions.names import positional, quoted, refuse_taken
@@ -17,6 +18,9 @@ from featward.operators.positional import compare_positional
 
 def _counted(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows c0… of both frames with n_original and n_new, their copies on either side."""
+    for mine, other in zip(a.schema, b.schema):
+        if isinstance(mine.dataType, T.StringType) != isinstance(other.dataType, T.StringType):
+            raise ValueError(f"column {mine.name!r} is text on one side only; cast it first")
     one, none = F.lit(1), F.lit(0)
     original = positional(a, "c").select("*", one.alias("original"), none.alias("new"))
     new = positional(b, "c").select("*", none.alias("original"), one.alias("new"))

@@ -96,6 +96,8 @@ def test_frames_equal(pair, spark, rows):
     assert rows(frames_equal(zero, spark.createDataFrame([(NAN,), (-0.0,)], "v double"))) == [(True,)]
     with pytest.raises(ValueError, match="different columns"):
         frames_equal(left, right.select("a"))
+    with pytest.raises(ValueError, match="'a' is text on one side"):
+        frames_equal(left, right.withColumn("a", F.col("a").cast("string")))
 
 
 @pytest.mark.parametrize("merge", ["true", "false"])
