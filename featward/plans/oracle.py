@@ -125,6 +125,21 @@ SELECT id, 'price', op, np, change FROM both_sides WHERE op IS DISTINCT FROM np
 UNION ALL
 SELECT id, NULL, NULL, NULL, change FROM both_sides
 WHERE change <> 'changed' AND os IS NULL AND ns IS NULL AND op IS NULL AND np IS NULL""",
+    "diff_cells_conversations": """
+WITH new AS (
+  SELECT conv_id, CASE WHEN role = 'system' THEN turn + 100 ELSE turn END AS turn, role,
+         CASE WHEN role = 'assistant' AND turn > 2 THEN "text" || ' (edited)' ELSE "text" END AS body
+  FROM conversations),
+both_sides AS (
+  SELECT coalesce(o.conv_id, n.conv_id) AS conv_id, coalesce(o.turn, n.turn) AS turn,
+         o.role AS orole, n.role AS nrole, o."text" AS otext, n.body AS ntext,
+         CASE WHEN o.conv_id IS NULL THEN 'added' WHEN n.conv_id IS NULL THEN 'removed'
+              ELSE 'changed' END AS change
+  FROM conversations o FULL JOIN new n ON o.conv_id = n.conv_id AND o.turn = n.turn)
+SELECT conv_id, turn, 'role' AS column_name, orole AS original_value, nrole AS new_value, change
+FROM both_sides WHERE orole IS DISTINCT FROM nrole
+UNION ALL
+SELECT conv_id, turn, 'text', otext, ntext, change FROM both_sides WHERE otext IS DISTINCT FROM ntext""",
     "diff_flags_price": f"""{VERSIONS}
 SELECT coalesce(o.id, n.id) AS id, o.price AS original_value, n.price AS new_value,
        CASE WHEN o.price <> n.price THEN 'DIFFERENT' ELSE 'SAME' END AS diff
@@ -163,6 +178,14 @@ FROM (SELECT * FROM flags EXCEPT ALL SELECT * FROM turned) GROUP BY flag, status
 UNION ALL
 SELECT flag, status, 'new', count(*)
 FROM (SELECT * FROM turned EXCEPT ALL SELECT * FROM flags) GROUP BY flag, status""",
+    "row_multiset_diff_documents": """
+WITH o AS (SELECT lang, "text" FROM documents),
+n AS (SELECT CASE WHEN source = 'src3' THEN 'xx' ELSE lang END AS lang, "text" FROM documents)
+SELECT lang, "text", 'original' AS side, count(*) AS n_rows
+FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) GROUP BY lang, "text"
+UNION ALL
+SELECT lang, "text", 'new', count(*) FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o) GROUP BY lang, "text"
+""",
     "compare_positional": SAME_KEYS + POSITIONS,
     "compare_csv": SAME_KEYS + POSITIONS,
     "frames_equal": f"""{VERSIONS}

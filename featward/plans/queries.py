@@ -102,6 +102,19 @@ def q_diff_cells_nullsafe(spark, sf_dir):
     return diff_cells(*_versions(spark, sf_dir), key="id", null_safe=True)
 
 
+def q_diff_cells_conversations(spark, sf_dir):
+    """Two-column key and whole texts: some turns edited, the system turns moved."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    edited = (F.col("role") == "assistant") & (F.col("turn") > 2)
+    new = turns.select(
+        "conv_id",
+        F.when(F.col("role") == "system", F.col("turn") + 100).otherwise(F.col("turn")).alias("turn"),
+        "role",
+        F.when(edited, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text")).alias("text"),
+    )
+    return diff_cells(turns, new, key=["conv_id", "turn"], null_safe=True)
+
+
 def q_diff_flags_price(spark, sf_dir):
     return diff_flags(*_versions(spark, sf_dir), key="id", column="price")
 
@@ -140,7 +153,7 @@ def q_row_multiset_diff(spark, sf_dir):
 
 
 def q_row_multiset_diff_copies(spark, sf_dir):
-    """Rows with many copies: the line flags against the order status of the line's order key."""
+    """Rows with many copies: the lines' flags, before and after a status change."""
     lines = table(spark, sf_dir, "lineitem")
     flags = lines.select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
     turned = lines.select(
@@ -150,6 +163,13 @@ def q_row_multiset_diff_copies(spark, sf_dir):
     return row_multiset_diff(flags, turned)
 
 
+def q_row_multiset_diff_documents(spark, sf_dir):
+    """Whole texts with their copies; the documents of one source change their language."""
+    documents = table(spark, sf_dir, "documents")
+    lang = F.when(F.col("source") == "src3", "xx").otherwise(F.col("lang")).alias("lang")
+    return row_multiset_diff(documents.select("lang", "text"), documents.select(lang, "text"))
+
+
 def q_compare_positional(spark, sf_dir):
     original = original_orders(spark, sf_dir)
     restated = restated_orders(spark, sf_dir, rekeyed=False)
