@@ -1,15 +1,17 @@
 """Differences between two versions of a keyed table.
 
-All of it rests on equi joins over the key. The matched part is an inner join, and the rows of
-one side only are anti joins over the same two shuffles, because adaptive execution can split a
-hot key in those and not in a full outer join. Rows without a key match nothing and bypass the
-shuffle.
+All of it rests on equi joins over the key: an inner join where only rows on both sides matter, and
+otherwise all rows of both sides. For those, keys found to be unique allow one full outer join.
+Where a key repeats, the same rows come from an inner and two anti joins over the same shuffles,
+because adaptive execution splits a hot key in those and not in a full outer join. Rows without a
+key match nothing and bypass the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +35,7 @@ class _Pair:
     new: DataFrame
     original_types: list[T.DataType]
     new_types: list[T.DataType]
+    duplicates: str
 
     @property
     def key_ids(self) -> list[str]:
@@ -46,45 +49,56 @@ class _Pair:
     def _has_key(self) -> str:
         return " AND ".join(f"{k} IS NOT NULL" for k in self.key_ids)
 
-    def matched(self) -> DataFrame:
-        original, new = self.original.filter(self._has_key), self.new.filter(self._has_key)
-        return original.join(new, self.key_ids, "inner")
-
-    def _only(self, side: DataFrame, other: DataFrame) -> DataFrame:
-        other_keys = lookup_keys(other.filter(self._has_key).select(*self.key_ids))
-        unmatched = side.filter(self._has_key).join(other_keys, self.key_ids, "left_anti")
-        return unmatched.unionAll(side.filter(f"NOT ({self._has_key})"))
-
-    def only_original(self) -> DataFrame:
-        return self._only(self.original, self.new)
-
-    def only_new(self) -> DataFrame:
-        return self._only(self.new, self.original)
-
     def changes(self, null_safe: bool) -> list[str]:
-        """Per compared column: do the matched rows differ in it?"""
+        """Per compared column: does it differ?"""
         return [
             differs(f"o{i}", f"n{i}", old, new, null_safe)
             for i, (old, new) in enumerate(zip(self.original_types, self.new_types))
         ]
 
-    def refuse_products(self) -> None:
-        """Raise if a key repeats on both sides, where a join would pair every copy with every copy.
+    def matched(self) -> DataFrame:
+        """The pairs of rows with the same key: k…, o…, n…."""
+        if self.duplicates == "refuse":
+            self._repeats()
+        original, new = self.original.filter(self._has_key), self.new.filter(self._has_key)
+        return original.join(new, self.key_ids)
+
+    def sided(self) -> DataFrame:
+        """All rows of both sides: k…, o…, n…, and ``in_original``, ``in_new``: true or NULL."""
+        original = self.original.withColumn("in_original", F.lit(True))
+        new = self.new.withColumn("in_new", F.lit(True))
+        keyed, other = original.filter(self._has_key), new.filter(self._has_key)
+        if self.duplicates == "refuse" and not self._repeats(look_at_both=True):
+            parts = [keyed.join(other, self.key_ids, "full_outer")]
+        else:
+            parts = [
+                keyed.join(other, self.key_ids),
+                keyed.join(lookup_keys(other.select(*self.key_ids)), self.key_ids, "left_anti"),
+                other.join(lookup_keys(keyed.select(*self.key_ids)), self.key_ids, "left_anti"),
+            ]
+        keyless = f"NOT ({self._has_key})"
+        parts += [original.filter(keyless), new.filter(keyless)]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def _repeats(self, look_at_both: bool = False) -> bool:
+        """Does a key repeat? On both sides it is an error: a join would pair every copy with every copy.
 
         Reads the key columns only; copies are counted before the shuffle. The new side is looked
-        at only if the original has a repeated key.
+        at if the original has a repeated key, or if asked to.
         """
-        keyed = self.original.filter(self._has_key)
-        copies = keyed.groupBy(*self.key_ids).agg(F.count("*").alias("original"))
-        if (copies.agg(F.max("original")).first()[0] or 0) < 2:
-            return
-        twice = copies.filter("original > 1")
+
+        def copies(side: DataFrame, name: str) -> DataFrame:
+            return side.filter(self._has_key).groupBy(*self.key_ids).agg(F.count("*").alias(name))
+
+        def repeats(counted: DataFrame, name: str) -> bool:
+            return (counted.agg(F.max(name)).first()[0] or 0) > 1
+
+        original, new = copies(self.original, "original"), copies(self.new, "new")
+        if not repeats(original, "original"):
+            return look_at_both and repeats(new, "new")
         worst = (
-            self.new.filter(self._has_key)
-            .groupBy(*self.key_ids)
-            .agg(F.count("*").alias("new"))
-            .filter("new > 1")
-            .join(twice, self.key_ids)
+            original.filter("original > 1")
+            .join(new.filter("new > 1"), self.key_ids)
             .agg(F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")))
             .first()[0]
         )
@@ -93,6 +107,7 @@ class _Pair:
                 f"key {dict(zip(self.key, worst))} occurs {worst['original']} times in the original "
                 f"and {worst['new']} times in the new frame; pass duplicates='multiply' to pair them all"
             )
+        return True
 
 
 def _pair(
@@ -112,27 +127,23 @@ def _pair(
         names = [f"k{i}" for i in range(len(keys))] + [f"{prefix}{i}" for i in range(len(values))]
         return positional(df, "c").selectExpr(*[f"c{p}" for p in [*keys, *values]]).toDF(*names)
 
-    pair = _Pair(
+    return _Pair(
         key,
         columns,
         side(original, key_at, old_at, "o"),
         side(new, new_key_at, new_at, "n"),
         [original.schema[p].dataType for p in old_at],
         [new.schema[p].dataType for p in new_at],
+        duplicates,
     )
-    if duplicates == "refuse":
-        pair.refuse_products()
-    return pair
 
 
-def _text(column: str) -> str:
-    return f"CAST({column} AS STRING)"
+ONE_SIDED = "(in_original IS NULL OR in_new IS NULL)"
+CHANGE = "CASE WHEN in_original IS NULL THEN 'added' WHEN in_new IS NULL THEN 'removed' ELSE 'changed' END"
 
 
-def _sides(prefix: str, i: int, nothing: str) -> tuple[str, str]:
-    """Old and new text of a value that only one side has."""
-    value = _text(f"{prefix}{i}")
-    return (value, nothing) if prefix == "o" else (nothing, value)
+def _text(column: str) -> str:
+    return f"CAST({column} AS STRING)"
 
 
 def _cell_if(condition: str, name: str, old: str, new: str) -> str:
@@ -140,36 +151,6 @@ def _cell_if(condition: str, name: str, old: str, new: str) -> str:
     return f"IF({condition}, named_struct('present', true, {cell}), NULL)"
 
 
-def _cell_rows(pair: _Pair, frame: DataFrame, cells: list[str]) -> DataFrame:
-    """One row per cell that is there."""
-    return (
-        frame.selectExpr(*pair.key_ids, f"inline(CAST(array({', '.join(cells)}) AS array<{CELL}>))")
-        .filter("present")
-        .selectExpr(*pair.key_out, "column_name", "original_value", "new_value")
-    )
-
-
-def _changed_cells(pair: _Pair, null_safe: bool) -> DataFrame:
-    """One row per differing cell of the matched rows; equal rows stop at the join condition."""
-    changes = pair.changes(null_safe)
-    cells = [
-        _cell_if(change, sql_text(name), _text(f"o{i}"), _text(f"n{i}"))
-        for i, (name, change) in enumerate(zip(pair.columns, changes))
-    ]
-    return _cell_rows(pair, pair.matched().filter(any_of(changes)), cells)
-
-
-def _one_sided_cells(pair: _Pair, side: DataFrame, prefix: str) -> DataFrame:
-    """One row per value of the rows of one side; a row without any value still gives one line."""
-    ids = [f"{prefix}{i}" for i in range(len(pair.columns))]
-    cells = [
-        _cell_if(f"{value} IS NOT NULL", sql_text(name), *_sides(prefix, i, "NULL"))
-        for i, (value, name) in enumerate(zip(ids, pair.columns))
-    ]
-    empty = " AND ".join(f"{value} IS NULL" for value in ids) or "true"
-    return _cell_rows(pair, side, [*cells, _cell_if(empty, "NULL", "NULL", "NULL")])
-
-
 def diff_cells(
     original: DataFrame,
     new: DataFrame,
@@ -192,13 +173,26 @@ def diff_cells(
     """
     refuse_taken(as_list(key), ["column_name", "original_value", "new_value", "change"])
     pair = _pair(original, new, key, None, duplicates)
-    changed = _changed_cells(pair, null_safe)
-    if not null_safe:
-        return changed
+    changes = pair.changes(null_safe)
+    cells = [
+        _cell_if(change, sql_text(name), _text(f"o{i}"), _text(f"n{i}"))
+        for i, (name, change) in enumerate(zip(pair.columns, changes))
+    ]
+    shown = [*pair.key_out, "column_name", "original_value", "new_value"]
+    if null_safe:
+        # no cell differs in a row of one side: none has a value
+        empty = f"{ONE_SIDED} AND NOT ({any_of(changes)})"
+        cells.append(_cell_if(empty, "NULL", "NULL", "NULL"))
+        rows = pair.sided().filter(f"{any_of(changes)} OR {ONE_SIDED}")
+        passed = [*pair.key_ids, f"{CHANGE} AS change"]
+        shown.append("change")
+    else:
+        rows = pair.matched().filter(any_of(changes))
+        passed = pair.key_ids
     return (
-        changed.withColumn("change", F.lit("changed"))
-        .unionAll(_one_sided_cells(pair, pair.only_new(), "n").withColumn("change", F.lit("added")))
-        .unionAll(_one_sided_cells(pair, pair.only_original(), "o").withColumn("change", F.lit("removed")))
+        rows.selectExpr(*passed, f"inline(CAST(array({', '.join(cells)}) AS array<{CELL}>))")
+        .filter("present")
+        .selectExpr(*shown)
     )
 
 
@@ -215,17 +209,13 @@ def diff_flags(
     """
     refuse_taken(as_list(key), ["original_value", "new_value", "diff"])
     pair = _pair(original, new, key, [column], duplicates)
-    old_type, new_type = pair.original_types[0].simpleString(), pair.new_types[0].simpleString()
     (different,) = pair.changes(null_safe=False)
-    flag = f"IF({different}, 'DIFFERENT', 'SAME') AS diff"
-    matched = pair.matched().selectExpr(*pair.key_out, "o0 AS original_value", "n0 AS new_value", flag)
-    removed = pair.only_original().selectExpr(
-        *pair.key_out, "o0 AS original_value", f"CAST(NULL AS {new_type}) AS new_value", "'SAME' AS diff"
-    )
-    added = pair.only_new().selectExpr(
-        *pair.key_out, f"CAST(NULL AS {old_type}) AS original_value", "n0 AS new_value", "'SAME' AS diff"
+    return pair.sided().selectExpr(
+        *pair.key_out,
+        "o0 AS original_value",
+        "n0 AS new_value",
+        f"IF({different}, 'DIFFERENT', 'SAME') AS diff",
     )
-    return matched.unionAll(removed).unionAll(added)
 
 
 def diff_report(
@@ -249,30 +239,16 @@ def diff_report(
     pair = _pair(original, new, key, [c for c in original.columns if c not in key], duplicates)
     head = pair.key_out if include_key else []
 
-    def listed(entries: list[str]) -> str:
-        return f"concat_ws({', '.join([sql_text(', '), *entries])}) AS differences"
-
-    def entry(name: str, old: str, now: str) -> str:
-        return f"concat({sql_text(name + ': ')}, {old}, ' -> ', {now})"
-
     def shown(column: str) -> str:
         return f"coalesce({_text(column)}, 'NULL')"
 
     changes = pair.changes(null_safe)
     entries = [
-        f"IF({change}, {entry(name, shown(f'o{i}'), shown(f'n{i}'))}, NULL)"
+        f"IF({change}, concat({sql_text(name + ': ')}, {shown(f'o{i}')}, ' -> ', {shown(f'n{i}')}), NULL)"
         for i, (name, change) in enumerate(zip(pair.columns, changes))
     ]
-    changed = pair.matched().filter(any_of(changes)).selectExpr(*head, listed(entries))
-    if not null_safe:
-        return changed
-
-    def one_sided(side: DataFrame, prefix: str, change: str) -> DataFrame:
-        values = [entry(name, *_sides(prefix, i, "'NULL'")) for i, name in enumerate(pair.columns)]
-        return side.selectExpr(*head, listed(values), f"'{change}' AS change")
-
-    return (
-        changed.withColumn("change", F.lit("changed"))
-        .unionAll(one_sided(pair.only_new(), "n", "added"))
-        .unionAll(one_sided(pair.only_original(), "o", "removed"))
-    )
+    line = f"concat_ws({', '.join([sql_text(', '), *entries])}) AS differences"
+    if null_safe:
+        rows = pair.sided().filter(f"{any_of(changes)} OR {ONE_SIDED}")
+        return rows.selectExpr(*head, line, f"{CHANGE} AS change")
+    return pair.matched().filter(any_of(changes)).selectExpr(*head, line)

@@ -45,10 +45,18 @@ def test_strict_diff_is_one_inner_join(versions, plan):
         )
 
 
-def test_null_safe_diff_shuffles_the_rows_once(versions):
+def test_null_safe_diff_of_unique_keys_is_one_join(versions):
     text = _final(diff_cells(*versions, "id", null_safe=True))
+    assert len(re.findall(r"Join", text)) == 1 and "FullOuter" in text
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_null_safe_diff_of_repeated_keys_shuffles_the_rows_once(versions):
+    text = _final(diff_cells(*versions, "id", null_safe=True, duplicates="multiply"))
     assert "FullOuter" not in text and "BroadcastNestedLoop" not in text and "Cartesian" not in text
     assert text.count("ReusedExchange") == 2
+    # equal rows stop at the join condition
+    assert re.search(r"Join[^\n]*Inner[^\n]*NOT \(o0#\d+ <=> n0#\d+\)", text)
     # copies of the keys to look up are dropped before their shuffle
     assert len(re.findall(r"Exchange hashpartitioning\(k0#\d+L, at_partition[^\n]*\n[^\n]*HashAggregate", text)) == 2
 
