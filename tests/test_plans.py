@@ -136,6 +136,23 @@ def test_a_hot_key_is_split(spark, setting):
     }
 
 
+def test_a_hot_account_is_split(spark, setting):
+    setting(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("account")
+    note = F.sha2(F.col("id").cast("string"), 256).alias("note")
+    txns = spark.range(0, 200_000, 1, 16).select(hot, note, F.lit("20240115").alias("date"))
+    accounts = spark.range(0, 200_000, 1, 16).select(hot)
+    got = lookback_select(txns, accounts, "20240115")
+    assert re.search(r"Join\(skew=true\)[^\n]*LeftSemi", _final(got))
+    assert got.count() == 200_000
+
+
 def test_library_has_no_costly_calls():
     package = Path(featward.__file__).parent
     code = {p.relative_to(package).as_posix(): p.read_text() for p in package.rglob("*.py")}
