@@ -14,6 +14,7 @@ from featward import (
     match_rows,
     row_multiset_diff,
 )
+from featward.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -36,7 +37,7 @@ def in_order(rows):
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, name):
     df = spark_entry.queries()[name](spark, str(DATA / "sf0.001"))
     sql = spark_entry.oracle_sql()[name]
