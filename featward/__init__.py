@@ -11,6 +11,7 @@ from featward.operators.models import (
     MlClassifier,
     TreeEnsemble,
     load_model,
+    load_tree_dump,
     save_model,
 )
 from featward.operators.ordinal import with_ordinal
@@ -41,6 +42,7 @@ __all__ = [
     "ingest_dated_csv",
     "list_dated_files",
     "load_model",
+    "load_tree_dump",
     "lookback_dates",
     "lookback_select",
     "match_rows",

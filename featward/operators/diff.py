@@ -1,10 +1,10 @@
 """Differences between two versions of a keyed table.
 
 All of it rests on equi joins over the key: an inner join where only rows on both sides matter, and
-otherwise all rows of both sides. For those, keys found to be unique allow one full outer join.
-Where a key repeats, the same rows come from an inner and two anti joins over the same shuffles,
-because adaptive execution splits a hot key in those and not in a full outer join. Rows without a
-key match nothing and bypass the shuffle.
+otherwise all rows of both sides. For those, keys found to be unique allow one full outer join. A key
+that repeats may be hot, and adaptive execution splits it in a left or anti join but never in a full
+outer one: the side with the repeats then left-joins the other, whose unmatched rows an anti join
+adds. Rows without a key match nothing; a hash of the row spreads them over the tasks.
 """
 
 from __future__ import annotations
@@ -58,56 +58,69 @@ class _Pair:
 
     def matched(self) -> DataFrame:
         """The pairs of rows with the same key: k…, o…, n…."""
-        if self.duplicates == "refuse":
-            self._repeats()
+        self._repeated()
         original, new = self.original.filter(self._has_key), self.new.filter(self._has_key)
         return original.join(new, self.key_ids)
 
     def sided(self) -> DataFrame:
         """All rows of both sides: k…, o…, n…, and ``in_original``, ``in_new``: true or NULL."""
-        original = self.original.withColumn("in_original", F.lit(True))
-        new = self.new.withColumn("in_new", F.lit(True))
-        keyed, other = original.filter(self._has_key), new.filter(self._has_key)
-        if self.duplicates == "refuse" and not self._repeats(look_at_both=True):
-            parts = [keyed.join(other, self.key_ids, "full_outer")]
+        original = self._spread(self.original.withColumn("in_original", F.lit(True)))
+        new = self._spread(self.new.withColumn("in_new", F.lit(True)))
+        on = [*self.key_ids, "spread"]
+        repeated = self._repeated()
+        if self.duplicates == "multiply" or repeated == "both":
+            parts = [original.join(new, on), _without(original, new, on), _without(new, original, on)]
+        elif repeated == "original":
+            parts = [original.join(new, on, "left"), _without(new, original, on)]
+        elif repeated == "new":
+            parts = [new.join(original, on, "left"), _without(original, new, on)]
         else:
-            parts = [
-                keyed.join(other, self.key_ids),
-                keyed.join(lookup_keys(other.select(*self.key_ids)), self.key_ids, "left_anti"),
-                other.join(lookup_keys(keyed.select(*self.key_ids)), self.key_ids, "left_anti"),
-            ]
-        keyless = f"NOT ({self._has_key})"
-        parts += [original.filter(keyless), new.filter(keyless)]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    def _repeats(self, look_at_both: bool = False) -> bool:
-        """Does a key repeat? On both sides it is an error: a join would pair every copy with every copy.
-
-        Reads the key columns only; copies are counted before the shuffle. The new side is looked
-        at if the original has a repeated key, or if asked to.
-        """
+            parts = [original.join(new, on, "full")]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).drop("spread")
 
-        def copies(side: DataFrame, name: str) -> DataFrame:
-            return side.filter(self._has_key).groupBy(*self.key_ids).agg(F.count("*").alias(name))
+    def _spread(self, side: DataFrame) -> DataFrame:
+        """With a column that rows with a key share; rows without one match nothing and go anywhere."""
+        values = ", ".join(c for c, kind in side.dtypes if "map<" not in kind and kind != "variant")
+        return side.withColumn("spread", F.expr(f"IF({self._has_key}, 0L, xxhash64({values}))"))
 
-        def repeats(counted: DataFrame, name: str) -> bool:
-            return (counted.agg(F.max(name)).first()[0] or 0) > 1
+    def _repeated(self) -> str | None:
+        """The side on which a key repeats. On both sides it is an error: a join would pair every copy
+        with every copy.
 
-        original, new = copies(self.original, "original"), copies(self.new, "new")
-        if not repeats(original, "original"):
-            return look_at_both and repeats(new, "new")
-        worst = (
-            original.filter("original > 1")
-            .join(new.filter("new > 1"), self.key_ids)
-            .agg(F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")))
-            .first()[0]
+        One job over the key columns of both sides; copies are counted before the shuffle.
+        """
+        if self.duplicates == "multiply":
+            return None
+
+        def keys(side: DataFrame, original: int) -> DataFrame:
+            mark = [F.lit(original).alias("original"), F.lit(1 - original).alias("new")]
+            return side.filter(self._has_key).select(*self.key_ids, *mark)
+
+        counted = (
+            keys(self.original, 1)
+            .unionAll(keys(self.new, 0))
+            .groupBy(*self.key_ids)
+            .agg(F.sum("original").alias("original"), F.sum("new").alias("new"))
         )
-        if worst:
+        most = counted.agg(
+            F.max("original").alias("original"),
+            F.max("new").alias("new"),
+            F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")).alias("worst"),
+        ).first()
+        worst = most["worst"]
+        if worst and min(worst["original"], worst["new"]) > 1:
             raise ValueError(
                 f"key {dict(zip(self.key, worst))} occurs {worst['original']} times in the original "
                 f"and {worst['new']} times in the new frame; pass duplicates='multiply' to pair them all"
             )
-        return True
+        if (most["original"] or 0) > 1 and (most["new"] or 0) > 1:
+            return "both"
+        return "original" if (most["original"] or 0) > 1 else "new" if (most["new"] or 0) > 1 else None
+
+
+def _without(rows: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
+    """The rows that have no partner; copies of the keys to look up go before they are shuffled."""
+    return rows.join(lookup_keys(others.select(*on)), on, "left_anti")
 
 
 def _pair(
@@ -236,7 +249,7 @@ def diff_report(
     original, new = align_columns(original, new, sanitize)
     key = as_list(key)
     refuse_taken(key, ["differences", "change"])
-    pair = _pair(original, new, key, [c for c in original.columns if c not in key], duplicates)
+    pair = _pair(original, new, key, None, duplicates)
     head = pair.key_out if include_key else []
 
     def shown(column: str) -> str:

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featward.functions.compare import any_of
-from featward.functions.names import positional, quoted, refuse_taken
+from featward.functions.names import as_list, positional, positions, quoted, refuse_taken
 from featward.operators.align import align_columns
-from featward.operators.positional import compare_positional
 
 
 def _counted(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -95,14 +94,29 @@ def row_multiset_diff(a: DataFrame, b: DataFrame, sanitize: bool = True) -> Data
 def frames_equal(a: DataFrame, b: DataFrame, order_by: str | list[str] | None = None) -> DataFrame:
     """One row, ``is_same``: do the frames hold the same rows?
 
-    Without ``order_by`` as multisets, in any order; with it also position by position. Frames
-    with different columns (or, by position, different row counts) are an error.
+    With ``order_by``, are the n-th rows equal as well, ties taken in an order of the whole row? That
+    order is a function of the rows, so frames with the same rows have the same sequence, and one
+    grouping answers both questions. In order, columns have to have the same places and a different
+    number of rows is an error when the result is evaluated; without it columns may be in any
+    order. Frames with different columns are an error in either case.
     """
     if order_by is not None:
-        differences = compare_positional(a, b, order_by)
+        if a.columns != b.columns:
+            raise ValueError(f"the frames differ in their columns: {a.columns} and {b.columns}")
+        positions(a.columns, as_list(order_by), "ordered")
+    elif sorted(a.columns) != sorted(b.columns):
+        raise ValueError(f"different columns: {a.columns} and {b.columns}")
     else:
-        if sorted(a.columns) != sorted(b.columns):
-            raise ValueError(f"different columns: {a.columns} and {b.columns}")
         a, b = align_columns(a, b, sanitize=False)
-        differences = _counted(a, b).filter("n_original <> n_new")
-    return differences.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_same"))
+    same = _counted(a, b).agg(
+        F.coalesce(F.sum("n_original"), F.lit(0)).alias("all_original"),
+        F.coalesce(F.sum("n_new"), F.lit(0)).alias("all_new"),
+        (F.coalesce(F.sum(F.abs(F.col("n_original") - F.col("n_new"))), F.lit(0)) == 0).alias("is_same"),
+    )
+    if order_by is None:
+        return same.select("is_same")
+    message = F.concat_ws(
+        "", F.lit("the frames differ in their row counts: "), "all_original", F.lit(" and "), "all_new"
+    )
+    differ = F.col("all_original") != F.col("all_new")
+    return same.select(F.when(differ, F.raise_error(message)).otherwise(F.col("is_same")).alias("is_same"))

@@ -6,19 +6,16 @@ from collections.abc import Iterable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featward.functions.bins import DECISION_BINS, Bin, bin_of, class_of
 from featward.functions.names import as_list, named, refuse_taken
 from featward.functions.text import day_month_year
-from featward.operators.models import MAX_MODEL_BYTES, LogisticModel, MlClassifier, TreeEnsemble
+from featward.operators.models import MAX_MODEL_BYTES, LogisticModel, MlClassifier, TreeEnsemble, model_bytes
 
 PROBA = "PREDICTED_PROBA"
-
-# Up to this many nodes an ensemble is compiled to CASE expressions and stays inside generated
-# code; a larger one goes to a vectorised UDF.
-NATIVE_NODES = 256
+SCENARIO = "71621"  # fixed value: the scenario id of the output
 
 
 def _sigmoid(margin: Column) -> Column:
@@ -50,12 +47,12 @@ def _trees_native(model: TreeEnsemble) -> Column:
     margin = F.lit(float(model.base_margin))
     for tree in model.trees:
         margin = margin + _tree_case(tree, model.single_precision)
-    return _sigmoid(margin)
+    return margin
 
 
-def _tree_table(model: TreeEnsemble) -> dict[str, np.ndarray]:
+def _tree_table(model: TreeEnsemble, used: list[str]) -> dict[str, np.ndarray]:
     """All trees as flat arrays; a leaf points to itself, so walking on from it changes nothing."""
-    order = {name: i for i, name in enumerate(model.features)}
+    order = {name: i for i, name in enumerate(used)}
     feature, threshold, yes, no, missing, value = [], [], [], [], [], []
 
     def place(node: dict) -> tuple[int, int]:
@@ -85,18 +82,20 @@ def _tree_table(model: TreeEnsemble) -> dict[str, np.ndarray]:
     }
 
 
-def _trees_udf(spark: SparkSession, model: TreeEnsemble) -> Column:
-    table = _tree_table(model)
-    size = sum(a.nbytes for a in table.values())
-    if size > MAX_MODEL_BYTES:
-        raise ValueError(f"the model takes {size} bytes; at most {MAX_MODEL_BYTES} are broadcast")
-    shared = spark.sparkContext.broadcast(table)
+def _trees_udf(model: TreeEnsemble) -> Column:
+    """The margin, its trees added up in the same order and over the same casts as in generated code."""
+    splits = {n["split"] for n in model.nodes() if "leaf" not in n}
+    used = [f for f in model.features if f in splits]
+    if not used:
+        return _trees_native(model)
+    # Part of the function, and not a broadcast of ours that somebody would have to release; Spark sends
+    # a large function as a broadcast of its own.
+    t = _tree_table(model, used)
     base = float(model.base_margin)
 
     # Uses only its own names, so that executors need no copy of this package.
     @F.pandas_udf("double")
-    def probability(*columns: pd.Series) -> pd.Series:
-        t = shared.value
+    def margin_of(*columns: pd.Series) -> pd.Series:
         x = np.column_stack([c.to_numpy(t["threshold"].dtype) for c in columns])
         absent = np.isnan(x)
         rows = np.arange(len(x))
@@ -108,9 +107,9 @@ def _trees_udf(spark: SparkSession, model: TreeEnsemble) -> Column:
                 side = np.where(x[rows, at] < t["threshold"][node], t["yes"][node], t["no"][node])
                 node = np.where(absent[rows, at], t["missing"][node], side)
             margin += t["value"][node]
-        return pd.Series(1.0 / (1.0 + np.exp(-margin)))
+        return pd.Series(margin)
 
-    return probability(*[named(f).cast("double") for f in model.features])
+    return margin_of(*[named(f).cast("float" if model.single_precision else "double") for f in used])
 
 
 def _ml_scored(df: DataFrame, model: MlClassifier, kept: list[str]) -> DataFrame:
@@ -138,21 +137,29 @@ def score(
     model: LogisticModel | TreeEnsemble | MlClassifier,
     feature_cols: Sequence[str] | None = None,
     keep: str | Iterable[str] = (),
-    engine: str = "auto",
+    engine: str = "native",
+    max_model_bytes: int = MAX_MODEL_BYTES,
 ) -> DataFrame:
     """``keep`` columns, the model's features in its own order, and ``PREDICTED_PROBA``.
 
     ``feature_cols`` names the frame's columns for the model's features, in that order, where
-    they are called differently. A NULL feature gives a NULL probability; trees send it down
-    their missing branch. ``engine`` for trees: ``native`` expressions, vectorised ``udf``, or
-    ``auto`` by the number of nodes.
+    they are called differently; a kept column may then not have the name of a feature that comes
+    from another one. A NULL feature gives a NULL probability; trees send it down their missing
+    branch. ``engine`` for trees: ``native`` expressions inside generated code, or a vectorised
+    ``udf``, which suits ensembles of thousands of nodes; they give the same bits. A model whose
+    parameters take more than ``max_model_bytes`` (:func:`model_bytes`) is refused.
     """
-    if engine not in ("auto", "native", "udf"):
-        raise ValueError("engine is 'auto', 'native' or 'udf'")
+    if engine not in ("native", "udf"):
+        raise ValueError("engine is 'native' or 'udf'")
+    if (size := model_bytes(model)) > max_model_bytes:
+        raise ValueError(f"the model takes {size} bytes; max_model_bytes is {max_model_bytes}")
     keep = as_list(keep)
     if feature_cols is not None:
         if len(feature_cols) != len(model.features):
             raise ValueError(f"the model has features {list(model.features)}")
+        moved = {f for c, f in zip(feature_cols, model.features) if c != f}
+        if lost := sorted(moved & set(keep)):
+            raise ValueError(f"kept columns {lost} have the names of features that come from other columns")
         kept = [named(c) for c in keep if c not in model.features]
         df = df.select(*kept, *[named(c).alias(f) for c, f in zip(feature_cols, model.features)])
     kept = [*[c for c in keep if c not in model.features], *model.features]
@@ -161,12 +168,8 @@ def score(
         return _ml_scored(df, model, kept)
     if isinstance(model, LogisticModel):
         proba = _logistic(model)
-    elif engine == "native" or (
-        engine == "auto" and sum(1 for _ in model.nodes()) <= NATIVE_NODES
-    ):
-        proba = _trees_native(model)
     else:
-        proba = _trees_udf(df.sparkSession, model)
+        proba = _sigmoid(_trees_native(model) if engine == "native" else _trees_udf(model))
     return df.select(*[named(c) for c in kept], proba.alias(PROBA))
 
 
@@ -191,7 +194,7 @@ def class_id(df: DataFrame) -> DataFrame:
 def scored_output(
     df: DataFrame,
     run_dt: str | Column,
-    scenario_id: str = "71621",
+    scenario_id: str = SCENARIO,
     cust_col: str | None = None,
 ) -> DataFrame:
     """The eight output columns from a frame with ``PREDICTED_PROBA`` and ``BIN``.

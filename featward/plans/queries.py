@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +28,7 @@ from featward.plans.inputs import (
     restated_orders,
     table,
 )
-from featward.session import new_scratch
+from featward.session import new_scratch, new_table
 from featward.sinks.delimited import write_delimited
 from featward.sinks.tables import overwrite_table
 from featward.sources.dated import ingest_dated_csv, list_dated_files, read_date_list
@@ -58,7 +57,7 @@ def q_ingest_dated_csv(spark, sf_dir):
 def q_ingest_to_table(spark, sf_dir):
     """Dated files into a table partitioned by their date."""
     rows = ingest_dated_csv(spark, dated_files(spark, sf_dir) + "/file=feat_final_*.csv", strict_header=True)
-    name = f"features_{uuid.uuid4().hex}"
+    name = new_table("features")
     overwrite_table(rows, name, partition_by="prcsng_dt", path=new_scratch(spark, "table"), rebalance=True)
     return spark.table(name)
 
@@ -278,7 +277,7 @@ def q_delimited_roundtrip(spark, sf_dir):
 def q_overwrite_table(spark, sf_dir):
     """A table written with the original orders, then replaced by the restated ones."""
     original, restated = _versions(spark, sf_dir)
-    name = f"orders_{uuid.uuid4().hex}"
+    name = new_table("orders")
     path = new_scratch(spark, "table")
     overwrite_table(original, name, path=path)
     overwrite_table(restated, name, partition_by="status", path=path, rebalance=True)

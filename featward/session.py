@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 _own_base: str | None = None
 _issued: list[str] = []
+_tables: list[str] = []
 
 
 def get_spark(app: str = "featward", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,11 +62,21 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     return path
 
 
+def new_table(label: str) -> str:
+    """A fresh table name, dropped with the scratch paths."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    _tables.append(name)
+    return name
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete every scratch path this process was given.
+    """Delete every scratch path and table that this process was given.
 
-    Frames still to be evaluated may read from them, so call it after the last action.
+    Frames still to be evaluated may read from them, so call it after the last action. A driver that
+    dies leaves its paths; they are below ``spark.checkpoint.dir`` and named after their use.
     """
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     while _issued:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featward.functions.names import as_list
+from featward.functions.names import as_list, named, positions
 
 
 def overwrite_table(
@@ -20,12 +22,25 @@ def overwrite_table(
 ) -> None:
     """Replace the table by the frame. ``fmt='delta'`` needs that package on the class path.
 
-    ``partition_by`` gives later reads partition pruning. ``bucket_by=(n, key)`` lets keyed diffs
-    of two such tables join without a shuffle. ``rebalance`` shuffles by the partition columns
-    first, so that files come out evenly sized and a large partition is split over tasks.
+    ``partition_by`` gives later reads partition pruning. Partition values are directory names, which
+    cannot tell '' from NULL: an empty text in such a column stops the write. ``bucket_by=(n, key)``
+    lets keyed diffs of two such tables join without a shuffle; the rows are dealt out by the key
+    first, so that there is one sorted file per bucket (with ``partition_by``, per partition and
+    bucket). Such a join sorts nothing either if
+    ``spark.sql.legacy.bucketedTableScan.outputOrdering`` is true. ``rebalance`` shuffles by the
+    partition columns first, so that files come out evenly sized and a large partition is split
+    over tasks; it does nothing beside ``bucket_by``.
     """
     parts = as_list(partition_by or [])
-    if rebalance:
+    for i in positions(df.columns, parts, "written"):
+        if isinstance(df.schema[i].dataType, T.StringType):
+            column = df.columns[i]
+            message = f"'' in partition column {column!r} would be read back as NULL; replace it first"
+            checked = F.when(named(column) == "", F.raise_error(F.lit(message))).otherwise(named(column))
+            df = df.withColumn(column, checked)
+    if bucket_by:
+        df = df.repartition(bucket_by[0], *[named(c) for c in as_list(bucket_by[1])])
+    elif rebalance:
         df = df.hint("rebalance", *parts)
     writer = df.write.mode("overwrite").format(fmt)
     if parts:

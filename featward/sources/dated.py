@@ -13,7 +13,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featward.sources.delimited import read_header_csv
+from featward.sources.delimited import read_header_csv, text_schema
 
 # Fixed value: the file-name form of a dated feature file; group 1 is the date.
 DATED_FILE = r"feat_final_(\d{8})\.csv"
@@ -25,12 +25,14 @@ def ingest_dated_csv(
     path_glob: str | list[str],
     date_pattern: str = DATED_FILE,
     columns: list[str] | None = None,
-    strict_header: bool = False,
+    strict_header: bool = True,
     **options,
 ) -> DataFrame:
     """All header CSVs of a glob, every column as text, with ``prcsng_dt`` from the file name.
 
-    A path the pattern does not match gets ''; its rows are kept.
+    A path the pattern does not match gets ''; its rows are kept (a table partitioned by the date
+    cannot hold ''). A file whose header names other columns, or the same in another order, is an
+    error; ``strict_header=False`` reads all files by position, whatever their headers say.
     """
     rows = read_header_csv(spark, path_glob, columns, strict_header, **options)
     return rows.withColumn(
@@ -70,6 +72,11 @@ def _in_uri(text: str) -> str:
     return re.escape(quote(text, safe="/:=,+@!$&'()*;~-._"))
 
 
+def _any_file(spark: SparkSession, glob: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    return bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path))
+
+
 def read_date_list(
     spark: SparkSession,
     template: str,
@@ -81,7 +88,8 @@ def read_date_list(
     """The header CSVs of the listed dates only, as text, tagged with ``prcsng_dt``.
 
     ``template`` is a path with one ``{date}``. A date without a file is an error, or is passed
-    over with ``on_missing='skip'``: the paths then go out as one glob of alternatives.
+    over with ``on_missing='skip'``: the paths then go out as one glob of alternatives. If there is no
+    file for any date, that gives an empty frame of ``columns``, which have to be given then.
     """
     if on_missing not in ("error", "skip"):
         raise ValueError("on_missing is 'error' or 'skip'")
@@ -93,6 +101,11 @@ def read_date_list(
         raise ValueError(f"not dates: {odd}" if odd else "no dates given")
     head, tail = template.split("{date}")
     if on_missing == "skip":
+        glob = head + "{" + ",".join(wanted) + "}" + tail
+        if not _any_file(spark, glob):
+            if columns is None:
+                raise ValueError(f"no file for any date: {glob}; give columns to get an empty frame")
+            return spark.createDataFrame([], text_schema([*columns, DATE_COLUMN]))
         paths = [head + "{" + ",".join(wanted) + "}" + tail]
     else:
         paths = [head + d + tail for d in wanted]

@@ -100,6 +100,23 @@ def test_frames_equal(pair, spark, rows):
         frames_equal(left, right.withColumn("a", F.col("a").cast("string")))
 
 
+def test_frames_equal_in_order(spark, rows, plan):
+    frame = spark.createDataFrame([(1, 5, "x"), (1, 4, "y"), (2, 3, None)], "g int, v int, t string")
+    assert rows(frames_equal(frame, frame.orderBy("v"), "g")) == [(True,)]
+    assert rows(frames_equal(frame, frame.withColumn("v", F.col("v").cast("long")), "g")) == [(True,)]
+    assert rows(frames_equal(frame, frame.withColumn("t", F.lit("x")), "g")) == [(False,)]
+    with_map = frame.withColumn("m", F.create_map("t", "v")) .filter("t IS NOT NULL")
+    assert rows(frames_equal(with_map, with_map.orderBy("v"), "g")) == [(True,)]
+    with pytest.raises(Exception, match="row counts: 3 and 2"):
+        frames_equal(frame, frame.limit(2), "g").collect()
+    with pytest.raises(ValueError, match="columns"):
+        frames_equal(frame, frame.select("v", "g", "t"), "g")
+    with pytest.raises(ValueError, match="missing"):
+        frames_equal(frame, frame, "nothing")
+    text = plan(frames_equal(frame, frame, "g"))
+    assert text.count("Exchange hashpartitioning") == 1 and "Sort " not in text
+
+
 @pytest.mark.parametrize("merge", ["true", "false"])
 def test_ordinal_equals_place_in_sorted_order(spark, rows, setting, merge):
     setting(spark__sql__adaptive__coalescePartitions__enabled=merge)

@@ -1,5 +1,6 @@
 """Models, bins, the scored output, numeric text, look-back."""
 
+import json
 import math
 import random
 
@@ -13,6 +14,7 @@ from featward import (
     assign_bin,
     class_id,
     load_model,
+    load_tree_dump,
     lookback_dates,
     lookback_select,
     non_numeric_values,
@@ -119,17 +121,54 @@ def test_single_precision_split(spark):
             assert score(frame, model, engine=engine).first()[1] == pytest.approx(sigmoid(margin))
 
 
-def test_large_ensembles_leave_generated_code(spark, plan):
+@pytest.mark.parametrize("single", [False, True])
+def test_both_engines_give_the_same_bits(spark, plan, single):
+    draw = random.Random(2)
+    features = ["a", "b", "c", "never_split_on"]
+    model = TreeEnsemble(features, [random_tree(draw, features[:3], 5) for _ in range(60)], 0.1, single)
+    rows = spark.range(0, 200_000, 1, 4).selectExpr(
+        "id",
+        "IF(id % 11 = 0, NULL, (id * 7919 % 1000) / 400D) AS a",
+        "CAST((id * 104729 % 1000) / 300D AS DECIMAL(12, 8)) AS b",
+        "IF(id % 13 = 0, double('NaN'), (id * 1299709 % 1000) / 2000D) AS c",
+        "'text' AS never_split_on",
+    )
+    native, udf = (score(rows, model, keep="id", engine=e) for e in ("native", "udf"))
+    assert "Python" not in plan(score(rows, model)) and "ArrowEvalPython" in plan(udf)
+    other = udf.select("id", F.col("PREDICTED_PROBA").alias("other"))
+    both = native.join(other, "id")
+    assert both.count() == 200_000
+    assert both.filter("PREDICTED_PROBA IS DISTINCT FROM other").count() == 0
+
+
+def test_score_refuses(spark):
     draw = random.Random(2)
     frame = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
-    small = TreeEnsemble(("a", "b"), [random_tree(draw, ["a", "b"], 2)])
-    large = TreeEnsemble(("a", "b"), [random_tree(draw, ["a", "b"], 6) for _ in range(60)])
-    assert "ArrowEvalPython" not in plan(score(frame, small))
-    assert "ArrowEvalPython" in plan(score(frame, large))
-    with pytest.raises(ValueError):
-        score(frame, small, engine="fast")
+    model = TreeEnsemble(("a", "b"), [random_tree(draw, ["a", "b"], 6) for _ in range(60)])
+    with pytest.raises(ValueError, match="engine"):
+        score(frame, model, engine="auto")
+    with pytest.raises(ValueError, match="max_model_bytes"):
+        score(frame, model, max_model_bytes=1000)
     with pytest.raises(ValueError, match="unknown features"):
-        TreeEnsemble(("a",), large.trees)
+        TreeEnsemble(("a",), model.trees)
+    logistic = LogisticModel(("a",), (1.0,))
+    with pytest.raises(ValueError, match=r"\['a'\]"):
+        score(frame, logistic, feature_cols=["b"], keep=["a"])
+    assert score(frame, logistic, feature_cols=["a"], keep=["a", "b"]).columns == ["b", "a", "PREDICTED_PROBA"]
+
+
+def test_tree_dump(spark, tmp_path):
+    leaf = lambda at, v: {"nodeid": at, "leaf": v}
+    split = {"nodeid": 0, "depth": 0, "split_condition": 0.5, "yes": 1, "no": 2, "missing": 1}
+    trees = [{**split, "split": s, "children": [leaf(1, v), leaf(2, -v)]} for s, v in (("b", 1.0), ("f0", 0.25))]
+    (tmp_path / "dump.json").write_text(json.dumps(trees))
+    model = load_tree_dump(spark, f"{tmp_path}/dump.json", ["a", "b"], base_margin=0.5)
+    frame = spark.createDataFrame([(0.0, 1.0), (1.0, None)], "a double, b double")
+    got = [r.PREDICTED_PROBA for r in score(frame, model).collect()]
+    assert got == pytest.approx([sigmoid(0.5 - 1 + 0.25), sigmoid(0.5 + 1 - 0.25)])
+    (tmp_path / "other.json").write_text("{}")
+    with pytest.raises(ValueError, match="not a list"):
+        load_tree_dump(spark, f"{tmp_path}/other.json", ["a"])
 
 
 def test_model_files(spark, tmp_path):
