@@ -17,7 +17,7 @@ from featward.llm.toxicity import fit_severity, predict_severity
 from featward.llm.urls import filter_urls, rule_table
 
 QUALITY_AT = 0.7  # a score from here on predicts label 1
-TOXIC_AT = 0.2  # a probability of any toxic grade from here on
+TOXIC_AT = 0.12  # a probability of any toxic grade from here on; held-out clean texts stay below 0.07
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
