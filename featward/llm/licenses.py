@@ -142,6 +142,8 @@ def scan_licenses(
     parts = F.filter(sentences(F.col(text_col)), lambda s: s.rlike(anchors))
     found = F.array_compact(F.transform(parts, lambda s: F.try_element_at(wanted, normalised(s))))
     found = F.when(F.col(text_col).rlike(anchors), found).otherwise(none)
+    if not rules:
+        return df.withColumn("sentence_ids", found).withColumn("licenses", none)
 
     table = F.array(
         *[

@@ -29,7 +29,7 @@ def quantised(df: DataFrame, vec_col: str, id_col: str, scale: float) -> DataFra
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    values = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dims)
     if values.size and max(-int(values.min()), int(values.max())) > MAX_COMPONENT:
         raise ValueError(f"a component is beyond {MAX_COMPONENT}; inner products might not fit in a long")
     return values
@@ -71,7 +71,7 @@ def _search(q_ids, queries, tails, ids, vectors, best: _Best, order) -> None:
     columns = np.ascontiguousarray(vectors.T[order].astype(exact))
     rows = np.ascontiguousarray(queries[:, order].astype(exact))
     squares = np.cumsum(columns[::-1].astype(float) ** 2, axis=0)[::-1]
-    cuts = list(range(0, dims, BLOCK_DIMS)) + [dims]
+    cuts = [*range(0, max(dims, 1), BLOCK_DIMS), dims]
     left = [np.sqrt(squares[c]) * (1 + 1e-9) + 1e-6 if c < dims else None for c in cuts]
     first = rows[:, : cuts[1]] @ columns[: cuts[1]]
     for q in range(len(rows)):

@@ -1,0 +1,70 @@
+"""Byte-pair encoding against the tiktoken library, and back."""
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from featward.llm.bpe import Codec, decode_bpe, encode_bpe, merge, read_ranks, unpack_ids
+from featward.llm.queries import op1_bpe, tokenizer
+
+from .conftest import SF
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return read_ranks(tokenizer()[0])
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+
+
+def test_merges_equal_the_library(ranks, library):
+    codec, draw = Codec(ranks, public_tokenizers.PATTERN), random.Random(3)
+    parts = ["a", "b", "aa", "é", "日本", "z" * 30, "q", "😀", " ", "\n", "1", "'s", "<|endoftext|>", "ing", "\x00"]
+    for _ in range(400):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 120)))
+        packed = codec.encode(text)
+        assert np.frombuffer(packed, "<u4").tolist() == library(text)
+        assert codec.decode(packed).decode() == text
+
+
+def test_leftmost_of_equal_ranks_and_overlaps():
+    ranks = {bytes([i]): i for i in range(256)} | {b"aa": 300, b"ab": 299, b"aaa": 301, b"aaaa": 298}
+    assert merge(b"aaaaa", ranks) == [298, 97]
+    assert merge(b"aaab", ranks) == [300, 299]
+
+
+def test_a_very_long_pre_token(ranks, library):
+    text = "".join(random.Random(5).choice("abcdefgh") for _ in range(60_000))
+    assert merge(text.encode(), ranks) == library(text)
+
+
+def test_edge_texts(spark):
+    path, pattern = tokenizer()
+    texts = [None, "", " ", "same", "same", "x" * 50_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    frame = frame.selectExpr("*", "'clash' AS ids", "'clash' AS decoded")
+    out = decode_bpe(encode_bpe(frame, path, pattern), path, pattern)
+    got = {r.doc_id: r for r in out.collect()}
+    assert {i: bytes(r.decoded).decode() for i, r in got.items()} == {i: t or "" for i, t in enumerate(texts)}
+    assert got[0].ids == got[1].ids == b"" and got[3].ids == got[4].ids
+    assert [len(r.ids) for r in unpack_ids(out.filter("doc_id < 3")).collect()] == [0, 0, 1]
+    assert encode_bpe(frame.limit(0), path, pattern).count() == 0
+
+
+def test_query(spark, documents, library):
+    rows = {r.doc_id: r for r in op1_bpe(spark, str(SF)).collect()}
+    assert rows.keys() == documents.keys()
+    for doc_id, text in documents.items():
+        ids = library(text or "")
+        assert rows[doc_id].n_tokens == len(ids)
+        assert rows[doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert rows[doc_id].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()

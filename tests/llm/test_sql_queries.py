@@ -1,0 +1,206 @@
+"""The queries that SQL can express, and the edge cases of their operators."""
+
+import pytest
+
+from featward.llm.jaccard import jaccard_components
+from featward.llm.licenses import RULES, SENTENCES, anchor_words, plain_sentence, scan_licenses
+from featward.llm.queries import LLM_ORACLE, LLM_QUERIES, URL_RULES
+from featward.llm.topk import top_k
+from featward.llm.urls import filter_urls, rule_table
+
+from .conftest import SF
+
+
+@pytest.mark.parametrize("name", sorted(LLM_ORACLE))
+def test_query_matches_sql(spark, duck, name):
+    df = LLM_QUERIES[name](spark, str(SF))
+    columns = sorted(df.columns)
+    expected = duck.sql(f"SELECT {', '.join(columns)} FROM ({LLM_ORACLE[name]})").fetchall()
+    assert sorted(map(tuple, df.select(*columns).collect()), key=repr) == sorted(expected, key=repr)
+
+
+def scanned(spark, *texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string").selectExpr("*", "1 AS licenses")
+    return [(r.sentence_ids, r.licenses) for r in scan_licenses(frame).orderBy("i").collect()]
+
+
+def test_every_known_sentence_is_recognised(spark):
+    found = scanned(spark, *SENTENCES.values())
+    assert [ids for ids, _ in found] == [[name] for name in SENTENCES]
+    words = anchor_words([plain_sentence(s) for s in SENTENCES.values()])
+    assert all(set(words) & set(plain_sentence(s).split()) for s in SENTENCES.values())
+
+
+def test_rules_take_their_sentences_in_order(spark):
+    grant, notice, title = (SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-title"))
+    released, apache = SENTENCES["mit-released"], SENTENCES["apache-licensed"]
+    whole = f"{title}\n\nCopyright\n{grant}\nhm\n{notice}"
+    found = scanned(
+        spark,
+        whole,
+        f"{whole}\n{grant}",
+        f"foo. {released} Bar. {released.upper()} {apache}",
+        f"{notice}\n{grant}",
+        f"prefix {released}",
+        None,
+        "",
+        "no " * 40_000 + "\n" + released,
+        released,
+        released,
+    )
+    assert [licenses for _, licenses in found] == [
+        ["MIT"], ["MIT", "MIT"], ["MIT", "MIT", "Apache-2.0"], ["MIT"], [], [], [], ["MIT"], ["MIT"], ["MIT"],
+    ]
+    assert found[0][0] == ["mit-title", "mit-grant", "mit-notice"]
+    assert all(set(ids) <= SENTENCES.keys() for _, ids in RULES)
+
+
+def test_licences_of_empty_inputs(spark):
+    frame = spark.createDataFrame([("MIT License",)], "text string")
+    assert scan_licenses(frame.limit(0)).count() == 0
+    assert scan_licenses(frame, known={}, rules=()).first().sentence_ids == []
+    assert scan_licenses(frame, rules=()).first()[1:] == (["mit-name"], [])
+    with pytest.raises(ValueError):
+        scan_licenses(frame, known={"a<b": "x"})
+
+
+URLS = [
+    ("http://WWW.Example.com/en/1?x#y", "www.example.com", "/en/1", "www.example.com/en/", "allow"),
+    ("https://a.b.example.com/en/", "a.b.example.com", "/en/", "example.com/en/", "block"),
+    ("http://example.com/EN/1", "example.com", "/EN/1", "com/", "allow"),
+    ("http://example.com?q=/en/", "example.com", "", None, "allow"),
+    ("http://notexample.com/en/1", "notexample.com", "/en/1", "com/", "allow"),
+    ("http://x.net/fr/a://b.net/es/", "x.net", "/fr/a://b.net/es/", "net/fr/", "block"),
+    ("http://x.net/de/", "x.net", "/de/", None, "allow"),
+    ("example.com/en/", "", "", None, "allow"),
+    ("://com/", "com", "/", "com/", "allow"),
+    ("http:///en/", "", "/en/", None, "allow"),
+    (None, "", "", None, "allow"),
+    ("", "", "", None, "allow"),
+    ("http://e.com/" + "p/" * 5000, "e.com", "/" + "p/" * 5000, "com/", "allow"),
+]
+
+
+def test_urls(spark):
+    rows = [(i, url, "clash", 7) for i, (url, *_) in enumerate(URLS)]
+    frame = spark.createDataFrame([*rows, rows[0], rows[0]], "page_id int, url string, rule string, found int")
+    got = filter_urls(frame, rule_table(spark, URL_RULES))
+    assert got.columns == ["page_id", "url", "found", "host", "path", "rule", "verdict"]
+    found = sorted((tuple(r) for r in got.collect()), key=repr)
+    expected = [(i, url, 7, *rest) for i, (url, *rest) in enumerate(URLS)]
+    assert found == sorted([*expected, expected[0], expected[0]], key=repr)
+
+
+def test_url_rules(spark):
+    frame = spark.createDataFrame([("http://a.b/pq",), ("http://a.b/p",)], "url string")
+    rules = [
+        ("BLOCK", "A.B", "/p"), ("allow", "b", "/pq"), ("allow", "a.b", "/p"), ("block", "a.b", "/p"),
+        (None, "a.b", "/pq"), ("allow", None, "/"), ("hide", "a.b", "/pq"),
+    ]
+    got = filter_urls(frame, rule_table(spark, rules), default="block").select("path", "rule", "verdict")
+    # a.b/p and b/pq are equally long: a block comes before an allow
+    assert sorted(map(tuple, got.collect())) == [("/p", "a.b/p", "block"), ("/pq", "a.b/p", "block")]
+    none = filter_urls(frame, rule_table(spark, [("allow", "x", "/")]).limit(0), default="block")
+    assert [r.verdict for r in none.collect()] == ["block"] * 2
+    assert filter_urls(frame.limit(0), rule_table(spark, rules)).count() == 0
+
+
+def test_no_python_in_native_queries(spark, plan):
+    for name in ("op3_licenses", "op8_urls"):
+        assert "Python" not in plan(LLM_QUERIES[name](spark, str(SF)))
+
+
+def test_top_k_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [-1.0, 0.5]), (4, None), (5, [nan, 1.0]),
+        (6, [inf, 1.0]), (7, [1.0, None]), (None, [1.0, 1.0]), (8, [1.0]), (9, []), (2, [1.0, 0.0]),
+        (10, [0.999, -0.001]), (11, []),
+    ]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").selectExpr("*", "1 AS score")
+    got = top_k(frame, frame.filter("vec_id IN (0, 3, 5, 8, 9)"), k=3)
+    assert sorted(map(tuple, got.collect())) == [
+        (0, 1, 1, 65536), (0, 2, 2, 65536), (0, 3, 2, 65536),
+        (3, 1, 10, 255 * -256 - 128), (3, 2, 0, -65536), (3, 3, 1, -65536),
+        (9, 1, 11, 0),
+    ]
+    assert top_k(frame.limit(0), frame, k=3).count() == 0
+    assert top_k(frame, frame.limit(0), k=3).count() == 0
+    with pytest.raises(Exception, match="beyond"):
+        top_k(spark.createDataFrame([(1, [1e9]), (2, [1.0])], "vec_id long, embedding array<double>"), frame).collect()
+
+
+def test_top_k_blocks_of_queries_and_dimensions(spark):
+    import random
+
+    draw = random.Random(7)
+    vectors = [(i, [draw.gauss(0, 1) for _ in range(40)]) for i in range(600)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
+    got = top_k(frame, frame.filter("vec_id % 3 = 0"), k=4, query_block=64)
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in vectors}
+    expected = []
+    for q in range(0, 600, 3):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+        expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:4])]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def brute_components(rows):
+    sets, links = {}, {}
+    for i, text in rows:
+        words = (text or "").lower().split()
+        runs = [tuple(words[k : k + 5]) for k in range(len(words) - 4)] if len(words) > 4 else [tuple(words)] if words else []
+        sets[i] = set(runs)
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {(i, len(s), root(i)) for i, s in sets.items()}
+
+
+def test_jaccard_against_brute_force(spark, prose):
+    """Chains of near copies, a hot group of exact and one of near copies, a passage that all share."""
+    import random
+
+    draw = random.Random(11)
+    passage, rows = prose(0, 30), []
+
+    def add(text):
+        rows.append((len(rows) * 3 - 50, text))
+
+    for seed in range(25):
+        words = prose(seed + 1, draw.randint(30, 90), 5000).split()
+        for _ in range(draw.randint(1, 6)):  # a chain: each differs a little from the one before
+            at = draw.randrange(len(words))
+            words = [*words[:at], f"x{draw.random()}", *words[at + 1 :]]
+            add(" ".join(words))
+        add(" ".join([*words[:10], passage, *words[10:]]))
+    base = prose(99, 120, 5000).split()
+    for n in range(60):
+        add(" ".join(base))
+        add(" ".join([*base[: n % 100], "changed", *base[n % 100 + 1 :]]))
+    for text in (None, "", "  \n", "one two", "One  two", "one two three four five", "ONE two three four five", "ö"):
+        add(text)
+    add("long " + prose(5, 30_000, 100_000))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    frame = frame.selectExpr("*", "1 AS id", "'x' AS n", "0 AS component_id")
+    got = jaccard_components(frame)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert {tuple(r) for r in got.collect()} == brute_components(rows)
+
+
+def test_jaccard_edges(spark, prose):
+    text = prose(1, 40)
+    rows = [(None, text), (5, text), (5, text), (7, text), (8, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, jaccard_components(frame).collect()), key=repr)
+    n = len({tuple(text.split()[i : i + 5]) for i in range(36)})
+    assert got == sorted([(None, n, None), (5, n, 5), (5, n, 5), (7, n, 5), (8, 0, 8)], key=repr)
+    assert jaccard_components(frame.limit(0)).count() == 0
