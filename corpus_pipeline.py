@@ -14,7 +14,7 @@ from featward.llm.bpe import decode_bpe, encode_bpe
 from featward.llm.decontaminate import match_benchmark
 from featward.llm.jaccard import BROADCAST_IDS, jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
-from featward.llm.queries import TOXIC_AT, tokenizer
+from featward.llm.queries import tokenizer, toxic_from
 from featward.llm.toxicity import fit_severity, predict_severity
 from featward.session import new_scratch
 
@@ -34,7 +34,7 @@ def _kept(found: DataFrame, condition: Column | str) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic, by a model of the labelled ones. NULL and empty texts stay."""
     model = fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _kept(predict_severity(_beside(docs), model), F.col("p_toxic") < TOXIC_AT)
+    return _kept(predict_severity(_beside(docs), model), F.col("p_toxic") < toxic_from(model))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +15,12 @@ from featward.llm.licenses import RULES, SENTENCE_END, SENTENCES, plain_sentence
 from featward.llm.lm import fit_kneser_ney, score_kneser_ney
 from featward.llm.quality import fit_rules, score_quality
 from featward.llm.topk import top_k
-from featward.llm.toxicity import fit_severity, predict_severity
+from featward.llm.toxicity import SeverityModel, fit_severity, predict_severity
 from featward.llm.urls import filter_urls, rule_table
 
 QUALITY_AT = 0.7  # a score from here on predicts label 1
-TOXIC_AT = 0.12  # a probability of any toxic grade from here on; held-out clean texts stay below 0.07
+TOXIC_AT = 0.1  # a probability of any toxic grade from here on,
+TOXIC_ODDS = 3.0  # if its odds are so many times those of a text without a telling word
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -77,11 +80,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxic_from(model: SeverityModel) -> float:
+    """The probability of a toxic grade from which on a text is called toxic."""
+    if not len(model.thresholds):
+        return 2.0
+    odds = TOXIC_ODDS * math.exp(-model.thresholds[0])
+    return max(TOXIC_AT, odds / (1 + odds))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_severity(docs, _table(spark, sf_dir, "labels"))
     return predict_severity(docs, model).select(
-        "doc_id", "severity", "grade", "p_toxic", (F.col("p_toxic") >= TOXIC_AT).alias("toxic")
+        "doc_id", "severity", "grade", "p_toxic", (F.col("p_toxic") >= toxic_from(model)).alias("toxic")
     )
 
 

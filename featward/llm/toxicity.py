@@ -15,8 +15,9 @@ from featward.llm.words import ALNUM, U64, chunks, distinct_per_text, signed, wo
 
 FEATURES = 2048  # words with a weight
 MIN_DOCS = 5  # sampled documents a word must be in
+TELLING = 4.0  # standard errors by which its share of toxic documents must be above that of others
+LIFT = 3.0  # times the share of others that it must be, so that words of long texts do not count
 GRADES = 3  # 0: not toxic; toxic documents are split among the others
-RIDGE = 1e-4
 STEPS = 250
 FOUND = "__severity_found"
 
@@ -52,8 +53,14 @@ def features(texts, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def fit_cumulative_link(text, place, value, grade, weight, n_features: int, grades: int):
-    """Weights and thresholds that minimise the weighted loss with a ridge, by Adam on the whole sample."""
+    """Weights and thresholds that minimise the weighted loss, by Adam on the whole sample.
+
+    Weights are kept from falling below 0: a word may add to the severity, and no amount of ordinary words
+    makes up for it. The ridge is that of a normal prior of variance 1 on each weight, so it gives
+    way as rows grow.
+    """
     n, total = len(grade), weight.sum()
+    ridge = 1 / max(n, 1)
     w = np.zeros(n_features)
     above = [max(min(weight[grade > g].sum() / total, 1 - 1e-6), 1e-6) for g in range(grades - 1)]
     start = -np.log(np.array(above) / (1 - np.array(above)))
@@ -74,17 +81,17 @@ def fit_cumulative_link(text, place, value, grade, weight, n_features: int, grad
         by_cut = by_cut - np.bincount(grade, share * slope_high / chance, grades)[:-1]
         by_t = np.array([by_cut[g:].sum() for g in range(grades - 1)])
         by_t[1:] *= np.exp(t[1:])
-        gradient = np.concatenate([np.bincount(place, value * pull[text], n_features) + RIDGE * w, by_t])
+        gradient = np.concatenate([np.bincount(place, value * pull[text], n_features) + ridge * w, by_t])
         state[0] = 0.9 * state[0] + 0.1 * gradient
         state[1] = 0.99 * state[1] + 0.01 * gradient**2
         move = (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
         move *= 0.15 * (1 - step / (STEPS + 1))
-        w, t = w - move[:n_features], t - move[n_features:]
+        w, t = np.maximum(w - move[:n_features], 0.0), t - move[n_features:]
     return w, t[0] + np.concatenate([[0.0], np.cumsum(np.exp(t[1:]))])
 
 
 def _telling_words(sample: DataFrame, n_features: int) -> np.ndarray:
-    """The words whose share of documents differs most between the labels, in standard errors."""
+    """The words that are most clearly more frequent in toxic documents than in others."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,14 +109,16 @@ def _telling_words(sample: DataFrame, n_features: int) -> np.ndarray:
         return np.zeros(0, U64)
     share = [F.col(f"n{k}") / float(sizes[k]) for k in (0, 1)]
     both = (F.col("n0") + F.col("n1")) / float(sizes[0] + sizes[1])
-    spread = F.sqrt(both * (1 - both) + 1e-9)
+    error = F.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1]) + 1e-12)
+    above = (share[1] - share[0]) / error
+    telling = (F.col("n0") + F.col("n1") >= MIN_DOCS) & (above >= TELLING) & (share[1] >= LIFT * share[0])
     top = (
         sample.select("text", "label")
         .mapInArrow(count, "word long, n0 long, n1 long")
         .groupBy("word")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .filter(F.col("n0") + F.col("n1") >= MIN_DOCS)
-        .orderBy(F.desc(F.abs(share[1] - share[0]) / spread), "word")
+        .filter(telling)
+        .orderBy(F.desc(above), "word")
         .limit(n_features)
         .toArrow()
     )

@@ -1,0 +1,127 @@
+"""The pipeline's stages against plain versions, on planted cases and edge cases."""
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from conftest import DATA
+from featward.llm.bpe import read_ranks
+from featward.llm.components import components
+from featward.llm.queries import tokenizer
+
+from .conftest import SF
+from .test_decontaminate import brute
+from .test_sql_queries import brute_components
+
+LARGER = str(DATA / "sf0.01")
+TOXIC = "stupid worthless idiot, disgusting trash. "
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = read_ranks(tokenizer()[0])
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    ).encode_ordinary
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_stage_list():
+    names = [name for name, _ in P.STAGES]
+    assert names == ["toxicity", "language", "near_duplicates", "decontamination", "tokens"]
+
+
+def test_run(spark, library):
+    docs = texts(spark.read.parquet(f"{SF}/documents.parquet"))
+    out = P.run(spark, str(SF)).collect()
+    assert 100 < len(out) < len(docs)
+    ranks = {}
+    for r in out:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert r.exact and r.n_tokens == len(ids) and ids == library(docs[r.doc_id])
+        ranks[r.doc_id] = docs[r.doc_id]
+    links = brute_components(ranks.items())
+    assert all(component == doc_id for doc_id, _, component in links)  # no two near duplicates are left
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    assert not brute(list(ranks.items()), [(i.item_id, i.text) for i in items])
+
+
+def test_toxic_documents_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
+    kept = P.toxicity(spark, docs, LARGER)
+    assert kept.schema.names == docs.schema.names
+    left = set(texts(kept))
+    assert {d for d in labels if labels[d] == 0} <= left
+    toxic = [d for d in labels if labels[d]]
+    assert sum(d in left for d in toxic) < 0.2 * len(toxic)
+    planted = docs.limit(40).withColumn("text", F.concat(F.lit(TOXIC * 2), "text"))
+    planted = planted.withColumn("doc_id", F.col("doc_id") + 10**6)
+    both = texts(P.toxicity(spark, docs.union(planted), LARGER))
+    assert not [d for d in both if d >= 10**6]
+
+
+def test_near_duplicates_keep_one(spark, prose):
+    rows = [(i, prose(i // 3, 50)) for i in range(30)]  # three of each
+    rows += [(100, None), (101, None), (102, ""), (None, prose(0, 50)), (7, prose(2, 50)), (103, "one"), (103, "two")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component_id", F.lit("x"))
+    kept = P.near_duplicates(spark, frame, str(SF))
+    assert kept.columns == frame.columns
+    found = sorted((r.doc_id, r.text) for r in kept.filter("doc_id IS NOT NULL").collect() if r.text)
+    assert found == sorted([*rows[::3][:10], (103, "one"), (103, "two")])
+    assert sorted(r.doc_id for r in kept.filter("text IS NULL OR text = ''").collect()) == [100, 101, 102]
+    assert kept.filter("doc_id IS NULL").count() == 1
+    twice = frame.filter("doc_id = 0").union(frame.filter("doc_id = 0"))
+    assert P.near_duplicates(spark, twice, str(SF)).count() == 1
+
+
+def test_language_stage(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 34 !!"), (-4, "the and of is")], "doc_id long, text string")
+    odd = odd.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "'s' AS source", "1L AS n_chars")
+    kept = texts(P.language(spark, docs.union(odd), LARGER))
+    assert {-1, -2, -3} & kept.keys() == set() and -4 in kept
+    assert set(texts(docs)) <= kept.keys()
+
+
+def test_stages_on_odd_frames(spark):
+    """Columns that clash with those of the operators, NULL in every column, no rows at all."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    clash = ["matches", "found", "severity", "score", "lang_pred", "languages", "ids", "decoded", "n_tokens", "id"]
+    odd = docs.selectExpr("*", *[f"doc_id AS {c}" for c in clash], "1 AS `a.b`", "2 AS component_id")
+    nulls = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in odd.schema])
+    odd = odd.union(nulls)
+    for frame in (odd, odd.limit(0), nulls):
+        for name, stage in P.STAGES:
+            out = stage(spark, frame, str(SF))
+            if name != "tokens":
+                assert out.schema.names == frame.schema.names
+            assert out.count() <= frame.count()
+    assert P.tokens(spark, nulls, str(SF)).first()[3:] == (0, b"", True)
+
+
+def test_components(spark):
+    import random
+
+    draw = random.Random(4)
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(200)]
+    pairs += [(i + 1000, i + 1001) for i in range(40)]  # a chain
+    pairs += [(5000, i) for i in range(4000, 4100)] + [(3, 3), (-7, 5000)]
+    frame = spark.createDataFrame(pairs, "a long, b long").repartition(4)
+    parent = {x: x for p in pairs for x in p}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    assert {r.node: r.component for r in components(frame).collect()} == {x: root(x) for x in parent}
+    assert components(frame.limit(0)).count() == 0
