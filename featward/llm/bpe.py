@@ -20,7 +20,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 500_000  # pre-tokens remembered per worker, in each of two generations
+MEMO_ENTRIES = 300_000  # pre-tokens remembered per worker, in each of two generations
 MEMO_CHARS = 48  # longer ones are encoded anew each time
 NODE_BITS = 8  # a bitmap node covers 2**8 ranks
 NODE_MASK = (1 << NODE_BITS) - 1
