@@ -22,9 +22,13 @@ LEAST_SHARE = 0.3  # of the likeliest language, among all; below it a text is in
 ROW = "__row"
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def _beside(docs: DataFrame) -> DataFrame:
     """The row as one struct, whose columns no operator can clash with, and the text beside it."""
-    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(ROW), docs["text"])
+    return docs.select(F.struct(*_columns(docs)).alias(ROW), docs["text"])
 
 
 def _kept(found: DataFrame, condition: Column | str) -> DataFrame:
@@ -54,12 +58,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     joined.filter("doc_id <> component_id").select("doc_id").distinct().write.parquet(path)
     others = spark.read.parquet(path)
     few = others.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(others) if few else others, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(F.broadcast(others) if few else others, "doc_id", "left_anti").select(_columns(docs))
     repeated = kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
-    several = kept.join(repeated, "doc_id", "left_semi").select(docs.columns)
+    once = kept.join(repeated, "doc_id", "left_anti").select(_columns(docs))
+    several = kept.join(repeated, "doc_id", "left_semi").select(_columns(docs))
     return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
