@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featward.functions.compare import comparable
 from featward.functions.names import as_list, named, positional, positions, refuse_taken
 from featward.session import new_scratch
 from featward.sources.delimited import FILE_ORDER
@@ -17,11 +18,11 @@ ROW_BITS = 33
 
 
 def _hashable(dtype: T.DataType) -> bool:
-    if isinstance(dtype, T.ArrayType):
-        return _hashable(dtype.elementType)
-    if isinstance(dtype, T.StructType):
-        return all(_hashable(f.dataType) for f in dtype.fields)
-    return not isinstance(dtype, (T.MapType, T.VariantType))
+    try:
+        comparable("c", dtype)
+    except TypeError:
+        return False
+    return True
 
 
 def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) -> tuple[DataFrame, int]:
@@ -38,7 +39,7 @@ def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) ->
     spark = df.sparkSession
     order = [f"c{i}" for i in positions(df.columns, as_list(order_by), "ordered")]
     row = positional(df, "c")
-    tie = F.xxhash64(*[F.col(f.name) for f in row.schema.fields if _hashable(f.dataType)])
+    tie = F.xxhash64(*[F.expr(f"xxhash64({comparable(f.name, f.dataType)})") for f in row.schema.fields if _hashable(f.dataType)])
     sort = [*[F.col(c) for c in order], tie, F.col("at_partition")]
     path = new_scratch(spark, "ordered-rows")
     (
@@ -65,36 +66,72 @@ def number_rows(df: DataFrame, order_by: str | Iterable[str], start: int = 0) ->
     return numbered, total
 
 
+# Splits of a scan whose starts are broadcast, 24 bytes each; more are joined by a shuffle.
+BROADCAST_SPLITS = 2_000_000
+
+
+def _running_totals(spark: SparkSession, sizes: DataFrame, order: list[str], size: str) -> DataFrame:
+    """The frame with ``before``, the sum of ``size`` over all rows that come earlier in the order.
+
+    Rows are sorted, which partitions them by range, and written; the sum runs within each range, and
+    the ranges' own totals, one per partition, say where each starts.
+    """
+    path = new_scratch(spark, "running-totals")
+    sizes.orderBy(*order).withColumn("place", F.monotonically_increasing_id()).write.parquet(path)
+    written = spark.read.parquet(path).withColumn("part", F.shiftright("place", ROW_BITS))
+    totals = sorted(written.groupBy("part").agg(F.sum(size).alias("total")).collect())
+    starts, total = [], 0
+    for row in totals:
+        starts.append((row["part"], total))
+        total += row["total"]
+    within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        written.withColumn("within", F.coalesce(F.sum(size).over(within), F.lit(0)))
+        .join(F.broadcast(spark.createDataFrame(starts, "part long, start long")), "part")
+        .withColumn("before", F.col("start") + F.col("within"))
+        .drop("part", "place", "within", "start")
+    )
+
+
 def number_file_rows(df: DataFrame) -> tuple[DataFrame, int]:
     """As :func:`number_rows` for a frame fresh from a file scan, in the order of its lines.
 
     The splits of a scan are pieces of that order already, so the rows are written as they are
-    read, once and without a shuffle. The rows of each split are counted from the written table,
-    and a running sum over the splits, one row for each piece of a file, says where it starts.
-    That sum is a small table of known size: the planner broadcasts it if it may.
+    read, once and without a shuffle. The rows of each split are counted from the written table, and
+    running totals over the splits say where each starts. A row finds its split by the partition
+    that read it, which the upper bits of its number hold, and the first number of the split.
     """
     spark = df.sparkSession
     order, columns = F.col(FILE_ORDER), [c for c in df.columns if c != FILE_ORDER]
+    place = [f for f in df.schema[FILE_ORDER].dataType.names if f != "row"]
     names = [f"c{i}" for i in range(len(columns))]
     rows, starts = new_scratch(spark, "file-rows"), new_scratch(spark, "split-starts")
     (
-        df.select(*[named(c) for c in columns], order["file"], order["block"], order["row"])
-        .toDF(*names, "file", "block", "row")
+        df.select(*[named(c) for c in columns], *[order[f] for f in place], order["row"])
+        .toDF(*names, *place, "row")
         .write.parquet(rows)
     )
     written = spark.read.parquet(rows)
+    splits = written.groupBy(*place).agg(F.count("row").alias("size"), F.min("row").alias("first"))
     (
-        written.groupBy("file", "block")
-        .agg(F.count("row").alias("size"), F.min("row").alias("first"))
-        .withColumn("end", F.sum("size").over(Window.orderBy("file", "block")))
-        .withColumn("before", F.col("end") - F.col("size"))
+        _running_totals(spark, splits, place, "size")
+        .groupBy(F.shiftright("first", ROW_BITS).alias("task"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("first", (F.col("before") - F.col("first")).alias("shift")))).alias("splits"),
+            F.sum("size").alias("size"),
+        )
         .write.parquet(starts)
     )
-    split = spark.read.parquet(starts)
-    total = split.agg(F.coalesce(F.max("end"), F.lit(0))).first()[0]
+    by_task = spark.read.parquet(starts)
+    number, total = by_task.agg(F.coalesce(F.sum(F.size("splits")), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shift = F.aggregate(
+        "splits", F.lit(0).cast("long"), lambda found, s: F.when(s["first"] <= F.col("row"), s["shift"]).otherwise(found)
+    )
+    known = by_task.select("task", "splits")
     numbered = (
-        written.join(split, ["file", "block"])
-        .withColumn("pos", F.col("before") + F.col("row") - F.col("first"))
+        written.select(*names, "row", F.shiftright("row", ROW_BITS).alias("task"))
+        .join(F.broadcast(known) if number <= BROADCAST_SPLITS else known, "task")
+        .withColumn("pos", F.col("row") + shift)
         .select(*names, "pos")
     )
     return numbered, total

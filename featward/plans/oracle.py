@@ -46,6 +46,14 @@ UNION ALL
 SELECT o.id, n.id, false, o.price, n.price, false, o.status, n.status, false, 1, 1
 FROM original o JOIN restated n ON n.id = o.id AND n.price = o.price AND n.status = o.status"""
 
+NULL_SAFE_MATCH = """
+SELECT o.id AS id_original, n.id AS id_new, false AS id_is_different,
+       o.price AS price_original, n.price AS price_new, false AS price_is_different,
+       o.status AS status_original, n.status AS status_new, false AS status_is_different,
+       CAST(o.id IS NOT NULL AS BIGINT) AS n_original, CAST(n.id IS NOT NULL AS BIGINT) AS n_new
+FROM original o FULL JOIN restated n
+  ON n.id = o.id AND n.price IS NOT DISTINCT FROM o.price AND n.status IS NOT DISTINCT FROM o.status"""
+
 POSITIONS = """,
 a AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos FROM original),
 b AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos FROM restated)
@@ -102,6 +110,9 @@ ORACLE: dict[str, str] = {
     "ingest_dated_csv": EVENT_FILES,
     "ingest_to_table": EVENT_FILES,
     "list_dated_files": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS prcsng_dt FROM events",
+    "list_dated_file_sizes": """
+SELECT strftime(ts, '%Y%m%d') AS prcsng_dt, CAST(count(*) * 20 AS BIGINT) AS bytes, true AS as_expected
+FROM events GROUP BY 1""",
     "read_date_list": EVENT_FILES,
     "align_columns": """
 SELECT o_orderkey AS id, CAST(o_totalprice AS DECIMAL(15,2)) AS total_price, 'a' AS side FROM orders
@@ -140,6 +151,23 @@ SELECT conv_id, turn, 'role' AS column_name, orole AS original_value, nrole AS n
 FROM both_sides WHERE orole IS DISTINCT FROM nrole
 UNION ALL
 SELECT conv_id, turn, 'text', otext, ntext, change FROM both_sides WHERE otext IS DISTINCT FROM ntext""",
+    "diff_cells_repeated_keys": """
+WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS s, CAST(o_orderdate AS DATE) AS d FROM orders),
+n AS (SELECT CASE WHEN l_orderkey % 50 = 0 THEN -l_orderkey ELSE l_orderkey END AS id, l_linestatus AS s,
+             CAST(l_shipdate AS DATE) AS d FROM lineitem),
+x AS (SELECT coalesce(o.id, n.id) AS id, o.s AS os, n.s AS ns, CAST(o.d AS VARCHAR) AS od, CAST(n.d AS VARCHAR) AS nd,
+             CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS change
+      FROM o FULL JOIN n ON o.id = n.id)
+SELECT id, 'o_orderstatus' AS column_name, os AS original_value, ns AS new_value, change
+FROM x WHERE os IS DISTINCT FROM ns
+UNION ALL
+SELECT id, 'day', od, nd, change FROM x WHERE od IS DISTINCT FROM nd""",
+    "diff_bucketed": f"""{VERSIONS}
+SELECT o.id AS id, 'status' AS column_name, o.status AS original_value, n.status AS new_value
+FROM original o JOIN restated n ON o.id = n.id WHERE o.status <> n.status
+UNION ALL
+SELECT o.id, 'price', o.price, n.price
+FROM original o JOIN restated n ON o.id = n.id WHERE o.price <> n.price""",
     "diff_flags_price": f"""{VERSIONS}
 SELECT coalesce(o.id, n.id) AS id, o.price AS original_value, n.price AS new_value,
        CASE WHEN o.price <> n.price THEN 'DIFFERENT' ELSE 'SAME' END AS diff
@@ -158,6 +186,7 @@ FROM original o FULL JOIN restated n ON o.id = n.id
 WHERE o.id IS NULL OR n.id IS NULL OR o.price IS DISTINCT FROM n.price OR o.status IS DISTINCT FROM n.status""",
     "diff_report_csv": f"{VERSIONS} SELECT differences FROM ({REPORT})",
     "match_rows": VERSIONS + UNMATCHED.format(other="restated") + MATCHED,
+    "match_rows_nullsafe": VERSIONS + NULL_SAFE_MATCH,
     "match_rows_unmatched": VERSIONS + UNMATCHED.format(other="restated"),
     "match_rows_unmatched_self": f"WITH {ORIGINAL}" + UNMATCHED.format(other="original"),
     "row_multiset_diff": f"""{VERSIONS}
@@ -188,6 +217,13 @@ SELECT lang, "text", 'new', count(*) FROM (SELECT * FROM n EXCEPT ALL SELECT * F
 """,
     "compare_positional": SAME_KEYS + POSITIONS,
     "compare_csv": SAME_KEYS + POSITIONS,
+    "compare_csv_inferred": """
+WITH x AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderstatus AS s FROM orders),
+cells AS (
+  SELECT 'price' AS column_name, pos FROM x WHERE k % 11 = 0
+  UNION ALL
+  SELECT 'status', pos FROM x WHERE k % 7 <> 0 AND k % 13 = 0 AND s <> 'x')
+SELECT column_name, count(*) AS cells, CAST(sum(pos) AS BIGINT) AS positions FROM cells GROUP BY column_name""",
     "frames_equal": f"""{VERSIONS}
 SELECT 'original, restated' AS pair,
        NOT EXISTS (SELECT * FROM original EXCEPT ALL SELECT * FROM restated)
@@ -211,6 +247,17 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, {LOGISTIC_P} AS
 FROM lineitem""",
     "score_trees": TREES,
     "score_trees_udf": TREES,
+    "score_classifier": f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, {LOGISTIC_P} AS "PREDICTED_PROBA"
+FROM lineitem""",
+    "score_trees_missing": TREES.replace("l_discount < CAST", "d IS NULL OR d < CAST")
+    .replace("l_tax < CAST", "t IS NULL OR t < CAST")
+    .replace("l_discount, l_tax,", "d AS l_discount, t AS l_tax,")
+    .replace(
+        "FROM lineitem",
+        "FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN l_discount END AS d, "
+        "CASE WHEN l_orderkey % 3 <> 0 THEN l_tax END AS t FROM lineitem)",
+    ),
     "assign_bin": f"""
 SELECT l_orderkey, l_linenumber, p AS "PREDICTED_PROBA", {_bin('p', '1')} AS "BIN"
 FROM (SELECT l_orderkey, l_linenumber,
@@ -237,6 +284,10 @@ FROM mixed WHERE v <> '' AND NOT regexp_matches(trim(v), '{NUMBER}')""",
     "non_numeric_documents": f"""
 SELECT doc_id, "text" AS "value", 'Non-numeric value found: ' || "text" AS message
 FROM documents WHERE "text" <> '' AND NOT regexp_matches(trim("text"), '{NUMBER}')""",
+    "non_numeric_page_numbers": f"""
+WITH p AS (SELECT page_id, regexp_extract(url, '([^/?#]*)/?([?#].*)?$', 1) AS step FROM pages)
+SELECT page_id, step, step AS "value", 'Non-numeric value found: ' || step AS message
+FROM p WHERE step <> '' AND NOT regexp_matches(trim(step), '{NUMBER}')""",
     "delimited_roundtrip": """
 SELECT o_orderkey AS id,
        CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 5 = 0 THEN NULL

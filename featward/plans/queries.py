@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featward.operators.align import align_columns
 from featward.operators.diff import diff_cells, diff_flags, diff_report
 from featward.operators.lookback import lookback_dates, lookback_select
-from featward.operators.models import load_model, save_model
+from featward.operators.models import MlClassifier, load_model, save_model
 from featward.operators.ordinal import with_ordinal
 from featward.operators.positional import compare_csv, compare_positional
 from featward.operators.quality import non_numeric_values
@@ -68,6 +68,23 @@ def q_list_dated_files(spark, sf_dir):
     return found.select("prcsng_dt").distinct()
 
 
+def q_list_dated_file_sizes(spark, sf_dir):
+    """Lines of a fixed length: the listed lengths add up to the events of each date."""
+    root = new_scratch(spark, "sized-tree")
+    events = table(spark, sf_dir, "events")
+    line = F.lpad(F.col("event_id").cast("string"), 19, "0").alias("value")
+    day = F.date_format("ts", "yyyyMMdd").alias("day")
+    events.select(line, day, F.lit("feat_final.csv").alias("name")).hint("rebalance", "day").write.partitionBy(
+        "day", "name"
+    ).text(root)
+    found = list_dated_files(spark, root, "name=feat_final.csv", part_files=True)
+    in_path = F.regexp_extract("path", "day=([0-9]{8})/name=feat_final.csv/part-", 1) == F.col("prcsng_dt")
+    new = F.col("modified") > F.lit("2020-01-01").cast("timestamp")
+    return found.groupBy("prcsng_dt").agg(
+        F.sum("length").alias("bytes"), F.bool_and(in_path & new).alias("as_expected")
+    )
+
+
 def q_read_date_list(spark, sf_dir):
     """Every date the listing finds, and one without a file."""
     root = dated_tree(spark, sf_dir)
@@ -114,6 +131,28 @@ def q_diff_cells_conversations(spark, sf_dir):
     return diff_cells(turns, new, key=["conv_id", "turn"], null_safe=True)
 
 
+def q_diff_cells_repeated_keys(spark, sf_dir):
+    """Every order against its lines: a key that repeats on the new side."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), "o_orderstatus", F.to_date("o_orderdate").alias("day")
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 50 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("id"),
+        F.col("l_linestatus").alias("o_orderstatus"),
+        F.to_date("l_shipdate").alias("day"),
+    )
+    return diff_cells(orders, lines, key="id", null_safe=True)
+
+
+def q_diff_bucketed(spark, sf_dir):
+    """Two tables in as many buckets: their diff shuffles nothing."""
+    names = []
+    for version in _versions(spark, sf_dir):
+        names.append(new_table("bucketed"))
+        overwrite_table(version, names[-1], bucket_by=(4, "id"), path=new_scratch(spark, "table"))
+    return diff_cells(*[spark.table(n) for n in names], key="id")
+
+
 def q_diff_flags_price(spark, sf_dir):
     return diff_flags(*_versions(spark, sf_dir), key="id", column="price")
 
@@ -138,6 +177,10 @@ def q_match_rows(spark, sf_dir):
     return match_rows(*_versions(spark, sf_dir))
 
 
+def q_match_rows_nullsafe(spark, sf_dir):
+    return match_rows(*_versions(spark, sf_dir), null_safe=True)
+
+
 def q_match_rows_unmatched(spark, sf_dir):
     return match_rows(*_versions(spark, sf_dir), unmatched_only=True)
 
@@ -182,6 +225,24 @@ def q_compare_csv(spark, sf_dir):
     return compare_csv(spark, a, b, "id bigint, status string, price decimal(15,2)")
 
 
+def q_compare_csv_inferred(spark, sf_dir):
+    """Prices and keys written in other ways, and missing-value tokens: types settle what is equal."""
+    orders = table(spark, sf_dir, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice").cast("decimal(15,2)")
+    a = orders.select(
+        key.alias("id"), price.cast("string").alias("price"), (key % 2 == 0).cast("string").alias("even"),
+        F.when(key % 7 == 0, "NA").otherwise(F.col("o_orderstatus")).alias("status"),
+    )
+    b = orders.select(
+        key.alias("id"),
+        F.when(key % 11 == 0, price + 1).otherwise(price).cast("decimal(18,4)").cast("string").alias("price"),
+        F.initcap((key % 2 == 0).cast("string")).alias("even"),
+        F.when(key % 7 == 0, "null").when(key % 13 == 0, "x").otherwise(F.col("o_orderstatus")).alias("status"),
+    )
+    cells = compare_csv(spark, ordered_csv(a, "id"), ordered_csv(b, "id"))
+    return cells.groupBy("column_name").agg(F.count("*").alias("cells"), F.sum("pos").alias("positions"))
+
+
 def q_frames_equal(spark, sf_dir):
     original, restated = _versions(spark, sf_dir)
     changed = frames_equal(original, restated).withColumn("pair", F.lit("original, restated"))
@@ -220,6 +281,29 @@ def q_score_trees_udf(spark, sf_dir):
     return _rounded(score(lines, TREES, keep=LINE_KEYS, engine="udf"))
 
 
+def q_score_trees_missing(spark, sf_dir):
+    """Missing features go down the branch that the tree names."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "l_discount", F.when(F.col("l_linenumber") % 2 == 0, F.col("l_discount"))
+    )
+    lines = lines.withColumn("l_tax", F.when(F.col("l_orderkey") % 3 != 0, F.col("l_tax")))
+    return _rounded(score(lines, TREES, keep=LINE_KEYS, engine="udf"))
+
+
+def q_score_classifier(spark, sf_dir):
+    """A fitted classifier, here with the weights of the plain model."""
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.common import _py2java
+    from pyspark.ml.linalg import Vectors
+
+    weights = _py2java(spark.sparkContext, Vectors.dense(LOGISTIC.weights))
+    fitted = spark._jvm.org.apache.spark.ml.classification.LogisticRegressionModel(
+        "plain", weights, LOGISTIC.intercept
+    )
+    model = MlClassifier(LOGISTIC.features, LogisticRegressionModel(fitted))
+    return _rounded(score(table(spark, sf_dir, "lineitem"), model, keep=LINE_KEYS))
+
+
 def q_assign_bin(spark, sf_dir):
     proba = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 1101) / F.lit(1000.0)
     lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, proba.alias(PROBA))
@@ -260,6 +344,12 @@ def q_non_numeric_documents(spark, sf_dir):
     return non_numeric_values(documents, "text").drop("text")
 
 
+def q_non_numeric_page_numbers(spark, sf_dir):
+    """The last step of every page's path, of which some are numbers."""
+    step = F.regexp_extract("url", r"([^/?#]*)/?(?:[?#].*)?$", 1)
+    return non_numeric_values(table(spark, sf_dir, "pages").select("page_id", step.alias("step")), "step")
+
+
 def q_delimited_roundtrip(spark, sf_dir):
     key = F.col("o_orderkey")
     text = (

@@ -14,7 +14,8 @@ from featward import (
     row_multiset_diff,
     with_ordinal,
 )
-from featward.operators.ordinal import number_rows
+from featward.operators.ordinal import number_file_rows, number_rows
+from featward.sources.delimited import read_typed_csv
 
 NAN = float("nan")
 
@@ -186,7 +187,10 @@ def test_compare_csv_goes_by_line(spark, tmp_path, rows):
         (1, "v", None, "2.0"),
         (2, "t", 'say "hi"', None),
     ]
-    assert (0, "v", "1.0", "1") in rows(compare_csv(spark, a, b))
+    assert rows(compare_csv(spark, a, b)) == [(1, "v", None, "2.0"), (2, "t", 'say "hi"', None)]
+    assert (0, "v", "1.0", "1") in rows(compare_csv(spark, a, b, infer_types=False))
+    with pytest.raises(ValueError, match="inferSchema"):
+        compare_csv(spark, a, b, inferSchema=True)
     other = _csv(tmp_path / "c.csv", ["k,w,t", "3,1,x", "1,2,y", "2,5,null"])
     with pytest.raises(ValueError, match="columns"):
         compare_csv(spark, a, other)
@@ -194,6 +198,35 @@ def test_compare_csv_goes_by_line(spark, tmp_path, rows):
         compare_csv(spark, a, other, "k int, v double, t string")
 
 
+def test_inferred_types_are_the_narrowest_of_both_sides(spark, tmp_path, rows):
+    a = _csv(tmp_path / "a.csv", ["i,d,b,t,e,big", "1,1,true,1,NA,1", "007,2.50,FALSE,x,,99999999999999999999"])
+    b = _csv(tmp_path / "b.csv", ["i,d,b,t,e,big", "01,1e0,True,01,null,1.0", "7,2.5,false,x,NaN,1e20"])
+    assert rows(compare_csv(spark, a, b)) == [(0, "t", "1", "01")]
+
+
+def test_part_files_go_by_number(spark, tmp_path, rows):
+    for side, names in (("a", ("part-99999", "part-100000")), ("b", ("part-00000", "part-00001"))):
+        (tmp_path / side).mkdir()
+        for name, lines in zip(names, (["v", "1", "2"], ["v", "3", "4"])):
+            _csv(tmp_path / side / f"{name}-x.csv", lines)
+    assert rows(compare_csv(spark, f"{tmp_path}/a", f"{tmp_path}/b")) == []
+
+
+def test_lines_are_numbered_without_paths_or_one_window(spark, tmp_path, plan, setting):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = _csv(tmp_path / "a.csv", ["v", *map(str, range(100))])
+    numbered, total = number_file_rows(read_typed_csv(spark, path, "v int"))
+    text = plan(numbered)
+    assert total == 100 and "Window" not in text and "file" not in text.split("ReadSchema")[1].split(">")[0]
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_ties_with_differing_types_and_maps(spark, rows):
+    left = spark.createDataFrame([(1, i, {"k": i, "j": 1}) for i in range(50)], "g int, v int, m map<string,int>")
+    right = left.orderBy(F.desc("v")).select("g", F.col("v").cast("long").alias("v"), "m")
+    assert rows(compare_positional(left, right, "g")) == []
+
+
 def test_compare_csv_over_many_splits(spark, tmp_path, rows, setting):
     """Lines keep their order when tasks read a file in small pieces."""
     setting(spark__sql__files__maxPartitionBytes="4096")

@@ -12,7 +12,7 @@ from featward import (
     read_delimited,
     write_delimited,
 )
-from featward.session import new_scratch, scratch_base
+from featward.session import clear_scratch, new_scratch, new_table, scratch_base
 from featward.sources.delimited import read_typed_csv
 
 
@@ -184,3 +184,29 @@ def test_scratch_is_the_sessions_shared_folder(spark, setting):
     assert scratch_base(spark) == shared
     one, two = new_scratch(spark, "x"), new_scratch(spark, "x")
     assert one != two and one.startswith(shared)
+
+
+def test_no_file_for_any_date(spark, tmp_path, rows):
+    template = f"{tmp_path}/day={{date}}/x.csv"
+    empty = read_date_list(spark, template, ["20240101"], on_missing="skip", columns=["a"])
+    assert empty.columns == ["a", "prcsng_dt"] and rows(empty) == []
+    with pytest.raises(ValueError, match="no file for any date"):
+        read_date_list(spark, template, ["20240101"], on_missing="skip")
+
+
+def test_files_per_bucket_and_empty_partition_values(spark, tmp_path):
+    frame = spark.range(0, 1000, 1, 16).selectExpr("id", "CAST(id % 3 AS STRING) AS v")
+    overwrite_table(frame, new_table("bucketed"), bucket_by=(8, "id"), path=f"{tmp_path}/t")
+    assert len(list((tmp_path / "t").glob("part-*.parquet"))) == 8
+    with pytest.raises(Exception, match="partition column 'v'"):
+        overwrite_table(frame.selectExpr("id", "'' AS v"), new_table("parts"), partition_by="v")
+    with pytest.raises(Exception, match="null_value"):
+        write_delimited(frame.selectExpr("'-' AS v"), f"{tmp_path}/d", null_value="-")
+
+
+def test_scratch_tables_are_dropped(spark):
+    name = new_table("leftover")
+    overwrite_table(spark.range(3), name)
+    assert spark.catalog.tableExists(name)
+    clear_scratch(spark)
+    assert not spark.catalog.tableExists(name)
