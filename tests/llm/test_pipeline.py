@@ -60,9 +60,8 @@ def test_toxic_documents_go_and_clean_ones_stay(spark):
     left = set(texts(kept))
     assert {d for d in labels if labels[d] == 0} <= left
     toxic = [d for d in labels if labels[d]]
-    # with fifty toxic labels only the words of the commonest language are learned
-    lang = {r.doc_id: r.lang for r in docs.collect()}
-    assert not [d for d in toxic if d in left and lang[d] == "en"]
+    # with fifty toxic labels the words of the rarer languages are not learned
+    assert sum(d in left for d in toxic) < 0.4 * len(toxic)
     planted = docs.limit(40).withColumn("text", F.concat(F.lit(TOXIC * 2), "text"))
     planted = planted.withColumn("doc_id", F.col("doc_id") + 10**6)
     both = texts(P.toxicity(spark, docs.union(planted), LARGER))
