@@ -1,4 +1,7 @@
-"""Files of named arrays in the shared folder, memory-mapped by workers."""
+"""Files of named arrays in the shared folder, memory-mapped by workers.
+
+The folder has to be on a path that all executors see, or in a store that ``pyarrow.fs`` opens.
+"""
 
 from __future__ import annotations
 

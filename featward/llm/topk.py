@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featward.session import new_scratch
+
 QUERY_BLOCK = 4096  # queries sent to the executors at once
 BLOCK_DIMS = 16  # dimensions added up between two looks at the bounds
-ROWS = 8192  # candidates held as columns at once
+ROWS = 4096  # candidates held as columns at once; with a block of queries, 128 MB of scores
+BLOCKS_AT_ONCE = 16  # query blocks searched in one job
 MAX_COMPONENT = 1 << 26
 
 
@@ -147,7 +151,8 @@ def top_k(
     candidate, and rows with one id and equal scores keep their places next to each other.
 
     Queries go out in blocks of ``query_block`` (their size is bounded by it) and every block reads
-    the vectors once; a task keeps k candidates per query, which one shuffle by query then merges.
+    the vectors once; a task keeps k candidates per query. Those are written to the shared scratch
+    folder, some blocks at a time, and one shuffle by query merges them.
     Components beyond 2**26 in size are an error.
     """
     candidates = quantised(vectors, vec_col, id_col, scale)
@@ -162,11 +167,13 @@ def top_k(
             rows = rows.collect()
             for at in range(0, len(rows), query_block):
                 parts.append(_block(candidates, rows[at : at + query_block], dims, k))
+    spark = vectors.sparkSession
     if not parts:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionAll(part)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    path = new_scratch(spark, "top-k")
+    for at in range(0, len(parts), BLOCKS_AT_ONCE):
+        reduce(DataFrame.unionAll, parts[at : at + BLOCKS_AT_ONCE]).write.mode("append").parquet(path)
+    found = spark.read.parquet(path)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
