@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -29,6 +29,21 @@ def unpack_sorted(packed: bytes) -> np.ndarray:
     return np.cumsum(unpack(packed).astype(np.uint64), dtype=np.uint64)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send texts to Python in batches of at most 16 MB, unless the session says less.
+
+    A batch is held by the JVM and by the worker, for every task of an executor, so the usual 64 MB of
+    long texts would take half a gigabyte beside the heap.
+    """
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH))
+    if now > BATCH_BYTES:
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
+
+
 def buckets_of(df: DataFrame) -> int:
     """How many buckets a count is dealt into: the session's shuffle partitions, which are set to
     suit the data."""

@@ -13,6 +13,7 @@ from featward.llm.jaccard import jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
 from featward.llm.licenses import RULES, SENTENCE_END, SENTENCES, plain_sentence, scan_licenses
 from featward.llm.lm import fit_kneser_ney, score_kneser_ney
+from featward.llm.packing import small_batches
 from featward.llm.quality import fit_rules, score_quality
 from featward.llm.topk import top_k
 from featward.llm.toxicity import SeverityModel, fit_severity, predict_severity
@@ -31,6 +32,7 @@ URL_RULES = (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 2 << 20  # text worked on at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 18  # text worked on at once; a longer text is a chunk of its own
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
