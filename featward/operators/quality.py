@@ -9,6 +9,9 @@ from featward.functions.names import named, refuse_taken
 from featward.functions.text import is_non_numeric
 
 
+MESSAGE = "Non-numeric value found: "  # fixed value: the wording of the finding
+
+
 def non_numeric_values(df: DataFrame, column: str) -> DataFrame:
     """Rows whose text does not convert to a number, with ``value`` and ``message`` added.
 
@@ -17,5 +20,5 @@ def non_numeric_values(df: DataFrame, column: str) -> DataFrame:
     refuse_taken([c for c in df.columns if c != column], ["value", "message"])
     text = named(column).cast("string")
     return df.filter(is_non_numeric(text)).withColumns(
-        {"value": text, "message": F.concat(F.lit("Non-numeric value found: "), text)}
+        {"value": text, "message": F.concat(F.lit(MESSAGE), text)}
     )

@@ -272,3 +272,10 @@ def test_against_brute_force(spark, rows):
                 safe.append((k, name, *pair, change))
     assert rows(diff_cells(original, new, "k", duplicates="multiply")) == sorted(strict, key=repr)
     assert rows(diff_cells(original, new, "k", True, duplicates="multiply")) == sorted(safe, key=repr)
+
+
+def test_the_key_is_no_difference_whatever_its_case(spark, rows):
+    original = spark.createDataFrame([(1, 5), (2, 6)], "id int, v int")
+    new = spark.createDataFrame([(1, 7)], "id int, v int")
+    got = rows(diff_report(original, new, key="ID", null_safe=True), "differences", "change")
+    assert got == [("v: 5 -> 7", "changed"), ("v: 6 -> NULL", "removed")]

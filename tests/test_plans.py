@@ -67,6 +67,14 @@ def test_diff_of_keys_that_repeat_on_one_side(spark, setting):
         assert re.search(r"Exchange hashpartitioning\(k0#\d+L, spread#\d+L, at_partition[^\n]*\n[^\n]*HashAggregate", text)
 
 
+def test_bucketed_tables_are_compared_without_a_shuffle(spark, setting, plan):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(QUERIES["diff_bucketed"](spark, SF))
+    assert "Join" in text and "Exchange" not in text
+    setting(spark__sql__legacy__bucketedTableScan__outputOrdering="true")
+    assert "Sort " not in plan(QUERIES["diff_bucketed"](spark, SF))
+
+
 def test_the_key_check_is_one_job(versions, spark):
     group = "key-check"
     spark.sparkContext.setJobGroup(group, "")
