@@ -21,7 +21,7 @@ from featward.llm.queries import tokenizer, toxic_from
 from featward.llm.toxicity import fit_severity, predict_severity
 from featward.session import new_scratch
 
-LEAST_SHARE = 0.3  # of the likeliest language, among all; below it a text is in none of them
+LEAST_SHARE = 0.2  # of the likeliest language, among all; below it a text is in none of them
 ROW = "__row"
 
 
