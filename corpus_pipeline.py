@@ -12,28 +12,28 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featward.llm.bpe import decode_bpe, encode_bpe
+from featward.llm.bpe import encode_bpe
 from featward.llm.decontaminate import match_benchmark
 from featward.llm.jaccard import BROADCAST_IDS, jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
-from featward.llm.packing import small_batches
 from featward.llm.queries import tokenizer, toxic_from
 from featward.llm.toxicity import fit_severity, predict_severity
+from featward.llm.workers import prepare
 from featward.session import new_scratch
 
 LEAST_SHARE = 0.2  # of the likeliest language, among all; below it a text is in none of them
 ROW = "__row"
 
 
-def _bounded(stage):
-    """The stage with Arrow batches of a bounded size."""
+def _prepared(stage):
+    """The stage in a session that is ready for the operators."""
 
     @wraps(stage)
-    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        small_batches(spark)
+    def prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
         return stage(spark, docs, sf_dir)
 
-    return bounded
+    return prepared
 
 
 def _columns(docs: DataFrame) -> list[Column]:
@@ -49,14 +49,14 @@ def _kept(found: DataFrame, condition: Column | str) -> DataFrame:
     return found.filter(condition).select(f"{ROW}.*")
 
 
-@_bounded
+@_prepared
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic, by a model of the labelled ones. NULL and empty texts stay."""
     model = fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _kept(predict_severity(_beside(docs), model), F.col("p_toxic") < toxic_from(model))
 
 
-@_bounded
+@_prepared
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one or more of the languages that the documents name. NULL and empty texts and
     texts without a letter go."""
@@ -64,7 +64,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _kept(found, (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
 
 
-@_bounded
+@_prepared
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id.
 
@@ -84,20 +84,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
-@_bounded
+@_prepared
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _kept(match_benchmark(_beside(docs), items, into="found"), F.size("found") == 0)
 
 
-@_bounded
+@_prepared
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit integers), and ``exact``:
     do the ids decode to the very text?"""
     ranks, pattern = tokenizer()
-    encoded = encode_bpe(docs.select("doc_id", "lang", "source", "text"), ranks, pattern)
-    return decode_bpe(encoded, ranks, pattern).select(
+    texts = docs.select("doc_id", "lang", "source", "text")
+    return encode_bpe(texts, ranks, pattern, decoded_col="decoded").select(
         "doc_id",
         "lang",
         "source",

@@ -1,5 +1,5 @@
 """Operators of a training-data pipeline. Nothing outside this subpackage imports it.
 
-Functions that run in Python workers are pickled by reference, so executors need this package on
-their path (``--py-files`` or an installed copy).
+Call :func:`featward.llm.workers.prepare` with the session first: functions that run in Python workers
+are pickled by reference, so executors need this package.
 """

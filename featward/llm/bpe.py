@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 MEMO_ENTRIES = 300_000  # pre-tokens remembered per worker, in each of two generations
 MEMO_CHARS = 48  # longer ones are encoded anew each time
+FOUND = "__bpe_found"  # a column only while the operator builds its frame
 NODE_BITS = 8  # a bitmap node covers 2**8 ranks
 NODE_MASK = (1 << NODE_BITS) - 1
 
@@ -152,23 +153,39 @@ def _shared(spark: SparkSession, path: str) -> str:
     return path.replace("\\", "/").rpartition("/")[2]
 
 
-def encode_bpe(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def encode_bpe(
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
+) -> DataFrame:
     """The frame with ``ids_col``: the text's ids, packed as little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded separately, without special tokens. NULL and empty text
-    give empty bytes. Row by row, no shuffle; the memory of a task is the batch, a bounded memo and
-    the rank table. ``unpack_ids`` gives an array in place of bytes. A column called ``ids_col`` is
-    replaced. A byte that the table has no rank for is an error.
+    give empty bytes. ``decoded_col`` also gives the bytes that the ids decode to, as
+    :func:`decode_bpe` does, by the same worker and in the same pass. Row by row, no shuffle; the
+    memory of a task is the batch, a bounded memo and the rank table. :func:`unpack_ids` gives an
+    array in place of bytes. Columns with these names are replaced. A byte that the table has no
+    rank for is an error.
     """
     file = _shared(df.sparkSession, ranks_path)
+    fields = ["ids", "decoded"] if decoded_col else ["ids"]
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(f"struct<{','.join(f'{f}:binary' for f in fields)}>")
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(file, pattern)
         for texts in columns:
-            yield pa.array((codec.encode(t.as_py() or "") for t in texts), pa.binary(), size=len(texts))
-
-    return df.withColumn(ids_col, encode(F.col(text_col)))
+            ids = pa.array((codec.encode(t.as_py() or "") for t in texts), pa.binary(), size=len(texts))
+            found = [ids]
+            if decoded_col:
+                found.append(pa.array((codec.decode(i.as_py()) for i in ids), pa.binary(), size=len(ids)))
+            yield pa.StructArray.from_arrays(found, fields)
+
+    names = dict(zip(fields, (ids_col, decoded_col)))
+    rows = df.drop(*names.values()).withColumn(FOUND, encode(F.col(text_col)))
+    return rows.select("*", *[F.col(f"{FOUND}.{f}").alias(n) for f, n in names.items()]).drop(FOUND)
 
 
 def decode_bpe(df: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

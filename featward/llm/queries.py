@@ -7,17 +7,17 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featward.llm.bpe import decode_bpe, encode_bpe
+from featward.llm.bpe import encode_bpe
 from featward.llm.decontaminate import find_contamination
 from featward.llm.jaccard import jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
 from featward.llm.licenses import RULES, SENTENCE_END, SENTENCES, plain_sentence, scan_licenses
 from featward.llm.lm import fit_kneser_ney, score_kneser_ney
-from featward.llm.packing import small_batches
 from featward.llm.quality import fit_rules, score_quality
 from featward.llm.topk import top_k
 from featward.llm.toxicity import SeverityModel, fit_severity, predict_severity
 from featward.llm.urls import filter_urls, rule_table
+from featward.llm.workers import prepare
 
 QUALITY_AT = 0.7  # a score from here on predicts label 1
 TOXIC_AT = 0.1  # a probability of any toxic grade from here on,
@@ -32,7 +32,7 @@ URL_RULES = (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -50,8 +50,8 @@ def tokenizer() -> tuple[str, str]:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = tokenizer()
-    encoded = encode_bpe(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
-    return decode_bpe(encoded.drop("text"), ranks, pattern).select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_bpe(docs, ranks, pattern, decoded_col="decoded").select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -54,6 +54,8 @@ def test_edge_texts(spark):
     frame = frame.selectExpr("*", "'clash' AS ids", "'clash' AS decoded")
     out = decode_bpe(encode_bpe(frame, path, pattern), path, pattern)
     got = {r.doc_id: r for r in out.collect()}
+    at_once = encode_bpe(frame, path, pattern, decoded_col="decoded")
+    assert {r.doc_id: (r.ids, r.decoded) for r in at_once.collect()} == {i: (r.ids, r.decoded) for i, r in got.items()}
     assert {i: bytes(r.decoded).decode() for i, r in got.items()} == {i: t or "" for i, t in enumerate(texts)}
     assert got[0].ids == got[1].ids == b"" and got[3].ids == got[4].ids
     assert [len(r.ids) for r in unpack_ids(out.filter("doc_id < 3")).collect()] == [0, 0, 1]
