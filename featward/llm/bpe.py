@@ -20,7 +20,9 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMO_ENTRIES = 300_000  # pre-tokens remembered per worker, in each of two generations
+from featward.llm.workers import give_back
+
+MEMO_ENTRIES = 200_000  # pre-tokens remembered per worker, in each of two generations
 MEMO_CHARS = 48  # longer ones are encoded anew each time
 FOUND = "__bpe_found"  # a column only while the operator builds its frame
 NODE_BITS = 8  # a bitmap node covers 2**8 ranks
@@ -175,6 +177,7 @@ def encode_bpe(
 
     @F.arrow_udf(f"struct<{','.join(f'{f}:binary' for f in fields)}>")
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
         codec = _codec(file, pattern)
         for texts in columns:
             ids = pa.array((codec.encode(t.as_py() or "") for t in texts), pa.binary(), size=len(texts))

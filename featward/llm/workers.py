@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -35,3 +37,11 @@ def prepare(spark: SparkSession) -> None:
     now = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH))
     if now > BATCH_BYTES:
         spark.conf.set(BATCH, f"{BATCH_BYTES}b")
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker that Spark uses again starts small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
