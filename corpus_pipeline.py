@@ -22,6 +22,7 @@ from featward.llm.workers import prepare
 from featward.session import new_scratch
 
 LEAST_SHARE = 0.2  # of the likeliest language, among all; below it a text is in none of them
+MEMO_ENTRIES = 100_000  # pre-tokens a worker remembers: small, beside what earlier stages left it with
 ROW = "__row"
 
 
@@ -97,7 +98,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     do the ids decode to the very text?"""
     ranks, pattern = tokenizer()
     texts = docs.select("doc_id", "lang", "source", "text")
-    return encode_bpe(texts, ranks, pattern, decoded_col="decoded").select(
+    return encode_bpe(texts, ranks, pattern, decoded_col="decoded", memo_entries=MEMO_ENTRIES).select(
         "doc_id",
         "lang",
         "source",

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from featward.llm.workers import give_back
 
-MEMO_ENTRIES = 200_000  # pre-tokens remembered per worker, in each of two generations
+MEMO_ENTRIES = 500_000  # pre-tokens remembered per worker, in each of two generations
 MEMO_CHARS = 48  # longer ones are encoded anew each time
 FOUND = "__bpe_found"  # a column only while the operator builds its frame
 NODE_BITS = 8  # a bitmap node covers 2**8 ranks
@@ -100,8 +100,8 @@ class _Memo(dict):
     """Pre-token to packed ids. When full, it becomes the older generation, which what is used again
     is taken over from; so its memory is bounded and frequent pre-tokens stay."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.ranks, self.older = ranks, {}
+    def __init__(self, ranks: dict[bytes, int], entries: int) -> None:
+        self.ranks, self.entries, self.older = ranks, entries, {}
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.older.get(piece)
@@ -109,7 +109,7 @@ class _Memo(dict):
             ids = merge(piece.encode(), self.ranks)
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
+            if len(self) >= self.entries:
                 self.older = dict(self)
                 self.clear()
             self[piece] = packed
@@ -119,9 +119,9 @@ class _Memo(dict):
 class Codec:
     """A rank table and the pattern that splits text before its merges."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo_entries: int = MEMO_ENTRIES) -> None:
         self.ranks, self.split = ranks, regex.compile(pattern).findall
-        self.memo = _Memo(ranks)
+        self.memo = _Memo(ranks, memo_entries)
         self.token = {rank: token for token, rank in ranks.items()}
 
     def encode(self, text: str) -> bytes:
@@ -139,13 +139,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
+_codecs: dict[tuple[str, str, int], Codec] = {}
 
 
-def _codec(file: str, pattern: str) -> Codec:
-    key = file, pattern
+def _codec(file: str, pattern: str, memo_entries: int = MEMO_ENTRIES) -> Codec:
+    key = file, pattern, memo_entries
     if key not in _codecs:  # once per worker, which keeps its memo from task to task
-        _codecs[key] = Codec(read_ranks(SparkFiles.get(file)), pattern)
+        _codecs[key] = Codec(read_ranks(SparkFiles.get(file)), pattern, memo_entries)
     return _codecs[key]
 
 
@@ -162,13 +162,15 @@ def encode_bpe(
     text_col: str = "text",
     ids_col: str = "ids",
     decoded_col: str | None = None,
+    memo_entries: int = MEMO_ENTRIES,
 ) -> DataFrame:
     """The frame with ``ids_col``: the text's ids, packed as little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded separately, without special tokens. NULL and empty text
     give empty bytes. ``decoded_col`` also gives the bytes that the ids decode to, as
     :func:`decode_bpe` does, by the same worker and in the same pass. Row by row, no shuffle; the
-    memory of a task is the batch, a bounded memo and the rank table. :func:`unpack_ids` gives an
+    memory of a task is the batch, the rank table and a memo of up to twice ``memo_entries``
+    pre-tokens (about 200 bytes each), which only changes the speed. :func:`unpack_ids` gives an
     array in place of bytes. Columns with these names are replaced. A byte that the table has no
     rank for is an error.
     """
@@ -178,7 +180,7 @@ def encode_bpe(
     @F.arrow_udf(f"struct<{','.join(f'{f}:binary' for f in fields)}>")
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         give_back()
-        codec = _codec(file, pattern)
+        codec = _codec(file, pattern, memo_entries)
         for texts in columns:
             ids = pa.array((codec.encode(t.as_py() or "") for t in texts), pa.binary(), size=len(texts))
             found = [ids]
