@@ -76,6 +76,174 @@ RULES = (
     ("Unlicense", ("unlicense",)),
 )
 
+# Short forms, titles and identifiers: each sentence alone names its licence.
+_NAMED = (
+    ("MIT", "mit", ("Licensed under MIT.", "Licensed under the MIT License.", "Released under MIT.")),
+    (
+        "Apache-2.0",
+        "apache-2",
+        (
+            "Licensed under Apache 2.0.",
+            "Licensed under Apache License 2.0.",
+            "Licensed under the Apache License 2.0.",
+            "Released under the Apache License, Version 2.0.",
+            "Released under the Apache License 2.0.",
+            "This project is licensed under the Apache License, Version 2.0.",
+            "This project is licensed under the Apache License 2.0.",
+        ),
+    ),
+    (
+        "GPL-3.0",
+        "gpl-3",
+        (
+            "Licensed under GPL 3.0.",
+            "Licensed under GPLv3.",
+            "Licensed under the GPLv3.",
+            "Licensed under the GNU General Public License, version 3.",
+            "Licensed under the GNU General Public License v3.0.",
+            "Released under the GNU General Public License, version 3.",
+            "This project is licensed under the GNU General Public License v3.0.",
+            "SPDX-License-Identifier: GPL-3.0",
+            "SPDX-License-Identifier: GPL-3.0-only",
+        ),
+    ),
+    (
+        "GPL-2.0",
+        "gpl-2",
+        (
+            "Licensed under GPL 2.0.",
+            "Licensed under GPLv2.",
+            "Licensed under the GPLv2.",
+            "Licensed under the GNU General Public License, version 2.",
+            "This work is licensed under the GNU General Public License, version 2.",
+            "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+            "SPDX-License-Identifier: GPL-2.0",
+            "SPDX-License-Identifier: GPL-2.0-only",
+            "SPDX-License-Identifier: GPL-2.0-or-later",
+        ),
+    ),
+    (
+        "LGPL-3.0",
+        "lgpl-3",
+        (
+            "Licensed under LGPL 3.0.",
+            "Licensed under the GNU Lesser General Public License, version 3.",
+            "This work is licensed under the GNU Lesser General Public License, version 3.",
+            "SPDX-License-Identifier: LGPL-3.0-only",
+            "SPDX-License-Identifier: LGPL-3.0-or-later",
+        ),
+    ),
+    (
+        "LGPL-2.1",
+        "lgpl-2-1",
+        (
+            "Licensed under LGPL 2.1.",
+            "Licensed under the GNU Lesser General Public License, version 2.1.",
+            "SPDX-License-Identifier: LGPL-2.1-only",
+            "SPDX-License-Identifier: LGPL-2.1-or-later",
+        ),
+    ),
+    (
+        "AGPL-3.0",
+        "agpl-3",
+        (
+            "Licensed under AGPL 3.0.",
+            "Licensed under the GNU Affero General Public License, version 3.",
+            "This work is licensed under the GNU Affero General Public License, version 3.",
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+            "SPDX-License-Identifier: AGPL-3.0-only",
+            "SPDX-License-Identifier: AGPL-3.0-or-later",
+        ),
+    ),
+    (
+        "BSD-3-Clause",
+        "bsd-3",
+        (
+            "BSD 3-Clause License",
+            "Licensed under BSD 3-Clause.",
+            "Licensed under the BSD 3-Clause License.",
+            "Released under the BSD 3-Clause License.",
+            "This project is licensed under the BSD 3-Clause License.",
+        ),
+    ),
+    (
+        "BSD-2-Clause",
+        "bsd-2",
+        (
+            "BSD 2-Clause License",
+            "Licensed under BSD 2-Clause.",
+            "Licensed under the BSD 2-Clause License.",
+            "Released under the BSD 2-Clause License.",
+            "This project is licensed under the BSD 2-Clause License.",
+            "SPDX-License-Identifier: BSD-2-Clause",
+        ),
+    ),
+    (
+        "ISC",
+        "isc",
+        (
+            "Licensed under ISC.",
+            "Licensed under the ISC License.",
+            "Released under the ISC License.",
+            "This project is licensed under the ISC License.",
+            "SPDX-License-Identifier: ISC",
+        ),
+    ),
+    (
+        "MPL-2.0",
+        "mpl-2",
+        (
+            "Mozilla Public License Version 2.0",
+            "Licensed under MPL 2.0.",
+            "Licensed under the Mozilla Public License, version 2.0.",
+            "Released under the Mozilla Public License, version 2.0.",
+        ),
+    ),
+    (
+        "CC0-1.0",
+        "cc0-1",
+        (
+            "CC0 1.0 Universal",
+            "Licensed under CC0.",
+            "Licensed under CC0 1.0.",
+            "Released under CC0 1.0.",
+            "This work is licensed under CC0 1.0.",
+            "SPDX-License-Identifier: CC0-1.0",
+        ),
+    ),
+    ("Unlicense", "unlicense", ("Released under the Unlicense.", "SPDX-License-Identifier: Unlicense")),
+    *(
+        (
+            f"CC-{code}-{version}",
+            f"cc-{code}-{version[0]}".lower(),
+            (
+                f"Licensed under CC {code} {version}.",
+                f"Released under CC {code} {version}.",
+                f"This work is licensed under CC {code} {version}.",
+                f"This work is licensed under a Creative Commons {name} {version} {kind} License.",
+                f"This work is licensed under the Creative Commons {name} {version} {kind} License.",
+                f"Creative Commons {name} {version} {kind}",
+                f"SPDX-License-Identifier: CC-{code}-{version}",
+            ),
+        )
+        for version, kind in (("4.0", "International"), ("3.0", "Unported"))
+        for code, name in (
+            ("BY", "Attribution"),
+            ("BY-SA", "Attribution-ShareAlike"),
+            ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    ),
+)
+_listed = set(SENTENCES.values())
+for _licence, _id, _forms in _NAMED:
+    for _n, _form in enumerate(_forms, 1):
+        if _form not in _listed:
+            SENTENCES[f"{_id}-form-{_n}"] = _form
+            RULES += ((_licence, (f"{_id}-form-{_n}",)),)
+
 SENTENCE_END = r"([.!?])[ \t\r]+([^a-z0-9 \t\r])"
 
 

@@ -1,5 +1,7 @@
 """The queries that SQL can express, and the edge cases of their operators."""
 
+import re
+
 import pytest
 
 from featward.llm.jaccard import jaccard_components
@@ -8,6 +10,8 @@ from featward.llm.queries import LLM_ORACLE, LLM_QUERIES, URL_RULES
 from featward.llm.topk import top_k
 from featward.llm.urls import filter_urls, rule_table
 
+from conftest import DATA
+
 from .conftest import SF
 
 
@@ -55,6 +59,28 @@ def test_rules_take_their_sentences_in_order(spark):
     assert all(set(ids) <= SENTENCES.keys() for _, ids in RULES)
 
 
+def test_every_licence_line_of_the_documents_is_recognised(spark):
+    lines = {
+        line
+        for r in spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").select("text").collect()
+        for line in (r.text or "").split("\n")
+        if re.search(r"(?i)licen[cs]e|\bgpl|\bcc[ -](by|0)|creative commons|spdx", line)
+    }
+    lines = sorted(lines)
+    assert "Licensed under CC BY-NC 4.0." in lines
+    assert all(licenses for _, licenses in scanned(spark, *lines))
+
+
+def test_short_forms_name_their_licence(spark):
+    codes = ["BY", "BY-SA", "BY-NC", "BY-NC-SA", "BY-ND", "BY-NC-ND"]
+    forms = {f"{form} CC {c} {v}.": f"CC-{c}-{v}" for form in ("Licensed under", "This work is licensed under") for c in codes for v in ("4.0", "3.0")}
+    forms |= {f"SPDX-License-Identifier: CC-{c}-4.0": f"CC-{c}-4.0" for c in codes}
+    forms |= {"Licensed under CC0 1.0.": "CC0-1.0", "Licensed under the MIT License.": "MIT", "Licensed under the ISC License.": "ISC"}
+    forms |= {"Licensed under the BSD 3-Clause License.": "BSD-3-Clause", "Licensed under BSD 2-Clause.": "BSD-2-Clause"}
+    found = scanned(spark, *forms)
+    assert [licenses for _, licenses in found] == [[licence] for licence in forms.values()]
+
+
 def test_licences_of_empty_inputs(spark):
     frame = spark.createDataFrame([("MIT License",)], "text string")
     assert scan_licenses(frame.limit(0)).count() == 0
