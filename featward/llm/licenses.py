@@ -17,6 +17,7 @@ SENTENCES = {
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "apache-licensed": "Licensed under the Apache License, Version 2.0.",
     "apache-notice": "Licensed under the Apache License, Version 2.0 (the \"License\");",
+    "apache-notice-use": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
     "apache-use": "you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at",
     "apache-title": "Apache License",
@@ -48,6 +49,7 @@ RULES = (
     ("MIT", ("mit-name", "mit-grant", "mit-notice")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("Apache-2.0", ("apache-notice", "apache-use", "apache-copy")),
+    ("Apache-2.0", ("apache-notice-use", "apache-copy")),
     ("Apache-2.0", ("apache-title", "apache-version")),
     ("GPL-3.0", ("gpl-title", "gpl-version-3")),
     ("GPL-2.0", ("gpl-title", "gpl-version-2")),
@@ -62,6 +64,7 @@ RULES = (
     ("MIT", ("mit-name",)),
     ("Apache-2.0", ("apache-licensed",)),
     ("Apache-2.0", ("apache-notice",)),
+    ("Apache-2.0", ("apache-notice-use",)),
     ("Apache-2.0", ("spdx-apache-2",)),
     ("GPL-3.0", ("gpl3-work",)),
     ("GPL-3.0", ("gpl-free",)),
@@ -245,11 +248,8 @@ for _licence, _id, _forms in _NAMED:
             RULES += ((_licence, (f"{_id}-form-{_n}",)),)
 
 SENTENCE_END = r"([.!?])[ \t\r]+([^a-z0-9 \t\r])"
-
-
-def normalised(text: Column) -> Column:
-    """ASCII letters and digits in lower case, everything else as single spaces, trimmed."""
-    return F.trim(F.lower(F.regexp_replace(text, r"[^A-Za-z0-9]+", " ")))
+INNER_END = r"([.!?])[ \t\r]+([^a-z0-9 \t\r\n])"  # within a line
+LINE_END = r"([.!?])[^A-Za-z0-9\n]*\n[^A-Za-z0-9\n]*(?=[A-Z])"
 
 
 def plain_sentence(sentence: str) -> str:
@@ -257,10 +257,22 @@ def plain_sentence(sentence: str) -> str:
     return " ".join(runs).lower()
 
 
-def sentences(text: Column) -> Column:
-    """A text's sentences: one ends at its line's end, or at ``. ! ?`` before white space and anything
-    but a small ASCII letter or a digit."""
-    return F.split(F.regexp_replace(text, SENTENCE_END, "$1\n$2"), "\n", -1)
+def joined_lines(text: Column) -> Column:
+    """The text with normalised lines: one line break may stand within a sentence, two may not.
+
+    Two come of a sentence's end, by the same rule over a line's end, and of lines without an ASCII letter
+    or digit; what marks a comment (``#``, ``*``, ``//``) goes with the other characters.
+    """
+    ended = F.regexp_replace(text, INNER_END, "$1\n\n$2")
+    ended = F.regexp_replace(ended, LINE_END, "$1\n\n")
+    plain = F.regexp_replace(ended, r"[^A-Za-z0-9\n]+", " ")
+    return F.trim(F.lower(F.regexp_replace(plain, r" *\n *", "\n")))
+
+
+def across_lines(plain: Sequence[str]) -> str:
+    """A pattern of the normalised sentences in joined lines, of those that begin alike the shorter first."""
+    bodies = [p.replace(" ", r"[ \n]") for p in sorted(plain, key=lambda p: (len(p.split()), p))]
+    return rf"(?<![^\n])(?:{'|'.join(bodies)})(?![^\n])"
 
 
 def anchor_words(plain: Sequence[str]) -> list[str]:
@@ -292,11 +304,14 @@ def scan_licenses(
     ``known`` maps ids to sentences, ``rules`` are (licence, ids) in order; both are part of the
     expression, so they are meant to be some thousand entries at most. A NULL or empty text has two
     empty arrays. Only columns and built-in functions: no shuffle, one row in, one row out.
-    Columns of the frame with these two names are replaced. As a line's end ends a sentence, wrapped
-    licence texts have to be unwrapped first.
+    Columns of the frame with these two names are replaced.
+
+    A known sentence may be wrapped over lines, with or without comment marks, and is read from the start
+    of a line or sentence to the end of one; blank lines and sentence marks end it. Of known sentences
+    that begin together the shortest is taken, so one that fills a line is read as that line.
 
-    Texts, and then sentences, without any of a few anchor words are passed over before they are
-    normalised; as every known sentence holds an anchor word, none is missed by it.
+    Texts without any of a few anchor words are passed over before they are normalised; as every known
+    sentence holds an anchor word, none is missed by it.
     """
     ids = {plain_sentence(sentence): name for name, sentence in known.items() if plain_sentence(sentence)}
     for name in known:
@@ -307,8 +322,8 @@ def scan_licenses(
     if not ids:
         return df.withColumn("sentence_ids", none).withColumn("licenses", none)
     anchors = "(?i)" + "|".join(anchor_words(list(ids)))
-    parts = F.filter(sentences(F.col(text_col)), lambda s: s.rlike(anchors))
-    found = F.array_compact(F.transform(parts, lambda s: F.try_element_at(wanted, normalised(s))))
+    parts = F.regexp_extract_all(joined_lines(F.col(text_col)), F.lit(across_lines(list(ids))), F.lit(0))
+    found = F.transform(parts, lambda s: F.try_element_at(wanted, F.translate(s, "\n", " ")))
     found = F.when(F.col(text_col).rlike(anchors), found).otherwise(none)
     if not rules:
         return df.withColumn("sentence_ids", found).withColumn("licenses", none)

@@ -1,6 +1,7 @@
 """The queries that SQL can express, and the edge cases of their operators."""
 
 import re
+import textwrap
 
 import pytest
 
@@ -81,6 +82,51 @@ def test_short_forms_name_their_licence(spark):
     assert [licenses for _, licenses in found] == [[licence] for licence in forms.values()]
 
 
+MARKS = {"plain": ("", "", ""), "hash": ("", "# ", ""), "star": ("/*\n", " * ", "\n */"), "slashes": ("", "// ", "")}
+
+
+@pytest.mark.parametrize("marks", MARKS)
+@pytest.mark.parametrize("width", [40, 72])
+def test_wrapped_licence_texts(spark, marks, width):
+    """Every known sentence over several lines, alone and in the texts that they make up."""
+    start, mark, end = MARKS[marks]
+
+    def block(*paragraphs):
+        lines = [line for p in paragraphs for line in [*textwrap.wrap(p, width), ""]][:-1]
+        return start + "\n".join((mark + line).rstrip() for line in lines) + end
+
+    names = {name: s for name, s in SENTENCES.items() if len(s) > width}
+    found = scanned(spark, *(block("Some words before.", s, "Other words") for s in names.values()))
+    assert [ids for ids, _ in found] == [[name] for name in names]
+    texts = [
+        ["mit-title", "mit-grant", "mit-notice"], ["gpl-free"], ["bsd-redistribution", "bsd-endorse"],
+        ["bsd-redistribution"], ["isc-grant"], ["cc0"], ["apache-notice-use", "apache-copy"],
+    ]
+    found = scanned(spark, *(block("Copyright (c) 2020 Some One", *(SENTENCES[k] for k in ids)) for ids in texts))
+    assert [licenses for _, licenses in found] == [
+        ["MIT"], ["GPL-3.0"], ["BSD-3-Clause"], ["BSD-2-Clause"], ["ISC"], ["CC0-1.0"], ["Apache-2.0"],
+    ]
+
+
+def test_what_ends_a_sentence_over_lines(spark):
+    found = scanned(
+        spark,
+        "Released under\nthe MIT License.",
+        "Released under\r\n  the MIT License.\r\nMore",
+        "Released under\n\nthe MIT  License.",  # a blank line
+        "Released under\n *\n * the MIT License",
+        "Released under the MIT License.\nReleased under the\nMIT License. More",
+        "We are released under\nthe MIT License.",
+        "Terms of the Mozilla Public License.\nThis Source Code Form is subject to the terms of the Mozilla Public License, v.\n2.0.",
+        "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007",
+        "MIT License\nApache License\nVersion 2.0, January 2004",
+    )
+    assert [ids for ids, _ in found] == [
+        ["mit-released"], ["mit-released"], [], [], ["mit-released"] * 2, [], ["mpl-form"],
+        ["gpl-title", "gpl-version-3"], ["mit-name", "apache-title", "apache-version"],
+    ]
+
+
 def test_licences_of_empty_inputs(spark):
     frame = spark.createDataFrame([("MIT License",)], "text string")
     assert scan_licenses(frame.limit(0)).count() == 0
