@@ -21,7 +21,7 @@ from featward.llm.toxicity import fit_severity, predict_severity
 from featward.llm.workers import prepare
 from featward.session import new_scratch
 
-LEAST_SHARE = 0.2  # of the likeliest language, among all; below it a text is in none of them
+MOST_UNKNOWN = 0.5  # share of a text that may be in none of the languages
 MEMO_ENTRIES = 100_000  # pre-tokens a worker remembers: small, beside what earlier stages left it with
 ROW = "__row"
 
@@ -59,10 +59,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_prepared
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one or more of the languages that the documents name. NULL and empty texts and
-    texts without a letter go."""
-    found = identify_languages(_beside(docs), fit_languages(docs))
-    return _kept(found, (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE))
+    """Documents in one or more of the languages that the documents name, however mixed. NULL and empty
+    texts, texts without a letter, and texts mostly in another language or in none go."""
+    found = identify_languages(_beside(docs), fit_languages(docs), unknown_col="unknown")
+    return _kept(found, (F.col("lang_pred") != "und") & (F.col("unknown") <= MOST_UNKNOWN))
 
 
 @_prepared

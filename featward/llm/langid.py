@@ -131,12 +131,22 @@ def mixture(counts: np.ndarray, model: LanguageModel, penalty: float, max_set: i
     return full, chosen
 
 
+def unknown_share(counts: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """For each row of 3-gram counts: the share of a background in which all buckets are equally likely,
+    fitted beside all languages. ``grams`` may hold the counted buckets only."""
+    background = np.full((1, grams.shape[1]), 1 / BUCKETS, np.float32)
+    every = np.vstack([grams, background])
+    start = np.full((len(counts), len(every)), 1 / len(every), np.float32)
+    return _em(counts, every, start, ROUNDS)[:, -1]
+
+
 def identify_languages(
     df: DataFrame,
     model: LanguageModel,
     text_col: str = "text",
     penalty: float = PENALTY,
     max_set: int = MAX_SET,
+    unknown_col: str | None = None,
 ) -> DataFrame:
     """The frame with ``lang_pred``, ``score`` and ``languages``.
 
@@ -146,11 +156,14 @@ def identify_languages(
     part, from 0 to 1. A text that is NULL, or has no letter, or any text if the model has no
     language: ``und``, 0 and an empty array. Row by row, no shuffle; the model is languages times 32
     kilobytes. Columns of the frame with these names are replaced.
+
+    ``unknown_col``, if given, is one more column: how much of the text is in none of the languages, from
+    0 to 1 (:func:`unknown_share`); 1 where ``lang_pred`` is ``und``. The others do not depend on it.
     """
     names = model.languages
     shared = df.sparkSession.sparkContext.broadcast(model)
     kind_of = "array<struct<lang:string,share:double>>"
-    kind = "struct<lang_pred:string,score:double,languages:array<struct<lang:string,share:double>>>"
+    kind = f"struct<lang_pred:string,score:double,languages:{kind_of},unknown:double>"
 
     def fit(texts: Texts, model: LanguageModel) -> Iterator[dict]:
         codes, offsets = _grams(texts)
@@ -163,7 +176,8 @@ def identify_languages(
             used = np.flatnonzero(counts.any(0))  # buckets without a count add nothing
             small = LanguageModel(names, np.ascontiguousarray(model.grams[:, used]))
             full, chosen = mixture(np.ascontiguousarray(counts[:, used]), small, penalty, max_set)
-            for every, some in zip(full, chosen):
+            unknown = unknown_share(counts[:, used], small.grams) if unknown_col else np.zeros(len(counts))
+            for every, some, none in zip(full, chosen, unknown):
                 order = np.argsort(-some, kind="stable")
                 first = int(order[0])
                 yield {
@@ -172,6 +186,7 @@ def identify_languages(
                     "languages": [
                         {"lang": names[i], "share": float(some[i])} for i in order if some[i] > 1e-4
                     ],
+                    "unknown": min(max(float(none), 0.0), 1.0),
                 }
 
     @F.arrow_udf(kind)
@@ -182,6 +197,7 @@ def identify_languages(
                 ("lang_pred", pa.string()),
                 ("score", pa.float64()),
                 ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))),
+                ("unknown", pa.float64()),
             ]
         )
         for column in columns:
@@ -191,10 +207,13 @@ def identify_languages(
     none = F.lit(None).cast(kind)
     found = identify(F.col(text_col)) if names else none
     known = has_letter & F.lit(bool(names))
-    rows = df.drop("lang_pred", "score", "languages").withColumn(FOUND, found)
+    more = [unknown_col] if unknown_col else []
+    unknown = [F.when(known, F.col(FOUND + ".unknown")).otherwise(1.0).alias(c) for c in more]
+    rows = df.drop("lang_pred", "score", "languages", *more).withColumn(FOUND, found)
     return rows.select(
         "*",
         F.when(known, F.col(FOUND + ".lang_pred")).otherwise("und").alias("lang_pred"),
         F.when(known, F.col(FOUND + ".score")).otherwise(0.0).alias("score"),
         F.coalesce(F.when(known, F.col(FOUND + ".languages")), F.array().cast(kind_of)).alias("languages"),
+        *unknown,
     ).drop(FOUND)

@@ -1,5 +1,8 @@
 """The pipeline's stages against plain versions, on planted cases and edge cases."""
 
+import base64
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -91,6 +94,32 @@ def test_language_stage(spark):
     assert set(texts(docs)) <= kept.keys()
 
 
+def test_language_stage_rejects_unknown_languages_and_noise(spark):
+    """Other scripts and languages, base64 and keyboard noise go; clean texts of all languages mixed stay."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    draw = random.Random(8)
+    noise = "".join(draw.choice("asdfghjklqwertyuiopzxcvbnm  ") for _ in range(400))
+    bad = [
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 3,
+        "Wszystkie szczęśliwe rodziny są do siebie podobne, każda nieszczęśliwa jest nieszczęśliwa na swój sposób.",
+        "幸福的家庭都是相似的，不幸的家庭各有各的不幸。",
+        base64.b64encode(draw.randbytes(600)).decode(),
+        noise,
+    ]
+    clean = {}
+    for r in docs.filter("length(text) > 500").orderBy("doc_id").collect():
+        clean.setdefault(r.lang, []).append(r.text)
+    assert len(clean) == 4
+    good = [" ".join(t[i][:n] for t in clean.values()) for i in range(5) for n in (60, 500)]
+    good += [" ".join([t[0][:500] for t in clean.values()] + [noise])]  # a fifth of noise
+    rows = [(-1 - i, text) for i, text in enumerate(bad)] + [(-100 - i, text) for i, text in enumerate(good)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    odd = odd.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "'s' AS source", "1L AS n_chars")
+    kept = texts(P.language(spark, docs.union(odd), LARGER))
+    assert not [i for i in kept if -100 < i < 0]
+    assert sum(i <= -100 for i in kept) == len(good) and set(texts(docs)) <= kept.keys()
+
+
 def test_stages_on_odd_frames(spark):
     """Columns that clash with those of the operators, NULL in every column, no rows at all."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
