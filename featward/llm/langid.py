@@ -16,7 +16,6 @@ BUCKETS = 1 << 13  # hashed 3-grams
 SMOOTHING = 0.5  # added to each bucket's count
 ROUNDS = 12  # of EM
 DOCS = 128  # documents fitted side by side
-MAX_SET = 3  # languages of a document, at most
 PENALTY = 1.0  # times half the logarithm of the number of 3-grams, per language beyond the first
 MAX_LANGUAGES = 512
 FOUND = "__languages_found"  # a column only while the operator builds its frame
@@ -106,28 +105,40 @@ def _loglik(counts: np.ndarray, grams: np.ndarray, shares: np.ndarray) -> np.nda
     return (counts * np.log(np.maximum(shares @ grams, 1e-30))).sum(1, dtype=np.float64)
 
 
-def mixture(counts: np.ndarray, model: LanguageModel, penalty: float, max_set: int):
+def _most(counts: np.ndarray, grams: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """A log-likelihood that no mixture of the languages exceeds: as it is concave in the shares, the steepest
+    slope at ``shares`` bounds what is left to gain."""
+    total = np.maximum(counts.sum(1, dtype=np.float64), 1)
+    slope = ((counts / np.maximum(shares @ grams, 1e-30)) @ grams.T).max(1) / total
+    return _loglik(counts, grams, shares) + total * (np.log(np.maximum(slope, 1)) + 1e-5)
+
+
+def mixture(counts: np.ndarray, model: LanguageModel, penalty: float, max_set: int | None = None):
     """For each row of 3-gram counts: shares under all languages, and shares of the chosen set.
 
-    Candidate sets are the one, two, … likeliest languages of the full fit; the set of the highest
-    penalised likelihood is chosen, of equals the smallest.
+    Candidate sets are the one, two, … likeliest languages of the full fit, up to all of them or
+    ``max_set``; the set of the highest penalised likelihood is chosen, of equals the smallest. A row
+    is done as soon as no larger set can reach the likelihood it has.
     """
     languages = len(model.languages)
     start = np.full((len(counts), languages), 1 / languages, np.float32)
     full = _em(counts, model.grams, start, ROUNDS)
     order = np.argsort(-full, axis=1, kind="stable")
-    total = counts.sum(1, dtype=np.float64)
-    best, chosen = None, None
-    for size in range(1, min(max_set, languages) + 1):
-        inside = np.zeros_like(full)
-        np.put_along_axis(inside, order[:, :size], np.float32(1 / size), axis=1)
-        shares = inside if size == 1 else _em(counts, model.grams, inside, ROUNDS // 2)
-        value = _loglik(counts, model.grams, shares) - penalty * (size - 1) * 0.5 * np.log(np.maximum(total, 1))
-        if best is None:
-            best, chosen = value, shares
-        else:
-            better = value > best
-            best, chosen = np.where(better, value, best), np.where(better[:, None], shares, chosen)
+    each = penalty * 0.5 * np.log(np.maximum(counts.sum(1, dtype=np.float64), 1))  # per further language
+    most = _most(counts, model.grams, full)
+    best, chosen = np.full(len(counts), -np.inf), np.zeros_like(full)
+    rows = np.arange(len(counts))
+    for size in range(1, min(max_set or languages, languages) + 1):
+        rows = rows[most[rows] - each[rows] * (size - 1) > best[rows]] if penalty >= 0 else rows
+        if not len(rows):
+            break
+        mine = counts[rows]
+        inside = np.zeros((len(rows), languages), np.float32)
+        np.put_along_axis(inside, order[rows, :size], np.float32(1 / size), axis=1)
+        shares = inside if size == 1 else _em(mine, model.grams, inside, ROUNDS // 2)
+        value = _loglik(mine, model.grams, shares) - each[rows] * (size - 1)
+        better = value > best[rows]
+        best[rows[better]], chosen[rows[better]] = value[better], shares[better]
     return full, chosen
 
 
@@ -145,13 +156,13 @@ def identify_languages(
     model: LanguageModel,
     text_col: str = "text",
     penalty: float = PENALTY,
-    max_set: int = MAX_SET,
+    max_set: int | None = None,
     unknown_col: str | None = None,
 ) -> DataFrame:
     """The frame with ``lang_pred``, ``score`` and ``languages``.
 
     ``languages``: the document's set of languages with their shares, largest first, chosen by
-    penalised likelihood among mixtures of up to ``max_set`` languages. ``lang_pred`` is the first
+    penalised likelihood among mixtures of up to all languages, or ``max_set``. ``lang_pred`` is the first
     (of equal shares the smaller name), ``score`` its share when all languages of the model take
     part, from 0 to 1. A text that is NULL, or has no letter, or any text if the model has no
     language: ``und``, 0 and an empty array. Row by row, no shuffle; the model is languages times 32

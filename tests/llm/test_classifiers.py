@@ -185,6 +185,37 @@ def test_mixture_shares(spark):
     assert max(got["b"], key=got["b"].get) == "fr"
 
 
+def test_mixture_of_four_languages(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = fit_languages(docs)
+    long = docs.filter("length(text) > 1500").groupBy("lang").agg(F.min_by(F.substring("text", 1, 1000), "doc_id"))
+    text = " ".join(t for _, t in sorted(long.collect()))
+    frame = spark.createDataFrame([(text,)], "text string")
+    got = {x.lang: x.share for x in identify_languages(frame, model).first().languages}
+    assert got == {lang: pytest.approx(0.25, abs=0.1) for lang in ("de", "en", "es", "fr")}
+    assert len(identify_languages(frame, model, max_set=3).first().languages) == 3
+
+
+def test_sets_that_are_not_tried_could_not_win():
+    """The chosen set is the best of all sizes, for mixtures of one to seven of seven languages."""
+    draw = np.random.default_rng(4)
+    grams = draw.dirichlet(np.full(60, 0.5), 7).astype(np.float32)
+    model = LanguageModel(list("abcdefg"), grams)
+    counts = np.array(
+        [draw.multinomial(draw.integers(1, 3000), grams[: 1 + i % 7].mean(0) / grams[: 1 + i % 7].mean(0).sum()) for i in range(70)]
+    ).astype(np.float32)
+    full, chosen = mixture(counts, model, 1.0)
+    each = 0.5 * np.log(counts.sum(1))
+
+    def value(shares):
+        return (counts * np.log(np.maximum(shares @ grams, 1e-30))).sum(1) - each * ((shares > 0).sum(1) - 1)
+
+    assert set((chosen > 1e-4).sum(1)) >= {1, 2, 3, 4, 5}
+    for size in range(1, 8):
+        some = mixture(counts, model, 1.0, size)[1]
+        assert (value(chosen) >= value(some) - 0.01).all()
+
+
 def test_em_against_a_plain_loop():
     draw = np.random.default_rng(2)
     grams = draw.dirichlet(np.ones(40), 3)
