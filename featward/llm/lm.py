@@ -62,6 +62,11 @@ def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
 
+def _fitting(counts: np.ndarray) -> np.ndarray:
+    """Counts with bytes enough for the largest."""
+    return counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<u8")
+
+
 def _count(df: DataFrame, buckets: int) -> DataFrame:
     """Packed bigram counts: one row per task, flush and bucket."""
 
@@ -130,7 +135,7 @@ def _word_counts(counted: DataFrame, path: str, buckets: int) -> DataFrame:
             once = times[order] == 1
             save_arrays(
                 f"{path}/bigrams-{bucket}",
-                {"once": keys[order][once], "often": keys[order][~once], "times": times[order][~once].astype("<u4")},
+                {"once": keys[order][once], "often": keys[order][~once], "times": _fitting(times[order][~once])},
             )
             zero = np.zeros(len(times), np.int64)
             grades = [(times == 1).astype(np.int64), (times == 2).astype(np.int64), (times > 2).astype(np.int64)]
@@ -186,9 +191,7 @@ def fit_kneser_ney(df: DataFrame, text_col: str = "text") -> KneserNey:
             columns = [np.concatenate([unpack(r[c]).astype(np.int64) for r in found]) for c in COLUMNS]
             words, *columns = _added(words, *columns)
             named = dict(zip(COLUMNS, columns))
-            # bytes enough for the largest count
-            small = {c: v.astype("<u4" if v.max(initial=0) < 1 << 32 else "<u8") for c, v in named.items()}
-            save_arrays(f"{path}/words-{bucket}", {"words": words, **small})
+            save_arrays(f"{path}/words-{bucket}", {"words": words, **{c: _fitting(v) for c, v in named.items()}})
             before = named["before"]
             seen = [(before == k).sum() for k in (1, 2, 3, 4)]
             row = [*seen, (before > 2).sum(), (before > 0).sum(), named["times"].sum(), before.sum()]

@@ -8,7 +8,17 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from featward.llm.lm import END, _discounts, fit_kneser_ney, log_probabilities, score_kneser_ney
+from featward.llm.lm import (
+    END,
+    KneserNey,
+    _discounts,
+    _of_bigrams,
+    _word_counts,
+    fit_kneser_ney,
+    log_probabilities,
+    score_kneser_ney,
+)
+from featward.llm.packing import pack, pack_sorted
 from featward.llm.queries import op7_lm
 from featward.llm.words import chunks, words_of
 
@@ -57,6 +67,16 @@ def close(row, expected):
     return tuple(row)[:2] == expected[:2] and tuple(row)[2:] == pytest.approx(expected[2:], abs=1e-6)
 
 
+def test_bigrams_seen_more_than_four_thousand_million_times(spark, tmp_path):
+    before, token = np.array([5, 9], np.uint64), np.array([7, 8], np.uint64)
+    row = (0, pack_sorted(before), pack(np.array([1, 1])), token.tobytes(), pack(np.array([2**31, 3])))
+    more = (0, pack_sorted(before[:1]), pack(np.array([1])), token[:1].tobytes(), pack(np.array([2**31 + 5])))
+    kinds = "bucket int, before binary, runs binary, tokens binary, times binary"
+    _word_counts(spark.createDataFrame([row, more], kinds).coalesce(1), str(tmp_path), 1).collect()
+    model = KneserNey(str(tmp_path), 1, 0, 0, 0, (0.5,) * 3, (0.5,) * 3, 0.0)
+    assert _of_bigrams(model, before, token).tolist() == [2**32 + 5, 3]
+
+
 def test_query(spark, documents):
     plain = Plain([t for i, t in documents.items() if zlib.crc32(str(i).encode()) % 7 != 2])
     rows = op7_lm(spark, str(SF)).collect()
