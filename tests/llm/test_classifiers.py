@@ -4,6 +4,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,16 @@ from featward.llm.langid import BUCKETS, LanguageModel, fit_languages, identify_
 from featward.llm.queries import op4_quality, op5_toxicity, op10_langid, remainder_is, toxic_from
 from featward.llm.quality import STATISTICS, Rule, RuleModel, fit_rules, score_quality, tree_paths, with_statistics
 from featward.llm.sample import labelled_sample
-from featward.llm.toxicity import SeverityModel, fit_cumulative_link, fit_severity, predict_severity
+from featward.llm.toxicity import (
+    GRAM_BITS,
+    SeverityModel,
+    _times,
+    fit_cumulative_link,
+    fit_severity,
+    parts_of,
+    predict_severity,
+)
+from featward.llm.words import chunks
 
 from conftest import DATA
 
@@ -124,6 +134,29 @@ def test_toxicity_on_held_out_labels(spark):
     assert len(op5_toxicity(spark, str(SF)).collect()) == 200
 
 
+def test_toxicity_recall_by_language(spark):
+    """Learned from the four hundred labels of the smaller table, on all labels of the larger one."""
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit_severity(docs, labels)
+    docs, labels = (spark.read.parquet(str(DATA / f"sf0.1/{t}.parquet")) for t in ("documents", "labels"))
+    truth = docs.select("doc_id", "lang", "text").join(labels.select("doc_id", F.col("toxic").alias("truth")), "doc_id")
+    scored = predict_severity(truth, model).select("lang", "truth", "p_toxic").toPandas()
+    found = scored.p_toxic >= toxic_from(model)
+    assert found[scored.truth == 0].mean() < 0.005
+    recall = found[scored.truth == 1].groupby(scored.lang).mean()
+    assert set(recall.index) == {"de", "en", "es", "fr"} and recall.min() > 0.8
+
+
+def test_parts_of_words():
+    texts = next(chunks(pa.array(["Réeuxon RÉEUXEUX réeuxon", "", "ab réeuxon", "réeux"])))
+    text, part, numbers = parts_of(texts)
+    assert numbers.tolist() == [2, 0, 2, 1]
+    shared = set(part[text == 0]) & set(part[text == 3])
+    assert shared >= set(part[text == 2]) & set(part[text == 3]) and len(shared) >= 2
+    where, place, times = _times(text, part, 1 << GRAM_BITS)
+    assert set(where) == {0} and set(times) == {2}  # the repeated word counts once
+
+
 def test_cumulative_link_finds_the_weights():
     draw = np.random.default_rng(5)
     n, truth, cuts = 20_000, np.array([2.0, 0.0, 0.5]), np.array([-0.5, 1.5])
