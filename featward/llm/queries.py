@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from featward.llm.bpe import encode_bpe
 from featward.llm.decontaminate import find_contamination
+from featward.llm.divergence import LEAST_DOCUMENTS, SCALE, TERM_RANKS, source_divergence
 from featward.llm.jaccard import jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
 from featward.llm.licenses import RULES, SENTENCE_END, SENTENCES, plain_sentence, scan_licenses
 from featward.llm.lm import fit_kneser_ney, score_kneser_ney
+from featward.llm.manifest import FAN, merkle_manifest
 from featward.llm.quality import fit_rules, score_quality
+from featward.llm.tokencount import count_tokens
 from featward.llm.topk import top_k
 from featward.llm.toxicity import SeverityModel, fit_severity, predict_severity
 from featward.llm.urls import filter_urls, rule_table
@@ -22,6 +25,8 @@ from featward.llm.workers import prepare
 QUALITY_AT = 0.7  # a score from here on predicts label 1
 TOXIC_AT = 0.1  # a probability of any toxic grade from here on,
 TOXIC_ODDS = 3.0  # if its odds are so many times those of a text without a telling word
+MOST_TOKENS = 2048  # a text with more is over the limit
+ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_RULES = (
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -136,6 +141,30 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        "n_tokens",
+        (F.col("n_tokens") > MOST_TOKENS).alias("over_limit"),
+    )
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lower = {"text": F.translate("text", ASCII_UPPER, ASCII_LOWER)}
+    return merkle_manifest(docs, tampered=tampered, tampered_fields=lower).drop("source")
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -149,10 +178,13 @@ LLM_QUERIES = {
         op8_urls,
         op9_jaccard,
         op10_langid,
+        op11_tokencount,
+        op12_divergence,
+        op13_manifest,
     )
 }
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = f"translate({{}}, '{ASCII_UPPER}', '{ASCII_LOWER}')"
 
 
 def _quoted(text: str) -> str:
@@ -224,9 +256,90 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT link.b, reach.b FROM r
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.b AS component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) c ON c.a = w.doc_id"""
 
+DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM d),
+kept AS (SELECT lang, t FROM w GROUP BY lang, t HAVING count(DISTINCT r) >= {LEAST_DOCUMENTS}),
+c AS (SELECT lang, source, t, count(*) AS n FROM w JOIN kept USING (lang, t) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+s AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, s.source, t, coalesce(n, 0) AS n, CAST(1 + {SCALE} * (coalesce(n, 0) + 1) // (total + v) AS BIGINT) AS p
+      FROM s JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, t)),
+q AS (SELECT lang, t, CAST(1 + {SCALE} * (sum(n) + 1) // (any_value(total) + any_value(v)) AS BIGINT) AS q
+      FROM p JOIN (SELECT lang, sum(total) AS total FROM s GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, t),
+met AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM (SELECT g.lang, g.source, o.source AS item FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source)
+          LEFT JOIN met USING (lang, source, item)),
+terms AS (SELECT lang, source, 'term' AS part, t AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value
+          FROM p JOIN q USING (lang, t) WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {TERM_RANKS}"""
+
+
+def _manifest_sql(levels: int = 6, top_levels: int = 4) -> str:
+    """Level by level, for up to 16**levels rows per source and 16**top_levels sources."""
+    crc = (
+        "4294967295 - list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)), "
+        "lambda a, x: xor(a // 256, crc_table[xor(a % 256, x) + 1]), CAST(4294967295 AS BIGINT))"
+    )
+
+    def leaf(text: str) -> str:
+        fields = ("doc_id", "source", "lang", "n_chars", text)
+        return "sha256(" + " || ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || {f}, '-')" for f in fields) + ")"
+
+    lower = _LOWER.format("text")
+    steps = [
+        "crc AS (SELECT list(v ORDER BY i) AS crc_table FROM (SELECT i, list_reduce(range(8), "
+        "lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v FROM range(256) r(i)))",
+        f"leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, {leaf('text')} AS leaf, "
+        f"CASE WHEN ({crc}) % 5 = 0 THEN {leaf(lower)} END AS other FROM documents, crc)",
+        "u0 AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves)",
+        "a0 AS (SELECT s AS grp, pos, leaf AS node, count(*) OVER (PARTITION BY s) AS n FROM u0)",
+    ]
+
+    def tree(name: str, depth: int) -> None:
+        for k in range(depth):
+            steps.append(
+                f"{name}r{k} AS (SELECT grp, pos // {FAN} AS run, list(node ORDER BY pos) AS nodes, any_value(n) AS n "
+                f"FROM {name}{k} GROUP BY grp, pos // {FAN})"
+            )
+            steps.append(
+                f"{name}{k + 1} AS (SELECT grp, run AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(nodes, '')) "
+                f"ELSE nodes[1] END AS node, (n + {FAN - 1}) // {FAN} AS n FROM {name}r{k})"
+            )
+
+    tree("a", levels)
+    steps.append(f"b0 AS (SELECT 0 AS grp, grp AS pos, node, count(*) OVER () AS n FROM a{levels})")
+    tree("b", top_levels)
+    rows = (
+        f"w0 AS (SELECT u0.*, a{levels}.node AS subroot, b{top_levels}.node AS root, coalesce(other, leaf) AS folded, '' AS proof "
+        f"FROM u0 JOIN a{levels} ON a{levels}.grp = s, b{top_levels})"
+    )
+    steps.append(rows)
+    runs = [("a", k, "s", "w.pos") for k in range(levels)] + [("b", k, "0", "w.s") for k in range(top_levels)]
+    for i, (name, k, grp, pos) in enumerate(runs):
+        place = f"({pos} // {FAN**k}) % {FAN}"
+        before, after = f"array_to_string(nodes[1:{place}], '')", f"array_to_string(nodes[{place} + 2:], '')"
+        steps.append(
+            f"w{i + 1} AS (SELECT w.* REPLACE (CASE WHEN n > 1 THEN sha256({before} || folded || {after}) ELSE folded END AS folded, "
+            f"proof || {before} || {after} AS proof) FROM w{i} w JOIN {name}r{k} ON grp = {grp} AND run = {pos} // {FAN ** (k + 1)})"
+        )
+    return (
+        f"WITH {', '.join(steps)} SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, "
+        f"folded = root AS verified FROM w{len(runs)}"
+    )
+
+
 LLM_ORACLE = {
     "op3_licenses": _licenses_sql(),
     "op6_topk": TOPK_SQL,
     "op8_urls": _urls_sql(),
     "op9_jaccard": JACCARD_SQL,
+    "op12_divergence": DIVERGENCE_SQL,
+    "op13_manifest": _manifest_sql(),
 }

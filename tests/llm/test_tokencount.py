@@ -1,0 +1,92 @@
+"""Token counts by the compiled transducer against the public tokenizer library."""
+
+import json
+import random
+
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from featward.llm import tokencount
+from featward.llm.queries import op11_tokencount
+from featward.llm.tokencount import Merges, TokenCounter, check_definition, count_tokens
+
+from .conftest import SF
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def counter():
+    with open(PATH, "rb") as file:
+        return TokenCounter(file.read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda texts: [len(e.ids) for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+ALPHABETS = [
+    "abcdefghijklmnopqrstuvwxyz", "'stremvld aé ", "aAbBΣσς İßéñ 12", "🙂éa ̀́漢字'!?..  \x1c\x85 ",
+    "in the an er", "0123456789", "ⅣǅŒ﷽ｱＡ½²",
+]
+
+
+def test_counts_equal_the_library(counter, library):
+    draw = random.Random(4)
+    texts = ["".join(draw.choices(draw.choice(ALPHABETS), k=draw.choice([1, 3, 10, 63, 64, 65, 200, 600]))) for _ in range(1500)]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "a", "'s ", "'s", " ", "<|", "x'll", "''re", "É"]
+    texts += ["".join(draw.choices(parts, k=draw.randint(1, 80))) for _ in range(500)]
+    assert counter.count(pa.array(texts)).tolist() == library(texts)
+
+
+def test_long_pre_tokens_and_texts_cut_into_slices(counter, library, monkeypatch):
+    draw = random.Random(5)
+    texts = ["a" * 70_000, "ab" * 30_000, "the" * 9_000 + " x", "!" * 5_000, "'" * 99 + "s", "x" * 64, "x" * 128 + " y"]
+    texts.append("".join(draw.choices("abcdefghij", k=40_000)))
+    texts.append(" ".join("".join(draw.choices("aeinrst'", k=draw.randint(1, 12))) for _ in range(9_000)))
+    expected = library(texts)
+    assert counter.count(pa.array(texts)).tolist() == expected
+    monkeypatch.setattr(tokencount, "SLICE", 1000)
+    monkeypatch.setattr(tokencount, "MOST_STATES", 100)  # begun anew all the time
+    assert counter.count(pa.array(texts)).tolist() == expected
+
+
+def test_every_chunk_length_gives_the_same(counter, library, monkeypatch):
+    texts = ["it's the anthropologists' internationalisation, isn't it? 1234 ''ll x" * 3, "inininin" * 40, "", None]
+    for chunk in (1, 2, 3, 7, 50):
+        monkeypatch.setattr(tokencount, "CHUNK", chunk)
+        assert counter.count(pa.array(texts)).tolist() == library(texts)
+
+
+def test_neighbours_of_equal_merges():
+    merges = Merges([("a", "a"), ("aa", "a</w>"), ("aa", "aa")])
+    aa, aaaa = merges.inner[b"aa"], merges.inner[b"aaaa"]
+    assert not merges.neighbours(aa, aa) and not merges.neighbours(ord("a"), aa)
+    assert merges.neighbours(aa, ord("a")) and merges.neighbours(aaaa, aa)
+    with pytest.raises(ValueError):
+        Merges([("ab", "c")])
+
+
+def test_other_kinds_are_refused():
+    for name in ("byte_bpe_50k.json",):
+        with open(public_tokenizers.path(name), "rb") as file, pytest.raises(ValueError):
+            check_definition(json.load(file))
+
+
+def test_edge_rows(spark, library):
+    texts = [None, "", " \n", "same", "same", "Word " * 40_000]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").selectExpr("*", "'x' AS n_tokens", "1 AS states")
+    rows = sorted(count_tokens(frame, PATH).collect())
+    assert [r.n_tokens for r in rows] == library(texts) and rows[0].states == 1
+    assert count_tokens(frame.limit(0), PATH).count() == 0
+
+
+def test_query(spark, documents, library):
+    rows = {r.doc_id: r for r in op11_tokencount(spark, str(SF)).collect()}
+    assert rows.keys() == documents.keys()
+    for (doc_id, text), n in zip(documents.items(), library(documents.values())):
+        assert rows[doc_id] == (doc_id, len((text or "").encode()), n, n > 2048)
