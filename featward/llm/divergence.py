@@ -208,25 +208,22 @@ def source_divergence(
     counted = df.select(text(text_col).alias("text"), text(lang_col).alias("lang"), text(source_col).alias("source")).mapInArrow(
         _count_terms, "lang string, source string, term string, times long, documents long"
     )
-    summed = _store(
+    by_source = F.struct("source", "times")
+    # one shuffle by term gives both sums; the row without a term lists the groups that occur
+    found = _store(
         counted.repartition("lang", "term")
         .groupBy("lang", "term", "source")
-        .agg(F.sum("times").alias("times"), F.sum("documents").alias("documents")),
-        "divergence-counts",
-    )
-    by_source = F.struct("source", "times")
-    index = _store(
-        summed.filter("term IS NOT NULL")
+        .agg(F.sum("times").alias("times"), F.sum("documents").alias("documents"))
         .groupBy("lang", "term")
         .agg(F.sum("documents").alias("documents"), F.sum("times").alias("all_times"), F.collect_list(by_source).alias("entries"))
-        .filter(F.col("documents") >= least_documents)
-        .drop("documents"),
+        .filter((F.col("documents") >= least_documents) | F.col("term").isNull()),
         "divergence-index",
     )
+    index = found.filter("term IS NOT NULL").drop("documents")
     entries = index.selectExpr("lang", "term", "all_times", "inline(entries)")
     by_count = _store(entries.groupBy("lang", "source", "times").agg(F.count("*").alias("terms")), "divergence-histogram")
     kept = index.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_times").alias("n_lang"))
-    occurring = summed.filter("term IS NULL").select("lang", "source")
+    occurring = found.filter("term IS NULL").selectExpr("lang", "inline(entries)").select("lang", "source")
     sums = by_count.groupBy("lang", "source").agg(F.sum(F.col("times") * F.col("terms")).alias("n"), F.sum("terms").alias("own"))
     groups = (
         occurring.join(sums, ["lang", "source"], "left")
