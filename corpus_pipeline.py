@@ -24,6 +24,7 @@ from featward.session import new_scratch
 MOST_UNKNOWN = 0.5  # share of a text that may be in none of the languages
 MEMO_ENTRIES = 100_000  # pre-tokens a worker remembers: small, beside what earlier stages left it with
 ROW = "__row"
+KEY = "__key"  # a number of its own for every row
 
 
 def _prepared(stage):
@@ -69,20 +70,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest doc_id.
 
-    Of rows that repeat a doc_id with the same text one stays. Rows with a NULL doc_id stay.
+    Every row is judged by its own text, whatever other rows share its doc_id; of several rows of the smallest
+    doc_id one stays. Rows with a NULL doc_id, and rows without words, stay.
     """
-    joined = jaccard_components(docs)
+    path = new_scratch(spark, "numbered")
+    _beside(docs).withColumn(KEY, F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    own = F.when(F.col(f"{ROW}.doc_id").isNotNull(), F.col(KEY)).alias(KEY)
+    path = new_scratch(spark, "duplicates")
+    joined = jaccard_components(rows.select(own, "text"), id_col=KEY)
+    joined.filter(F.col(KEY) != F.col("component_id")).select(KEY, "component_id").write.parquet(path)
+    linked = spark.read.parquet(path)
+    heads = linked.select(F.col("component_id").alias(KEY), "component_id").distinct()
+    ids = rows.select(KEY, F.col(f"{ROW}.doc_id").alias("doc_id"))
+    members = linked.unionByName(heads).join(ids, KEY)
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", KEY))[KEY].alias(KEY)).select(KEY)
     path = new_scratch(spark, "others")
-    joined.filter("doc_id <> component_id").select("doc_id").distinct().write.parquet(path)
+    members.select(KEY).join(first, KEY, "left_anti").write.parquet(path)
     others = spark.read.parquet(path)
     few = others.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(others) if few else others, "doc_id", "left_anti").select(_columns(docs))
-    repeated = kept.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_anti").select(_columns(docs))
-    several = kept.join(repeated, "doc_id", "left_semi").select(_columns(docs))
-    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    return rows.join(F.broadcast(others) if few else others, KEY, "left_anti").select(f"{ROW}.*")
 
 
 @_prepared
