@@ -85,6 +85,23 @@ def test_near_duplicates_keep_one(spark, prose):
     assert P.near_duplicates(spark, twice, str(SF)).count() == 1
 
 
+def test_near_duplicates_judge_rows_by_their_own_text(spark, prose):
+    """Rows that share a doc_id: a unique text stays, whatever happens to the other."""
+    a, b, c = (prose(i, 60) for i in range(3))
+    near = b + " and one more"
+    cases = {
+        ((1, a), (5, a), (5, b)): [(1, a), (5, b)],
+        ((5, b), (3, near), (5, c)): [(3, near), (5, c)],
+        ((5, a), (5, a), (5, a)): [(5, a)],
+        ((9, a), (2, b), (9, b), (2, a)): [(2, a), (2, b)],
+        ((None, a), (4, a), (None, a)): [(None, a), (None, a), (4, a)],
+        ((6, None), (6, None), (6, "")): [(6, ""), (6, None), (6, None)],
+    }
+    for rows, stay in cases.items():
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        assert sorted(map(tuple, P.near_duplicates(spark, frame, str(SF)).collect()), key=repr) == sorted(stay, key=repr)
+
+
 def test_language_stage(spark):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 34 !!"), (-4, "the and of is")], "doc_id long, text string")
