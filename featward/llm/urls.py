@@ -26,13 +26,10 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every host above it: ``a.b.c``, ``b.c``, ``c``."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host and the hosts above it, ``a.b.c``, ``b.c``, ``c``, those of at most ``most`` labels."""
+    labels = F.length(host) - F.length(F.replace(host, F.lit("."))) + 1
+    return F.array_compact(F.array(*[F.when(labels >= n, F.substring_index(host, ".", -n)) for n in range(1, most + 1)]))
 
 
 def rule_table(spark, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -50,10 +47,11 @@ def filter_urls(
     of equally long ones a block, then the smaller text. ``rule`` is its host and path, NULL where
     none fits; there ``verdict`` is ``default``.
 
-    Each URL gives one expression per host suffix and per length that a rule's path has, so a rule
-    path need not end at a slash. Expressions meet the rules by the first 32 bits of their SHA-256
+    Each URL gives one expression per host suffix that has no more labels than the longest rule's host, and per
+    length that a rule's path has, so a rule path need not end at a slash, and hosts and paths may be of any length. Expressions meet the rules by the first 32 bits of their SHA-256
     in an equi-join, and the whole digests are then compared. Rows go back together by a number
-    that each gets when read, so NULL, repeated and very frequent URLs or ids need no care. A NULL
+    that each gets when read, so NULL, repeated and very frequent URLs or ids need no care; the input has to
+    give its rows in the same order if a task reads them again, as files and tables do. A NULL
     URL, or one without ``://``, has empty host and path and fits no rule. Rules with a NULL in any
     column, or another action, are left out, and repeated ones count once. Columns of ``df`` called
     host, path, rule or verdict are replaced.
@@ -63,7 +61,8 @@ def filter_urls(
         .filter(F.col("action").isin(*ACTIONS) & F.col("host").isNotNull() & F.col("path").isNotNull())
         .distinct()
     )
-    lengths = known.agg(F.sort_array(F.collect_set(F.length("path")))).first()[0]
+    labels = F.size(F.split("host", r"\.", -1))
+    lengths, most = known.agg(F.sort_array(F.collect_set(F.length("path"))), F.max(labels)).first()
     digest = F.sha2(F.concat(F.col("host"), F.lit("\n"), F.col("path")), 256)
     index = known.select(
         digest.alias("rule_digest"),
@@ -85,7 +84,7 @@ def filter_urls(
     prefixes = F.array_compact(F.array(*paths))
     expressions = F.flatten(
         F.transform(
-            host_suffixes(F.col("host")),
+            host_suffixes(F.col("host"), most or 1),
             lambda h: F.transform(prefixes, lambda p: F.sha2(F.concat(h, F.lit("\n"), p), 256)),
         )
     )
