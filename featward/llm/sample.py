@@ -23,8 +23,8 @@ def labelled_sample(
     Up to half of ``limit`` rows of each class are taken by a hash of the id, whatever the size of
     the tables; ``weight`` is how many rows of its class a row stands for. Only the sampled ids are
     broadcast, so the texts are read once and not shuffled. The rows are written to the shared
-    scratch folder. Labels other than 0 and 1, NULL ids and ids labelled both ways are left out; a
-    document that repeats comes once per row.
+    scratch folder. Labels other than 0 and 1, NULL ids and ids labelled both ways are left out. Where documents
+    share an id, one text, the same each time, stands for them all, and their number raises its weight.
     """
     spark = docs.sparkSession
     clean = (
@@ -45,8 +45,13 @@ def labelled_sample(
         picked = picked | ((F.col("label") == label) & (place < int(share * (1 << 30)) + (share == 1.0)))
         weight = F.when(F.col("label") == label, 1.0 / max(share, 1e-12)).otherwise(weight)
     ids = clean.filter(picked).withColumn("weight", weight)
+    ids = F.broadcast(ids)  # at most ``limit``
+    found = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(ids, "id")
+    times = docs.select(F.col(id_col).alias("id")).join(ids, "id").groupBy("id").count()
+    if not times.filter("count > 1").isEmpty():
+        one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+        found = found.groupBy("id", "label", "weight").agg(one, F.count("*").alias("rows"))
+        found = found.select("id", "text", "label", (F.col("weight") * F.col("rows")).alias("weight"))
     path = new_scratch(spark, "labelled-sample")
-    docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(
-        F.broadcast(ids), "id"
-    ).write.parquet(path)
+    found.write.parquet(path)
     return spark.read.parquet(path)

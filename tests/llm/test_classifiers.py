@@ -265,3 +265,12 @@ def test_em_against_a_plain_loop():
         assert found == pytest.approx(shares, abs=1e-3)
     _, single = mixture(counts, LanguageModel(["a", "b", "c"], wide.astype(np.float32)), 1e9, 3)
     assert (single.max(1) == 1).all()  # a heavy penalty leaves one language
+
+
+def test_sample_is_bounded_where_documents_share_an_id(spark):
+    rows = [(1, f"text {i % 7}") for i in range(3000)] + [(i, "other") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id long, toxic int")
+    found = [tuple(r) for _ in range(2) for r in labelled_sample(docs, labels, "toxic", limit=10_000).collect()]
+    assert len(found) == 22 and sorted(found[:11]) == sorted(found[11:])
+    assert {i: w for i, _, _, w in found} == {1: 3000.0} | {i: 1.0 for i in range(2, 12)}

@@ -150,6 +150,9 @@ URLS = [
     (None, "", "", None, "allow"),
     ("", "", "", None, "allow"),
     ("http://e.com/" + "p/" * 5000, "e.com", "/" + "p/" * 5000, "com/", "allow"),
+    ("http://" + "a." * 100_000 + "example.com/en/x", "a." * 100_000 + "example.com", "/en/x", "example.com/en/", "block"),
+    ("http://" + "x" * 100_000 + "/", "x" * 100_000, "/", None, "allow"),
+    ("http://example.com./en/", "example.com.", "/en/", None, "allow"),
 ]
 
 
@@ -198,8 +201,35 @@ def test_top_k_edges(spark):
     ]
     assert top_k(frame.limit(0), frame, k=3).count() == 0
     assert top_k(frame, frame.limit(0), k=3).count() == 0
-    with pytest.raises(Exception, match="beyond"):
-        top_k(spark.createDataFrame([(1, [1e9]), (2, [1.0])], "vec_id long, embedding array<double>"), frame).collect()
+
+
+def test_top_k_takes_components_of_any_size(spark):
+    """Large, huge and ordinary components in one table, against whole numbers of any size."""
+    import math
+    import random
+    from fractions import Fraction
+
+    draw = random.Random(9)
+    sizes = [1.0, 300_000.0, 2.0**40, 1e12, 1e200, 1.7e308]
+    vectors = [(i, [draw.uniform(-1, 1) * draw.choice(sizes[: 1 + i % 6]) for _ in range(5)]) for i in range(120)]
+    vectors += [(200, [300_000.0] * 5), (201, [300_000.0] * 5), (202, [-1.7e308] * 5), (203, [1.7e308] * 5), (204, [2.0**18] * 5)]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    got = top_k(frame, frame.filter("vec_id % 4 = 0 OR vec_id > 200"), k=4, query_block=16)
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in vectors}
+    most = (1 << 63) - 1
+    expected = []
+    for q in whole:
+        if q % 4 == 0 or q > 200:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+            expected += [(q, r + 1, i, max(-most - 1, min(most, -s))) for r, (s, i) in enumerate(scores[:4])]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
+def test_top_k_many_queries_of_one_id(spark):
+    frame = spark.createDataFrame([(1, [1.0]), (1, [2.0]), (2, [3.0])], "vec_id long, embedding array<double>")
+    many = frame.filter("vec_id = 1").crossJoin(spark.range(20)).drop("id")
+    got = top_k(frame, many, k=1, query_block=8)
+    assert {tuple(r) for r in got.collect()} == {(1, 1, 2, 256 * 512 * 3)}
 
 
 def test_top_k_blocks_of_queries_and_dimensions(spark):
