@@ -21,7 +21,7 @@ from featward.operators.rowmatch import frames_equal, match_rows, row_multiset_d
 from featward.operators.score import assign_bin, class_id, score, scored_output
 from featward.session import get_spark
 from featward.sinks.delimited import write_delimited
-from featward.sinks.tables import overwrite_table
+from featward.sinks.tables import drop_table, overwrite_table, recover_table
 from featward.sources.dated import ingest_dated_csv, list_dated_files, read_date_list
 from featward.sources.delimited import read_delimited, read_file_ordered_csv
 
@@ -37,6 +37,7 @@ __all__ = [
     "diff_cells",
     "diff_flags",
     "diff_report",
+    "drop_table",
     "frames_equal",
     "get_spark",
     "ingest_dated_csv",
@@ -51,6 +52,7 @@ __all__ = [
     "read_date_list",
     "read_delimited",
     "read_file_ordered_csv",
+    "recover_table",
     "row_multiset_diff",
     "sanitize_names",
     "save_model",

@@ -1,18 +1,23 @@
 """Dated files, delimited files, tables."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from featward import (
     diff_cells,
+    drop_table,
     ingest_dated_csv,
     list_dated_files,
     overwrite_table,
     read_date_list,
     read_delimited,
+    recover_table,
     write_delimited,
 )
 from featward.session import clear_scratch, new_scratch, new_table, scratch_base
+from featward.sinks.tables import _table_base
 from featward.sources.delimited import read_typed_csv
 
 
@@ -151,7 +156,72 @@ def test_overwrite_table(spark, rows):
     assert rows(spark.table("feature_table"), "id", "d", "x") == [(3, "a", 1.5)]
     pruned = spark.table("feature_table").filter("d = 'zzz'")
     assert _files_read(pruned) == 0
-    spark.sql("DROP TABLE feature_table")
+    drop_table(spark, "feature_table")
+    assert not spark.catalog.tableExists("feature_table")
+
+
+@pytest.fixture(params=["managed place", "own path"])
+def place(request, tmp_path):
+    return str(tmp_path / "kept") if request.param == "own path" else None
+
+
+def _versions(spark, name, path):
+    base = path or _table_base(spark, name)
+    return [f for f in os.listdir(base.removeprefix("file:"))]
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark, rows, place):
+    name = new_table("kept")
+    frame = spark.range(5).selectExpr("id", "CAST(id % 2 AS STRING) AS v")
+    overwrite_table(frame, name, partition_by="v", path=place)
+    before = rows(spark.table(name), "id", "v")
+
+    def refuse(new):
+        assert new.count() == 9
+        raise ValueError("too few rows")
+
+    failing = [
+        (frame.selectExpr("id", "IF(id = 3, raise_error('no'), 'x') AS v"), {}),
+        (frame.selectExpr("id", "'' AS v"), {"partition_by": "v"}),
+        (spark.range(9), {"check": refuse}),
+    ]
+    for new, options in failing:
+        with pytest.raises(Exception, match="no|read back as NULL|too few"):
+            overwrite_table(new, name, path=place, **options)
+        assert rows(spark.table(name), "id", "v") == before
+        assert len(_versions(spark, name, place)) == 1
+    assert not spark.sql(f"SHOW TABLES LIKE '{name}_*'").collect()
+    drop_table(spark, name, place)
+    assert _versions(spark, name, place) == []
+
+
+def test_a_frame_may_read_the_table_that_it_replaces(spark, rows, place):
+    name = new_table("own")
+    for partition_by in (None, "p"):
+        overwrite_table(spark.range(10).selectExpr("id", "id % 3 AS p"), name, path=place, partition_by=partition_by)
+        old = spark.table(name)
+        overwrite_table(old.filter("p > 0").unionAll(old.filter("id = 9")), name, path=place, partition_by=partition_by)
+        assert rows(spark.table(name).select("id")) == [(i,) for i in (1, 2, 4, 5, 7, 8, 9)]
+        assert spark.table(name).filter("p = 0").count() == 1
+        assert len(_versions(spark, name, place)) == 1
+    drop_table(spark, name, place)
+
+
+def test_a_switch_that_a_driver_died_in(spark, rows):
+    name = new_table("dead")
+    overwrite_table(spark.range(3), name)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__replaced_abc")  # before the second rename
+    assert recover_table(spark, name) and spark.table(name).count() == 3
+    spark.range(4).write.saveAsTable(f"{name}__replaced_abd")  # after it
+    overwrite_table(spark.range(6), name)
+    assert spark.table(name).count() == 6 and not spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect()
+    spark.sql("CREATE DATABASE IF NOT EXISTS other")
+    overwrite_table(spark.range(2), "other.t")
+    overwrite_table(spark.range(7), "`other`.`t`", bucket_by=(2, "id"))
+    assert spark.table("other.t").count() == 7
+    drop_table(spark, "other.t")
+    drop_table(spark, name)
+    drop_table(spark, name)
 
 
 def test_bucketed_tables_are_compared_without_a_shuffle(spark, rows, plan, setting):
@@ -197,7 +267,7 @@ def test_no_file_for_any_date(spark, tmp_path, rows):
 def test_files_per_bucket_and_empty_partition_values(spark, tmp_path):
     frame = spark.range(0, 1000, 1, 16).selectExpr("id", "CAST(id % 3 AS STRING) AS v")
     overwrite_table(frame, new_table("bucketed"), bucket_by=(8, "id"), path=f"{tmp_path}/t")
-    assert len(list((tmp_path / "t").glob("part-*.parquet"))) == 8
+    assert len(list((tmp_path / "t").glob("*/part-*.parquet"))) == 8
     with pytest.raises(Exception, match="partition column 'v'"):
         overwrite_table(frame.selectExpr("id", "'' AS v"), new_table("parts"), partition_by="v")
     with pytest.raises(Exception, match="null_value"):
