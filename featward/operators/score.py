@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import math
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -50,9 +51,69 @@ def _trees_native(model: TreeEnsemble) -> Column:
     return margin
 
 
-def _tree_table(model: TreeEnsemble, used: list[str]) -> dict[str, np.ndarray]:
-    """All trees as flat arrays; a leaf points to itself, so walking on from it changes nothing."""
-    order = {name: i for i, name in enumerate(used)}
+TREES_AT_ONCE = 8  # trees whose leaves a row crosses out together
+ROWS_AT_ONCE = 4096
+MANY_TREES = 32  # from so many on, rows that fall into the same cell of all thresholds are scored once
+CELLS = 1 << 17  # that a task remembers, 16 bytes each
+MOST_LEAVES = 512  # of a tree that is scored by its leaves; a larger one is walked down
+
+
+def _leaves(node: dict) -> int:
+    waiting, found = [node], 0
+    while waiting:
+        node = waiting.pop()
+        found += "leaf" in node
+        waiting.extend(node.get("children", ()))
+    return found
+
+
+def _leaf_table(trees: Sequence[dict], order: dict[str, int], thresholds: list[np.ndarray], words: int) -> dict:
+    """A few trees as masks of leaves, ``words`` 64-bit words each, sorted by feature and threshold.
+
+    Leaves are numbered from the yes side to the no side. A split whose condition is false rules out all leaves on its
+    yes side; a row lands on the first leaf that is left. The splits of one feature that are false for a value are those with
+    thresholds up to it, so one row of masks per stretch between thresholds says what they rule out together,
+    in all these trees. The last row of masks is that of a missing value.
+    """
+    splits: list[list[tuple]] = [[] for _ in order]  # per feature (threshold, tree, mask, false if missing)
+    values = np.zeros((len(trees), 64 * words))
+
+    def place(tree: int, node: dict, first: int) -> int:
+        """Number the leaves below from ``first`` on; returns the number after the last."""
+        if "leaf" in node:
+            values[tree, first] = float(node["leaf"])
+            return first + 1
+        below = {c["nodeid"]: c for c in node["children"]}
+        middle = place(tree, below[node["yes"]], first)
+        ruled_out = ((1 << middle) - 1) ^ ((1 << first) - 1)
+        mask = [~(ruled_out >> 64 * w) & (1 << 64) - 1 for w in range(words)]
+        feature = order[node["split"]]
+        splits[feature].append((float(node["split_condition"]), tree, mask, node["missing"] != node["yes"]))
+        return place(tree, below[node["no"]], middle)
+
+    for number, tree in enumerate(trees):
+        place(number, tree, 0)
+    parts = []
+    for feature, found in enumerate(splits):
+        if not found:
+            continue
+        every = thresholds[feature]
+        # a condition that compares with NaN is never true
+        own = np.array([-np.inf if np.isnan(t) else t for t, *_ in found]).astype(every.dtype)
+        steps = np.unique(own)
+        masks = np.full((len(steps) + 2, len(trees), words), ~np.uint64(0))
+        for at, (_, tree, mask, if_missing) in zip(np.searchsorted(steps, own), found):
+            masks[at + 1, tree] &= np.array(mask, np.uint64)
+            if if_missing:
+                masks[-1, tree] &= np.array(mask, np.uint64)
+        np.bitwise_and.accumulate(masks[:-1], axis=0, out=masks[:-1])
+        stretch = np.concatenate([[0], np.searchsorted(steps, every, "right"), [len(steps) + 1]])
+        parts.append((feature, stretch.astype(np.int32), masks.reshape(len(masks), -1)))
+    return {"parts": parts, "values": values, "words": words}
+
+
+def _walk_table(root: dict, order: dict[str, int], kind: np.dtype) -> dict:
+    """A tree as flat arrays; a leaf points to itself, so walking on from it changes nothing."""
     feature, threshold, yes, no, missing, value = [], [], [], [], [], []
 
     def place(node: dict) -> tuple[int, int]:
@@ -68,18 +129,41 @@ def _tree_table(model: TreeEnsemble, used: list[str]) -> dict[str, np.ndarray]:
         yes[at], no[at], missing[at] = (below[node[k]][0] for k in ("yes", "no", "missing"))
         return at, 1 + max(depth for _, depth in below.values())
 
-    roots = [place(tree) for tree in model.trees]
-    real = np.float32 if model.single_precision else np.float64
-    return {
-        "root": np.array([at for at, _ in roots], np.int32),
-        "depth": np.array([depth for _, depth in roots], np.int32),
-        "feature": np.array(feature, np.int32),
-        "threshold": np.array(threshold, real),
-        "yes": np.array(yes, np.int32),
-        "no": np.array(no, np.int32),
-        "missing": np.array(missing, np.int32),
-        "value": np.array(value, np.float64),
-    }
+    _, depth = place(root)
+    columns = {"feature": feature, "yes": yes, "no": no, "missing": missing}
+    table = {name: np.array(column, np.int32) for name, column in columns.items()}
+    return table | {"depth": depth, "threshold": np.array(threshold, kind), "value": np.array(value, np.float64)}
+
+
+def _tree_tables(model: TreeEnsemble, order: dict[str, int], kind: np.dtype) -> tuple[list[np.ndarray], list[dict]]:
+    """All thresholds of each feature, rising, and the trees in their order as tables."""
+    every: list[set[float]] = [set() for _ in order]
+    for node in model.nodes():
+        if "leaf" not in node:
+            t = float(node["split_condition"])
+            every[order[node["split"]]].add(-np.inf if np.isnan(t) else t)
+    thresholds = [np.unique(np.array(sorted(t), kind)) for t in every]
+    tables: list[dict] = []
+    held: list[dict] = []
+    words = 0
+
+    def flush() -> None:
+        if held:
+            tables.append(_leaf_table(held, order, thresholds, words))
+        held.clear()
+
+    for tree in model.trees:
+        leaves = _leaves(tree)
+        own = -(-leaves // 64)
+        if leaves > MOST_LEAVES or own != words or len(held) * own >= TREES_AT_ONCE:
+            flush()
+        words = own
+        if leaves > MOST_LEAVES:
+            tables.append(_walk_table(tree, order, kind))
+        else:
+            held.append(tree)
+    flush()
+    return thresholds, tables
 
 
 def _trees_udf(model: TreeEnsemble) -> Column:
@@ -88,26 +172,84 @@ def _trees_udf(model: TreeEnsemble) -> Column:
     used = [f for f in model.features if f in splits]
     if not used:
         return _trees_native(model)
+    kind = np.dtype(np.float32 if model.single_precision else np.float64)
     # Part of the function, and not a broadcast of ours that somebody would have to release; Spark sends
     # a large function as a broadcast of its own.
-    t = _tree_table(model, used)
-    base = float(model.base_margin)
+    thresholds, tables = _tree_tables(model, {name: i for i, name in enumerate(used)}, kind)
+    base, rows_at_once = float(model.base_margin), ROWS_AT_ONCE
+
+    # What follows uses only its own names, so that executors need no copy of this package.
+    def add_landed(table: dict, ranks: list[np.ndarray], total: np.ndarray) -> None:
+        """Add the value of the leaf that each row lands on, one tree after the other."""
+        values, words = table["values"], table["words"]
+        left = None
+        for feature, stretch, masks in table["parts"]:
+            mine = masks.take(stretch.take(ranks[feature]), 0, mode="clip")
+            left = mine if left is None else np.bitwise_and(left, mine, out=left)
+        if left is None:
+            for leaf in values[:, 0]:
+                total += leaf
+            return
+        word = 0
+        if words > 1:
+            left = left.reshape(len(left), len(values), words)
+            word = (left != 0).argmax(2)
+            left = np.take_along_axis(left, word[:, :, None], 2)[:, :, 0]
+        np.bitwise_and(left, np.negative(left), out=left)
+        np.subtract(left, np.uint64(1), out=left)
+        leaf = (np.bitwise_count(left) + 64 * word).T.astype(np.intp)
+        for own, at in zip(values, leaf):
+            total += own.take(at, mode="clip")
+
+    def walked(table: dict, x: np.ndarray, absent: np.ndarray) -> np.ndarray:
+        rows, node = np.arange(len(x)), np.zeros(len(x), np.int32)
+        for _ in range(table["depth"]):
+            at = table["feature"][node]
+            side = np.where(x[rows, at] < table["threshold"][node], table["yes"][node], table["no"][node])
+            node = np.where(absent[rows, at], table["missing"][node], side)
+        return table["value"][node]
+
+    def margins(x: list[np.ndarray], ranks: list[np.ndarray]) -> np.ndarray:
+        margin = np.full(len(x[0]), base)
+        for start in range(0, len(margin), rows_at_once):
+            part = slice(start, start + rows_at_once)
+            mine, total = [r[part] for r in ranks], margin[part]
+            for table in tables:
+                if "parts" in table:
+                    add_landed(table, mine, total)
+                else:
+                    stacked = np.column_stack([c[part] for c in x])
+                    total += walked(table, stacked, np.isnan(stacked))
+        return margin
+
+    # rows between the same thresholds land on the same leaves: a cell is scored when it first comes up
+    sizes = [len(t) + 2 for t in thresholds]
+    by_cell = len(model.trees) >= MANY_TREES and math.prod(sizes) < 1 << 62
+    strides = [math.prod(sizes[:i]) for i in range(len(sizes))] if by_cell else []
+    most_cells = CELLS
 
-    # Uses only its own names, so that executors need no copy of this package.
     @F.pandas_udf("double")
-    def margin_of(*columns: pd.Series) -> pd.Series:
-        x = np.column_stack([c.to_numpy(t["threshold"].dtype) for c in columns])
-        absent = np.isnan(x)
-        rows = np.arange(len(x))
-        margin = np.full(len(x), base)
-        for root, depth in zip(t["root"], t["depth"]):
-            node = np.full(len(x), root)
-            for _ in range(depth):
-                at = t["feature"][node]
-                side = np.where(x[rows, at] < t["threshold"][node], t["yes"][node], t["no"][node])
-                node = np.where(absent[rows, at], t["missing"][node], side)
-            margin += t["value"][node]
-        return pd.Series(margin)
+    def margin_of(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known, known_margin = np.zeros(0, np.int64), np.zeros(0)
+        for columns in batches:
+            columns = (columns,) if isinstance(columns, pd.Series) else columns  # one column comes on its own
+            x = [c.to_numpy(kind) for c in columns]
+            ranks = [np.where(np.isnan(c), len(t) + 1, np.searchsorted(t, c, "right")) for c, t in zip(x, thresholds)]
+            if not by_cell:
+                yield pd.Series(margins(x, ranks))
+                continue
+            cells, first, back = np.unique(sum(r * s for r, s in zip(ranks, strides)), return_index=True, return_inverse=True)
+            margin = np.zeros(len(cells))
+            place = np.searchsorted(known, cells)
+            held = np.append(known, -1)[place] == cells
+            margin[held] = known_margin[place[held]]
+            new = first[~held]
+            margin[~held] = margins([c[new] for c in x], [r[new] for r in ranks])
+            if len(new) and len(known) + len(new) <= most_cells:
+                known, known_margin = (np.concatenate(c) for c in ((known, cells[~held]), (known_margin, margin[~held])))
+                order = np.argsort(known)
+                known, known_margin = known[order], known_margin[order]
+            yield pd.Series(margin[back])
 
     return margin_of(*[named(f).cast("float" if model.single_precision else "double") for f in used])
 
@@ -137,7 +279,7 @@ def score(
     model: LogisticModel | TreeEnsemble | MlClassifier,
     feature_cols: Sequence[str] | None = None,
     keep: str | Iterable[str] = (),
-    engine: str = "native",
+    engine: str = "udf",
     max_model_bytes: int = MAX_MODEL_BYTES,
 ) -> DataFrame:
     """``keep`` columns, the model's features in its own order, and ``PREDICTED_PROBA``.
@@ -145,8 +287,8 @@ def score(
     ``feature_cols`` names the frame's columns for the model's features, in that order, where
     they are called differently; a kept column may then not have the name of a feature that comes
     from another one. A NULL feature gives a NULL probability; trees send it down their missing
-    branch. ``engine`` for trees: ``native`` expressions inside generated code, or a vectorised
-    ``udf``, which suits ensembles of thousands of nodes; they give the same bits. A model whose
+    branch. ``engine`` for trees: a vectorised ``udf``, for ensembles of any size, or ``native`` expressions inside
+    generated code, for a handful of small trees where no Python worker is wanted; they give the same bits. A model whose
     parameters take more than ``max_model_bytes`` (:func:`model_bytes`) is refused.
     """
     if engine not in ("native", "udf"):

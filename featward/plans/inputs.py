@@ -94,6 +94,27 @@ TREES = TreeEnsemble(
 )
 
 
+MANY_TREES, MANY_DEPTH = 500, 6
+
+
+def many_trees(count: int = MANY_TREES, depth: int = MANY_DEPTH) -> TreeEnsemble:
+    """Full trees over the line features, by a rule from the numbers of tree and node.
+
+    Node ``i`` has the children ``2 i`` and ``2 i + 1``. Leaf values are whole 1024ths, so that their sum does not
+    depend on its order.
+    """
+    features = ("l_quantity", "l_discount", "l_tax")
+
+    def node(t: int, i: int) -> dict:
+        if i >> depth:
+            return _leaf(i, ((t * 31 + i * 57) % 257 - 128) / 1024)
+        which = (t * 7 + i * 3 + i // 4) % 3
+        below = (1 + (t * 13 + i * 17) % 50, (t * 5 + i * 11) % 11 / 100, (t * 3 + i * 7) % 9 / 100)[which]
+        return _split(i, features[which], float(below), node(t, 2 * i), node(t, 2 * i + 1))
+
+    return TreeEnsemble(features, tuple(node(t, 1) for t in range(count)))
+
+
 def _event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("event_id"),

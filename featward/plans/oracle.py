@@ -106,6 +106,23 @@ FROM events"""
 
 NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
+def _many_trees(trees: int, depth: int) -> str:
+    """Every line walks down every tree: from node n to 2 n, or to 2 n + 1 where the value is not below."""
+    rows = f"SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, t, CAST(1 AS BIGINT) AS n FROM lineitem, range({trees}) r(t)"
+    below = """CASE (t * 7 + n * 3 + n // 4) % 3
+        WHEN 0 THEN l_quantity < 1 + (t * 13 + n * 17) % 50
+        WHEN 1 THEN l_discount < CAST((t * 5 + n * 11) % 11 AS DOUBLE) / 100
+        ELSE l_tax < CAST((t * 3 + n * 7) % 9 AS DOUBLE) / 100 END"""
+    for _ in range(depth):
+        rows = f"SELECT * REPLACE (2 * n + CASE WHEN {below} THEN 0 ELSE 1 END AS n) FROM ({rows})"
+    return f"""
+SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+       round(CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-margin)), 6) AS "PREDICTED_PROBA"
+FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
+             sum(CAST((t * 31 + n * 57) % 257 - 128 AS DOUBLE) / 1024) AS margin
+      FROM ({rows}) GROUP BY ALL)"""
+
+
 ORACLE: dict[str, str] = {
     "ingest_dated_csv": EVENT_FILES,
     "ingest_to_table": EVENT_FILES,
@@ -247,6 +264,7 @@ SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, {LOGISTIC_P} AS
 FROM lineitem""",
     "score_trees": TREES,
     "score_trees_udf": TREES,
+    "score_trees_many": _many_trees(500, 6),
     "score_classifier": f"""
 SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, {LOGISTIC_P} AS "PREDICTED_PROBA"
 FROM lineitem""",

@@ -22,6 +22,7 @@ from featward.plans.inputs import (
     TREES,
     dated_files,
     dated_tree,
+    many_trees,
     mixed_text,
     ordered_csv,
     original_orders,
@@ -290,6 +291,11 @@ def q_score_trees_missing(spark, sf_dir):
     return _rounded(score(lines, TREES, keep=LINE_KEYS, engine="udf"))
 
 
+def q_score_trees_many(spark, sf_dir):
+    """An ensemble of an ordinary size: 500 trees of depth 6."""
+    return _rounded(score(table(spark, sf_dir, "lineitem"), many_trees(), keep=LINE_KEYS))
+
+
 def q_score_classifier(spark, sf_dir):
     """A fitted classifier, here with the weights of the plain model."""
     from pyspark.ml.classification import LogisticRegressionModel

@@ -23,6 +23,7 @@ from featward import (
     scored_output,
 )
 from featward.functions.bins import Bin
+from featward.operators import score as scoring
 from featward.plans.inputs import TREES
 
 NAN = float("nan")
@@ -121,6 +122,41 @@ def test_single_precision_split(spark):
             assert score(frame, model, engine=engine).first()[1] == pytest.approx(sigmoid(margin))
 
 
+@pytest.mark.parametrize("most_leaves", [512, 40, 1])
+def test_trees_of_all_sizes_are_added_up_in_their_order(spark, monkeypatch, most_leaves):
+    """Lone leaves, small trees, trees of several words of leaves, chains, and trees that are walked."""
+    monkeypatch.setattr(scoring, "MOST_LEAVES", most_leaves)
+    monkeypatch.setattr(scoring, "MANY_TREES", 5 if most_leaves == 40 else 10**6)
+    monkeypatch.setattr(scoring, "CELLS", 300)
+    draw = random.Random(6)
+    features = ["a", "b", "c"]
+
+    def chain(depth, at=0):
+        if not depth:
+            return {"nodeid": at, "leaf": draw.uniform(-1, 1)}
+        below = [{"nodeid": at + 1, "leaf": draw.uniform(-1, 1)}, chain(depth - 1, at + 2)]
+        yes, no = draw.sample(below, 2)
+        return {
+            "nodeid": at, "split": draw.choice(features), "split_condition": draw.choice([draw.uniform(-1, 1), NAN, 1e9, -1e9, 0.5]),
+            "yes": yes["nodeid"], "no": no["nodeid"], "missing": draw.choice(below)["nodeid"], "children": below,
+        }
+
+    trees = [random_tree(draw, features, d) for d in (1, 7, 7, 3, 8, 2, 9, 5, 6)] + [chain(150), chain(3)]
+    trees += [{"nodeid": 0, "leaf": 0.125}, random_tree(draw, features, 4), {"nodeid": 0, "leaf": 1e-9}]
+    draw.shuffle(trees)
+    model = TreeEnsemble(features, trees, base_margin=0.3)
+    values = [(i, *[draw.choice([None, NAN, 0.5, 1e9, -1e9, math.inf, -math.inf, draw.uniform(-1.2, 1.2)]) for _ in features]) for i in range(500)]
+    frame = spark.createDataFrame(values, "id int, a double, b double, c double").coalesce(1)
+    got = {r.id: r.PREDICTED_PROBA for r in score(frame, model, keep="id").collect()}
+    expected = {}
+    for i, *row in values:
+        margin = 0.3
+        for tree in trees:
+            margin += walk(tree, dict(zip(features, row)))
+        expected[i] = sigmoid(margin)
+    assert got == pytest.approx(expected, abs=1e-15)
+
+
 @pytest.mark.parametrize("single", [False, True])
 def test_both_engines_give_the_same_bits(spark, plan, single):
     draw = random.Random(2)
@@ -134,7 +170,7 @@ def test_both_engines_give_the_same_bits(spark, plan, single):
         "'text' AS never_split_on",
     )
     native, udf = (score(rows, model, keep="id", engine=e) for e in ("native", "udf"))
-    assert "Python" not in plan(score(rows, model)) and "ArrowEvalPython" in plan(udf)
+    assert "Python" not in plan(native) and "ArrowEvalPython" in plan(udf)
     other = udf.select("id", F.col("PREDICTED_PROBA").alias("other"))
     both = native.join(other, "id")
     assert both.count() == 200_000
