@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
-import zipfile
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from featward.session import ship_package
+
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 
-_shipped: set[str] = set()
-
 
 def prepare(spark: SparkSession) -> None:
     """Make the session ready for the operators; may be called any number of times.
@@ -25,16 +21,8 @@ def prepare(spark: SparkSession) -> None:
     session says less: a batch is held by the JVM and by the worker, for every task of an
     executor, so the usual 64 MB would take half a gigabyte beside the heap.
     """
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent.parent
-        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="featward-")), "featward.zip")
-        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-            for file in sorted(package.rglob("*.py")):
-                out.write(file, file.relative_to(package.parent))
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
-    now = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH))
+    ship_package(spark)
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH))
     if now > BATCH_BYTES:
         spark.conf.set(BATCH, f"{BATCH_BYTES}b")
 
