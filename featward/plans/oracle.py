@@ -241,6 +241,10 @@ cells AS (
   UNION ALL
   SELECT 'status', pos FROM x WHERE k % 7 <> 0 AND k % 13 = 0 AND s <> 'x')
 SELECT column_name, count(*) AS cells, CAST(sum(pos) AS BIGINT) AS positions FROM cells GROUP BY column_name""",
+    "compare_csv_line_breaks": """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, doc_id, text FROM documents)
+SELECT pos, 'text' AS column_name, text AS self, text || chr(10) || '"edited",' || chr(10) || 'twice' AS other
+FROM d WHERE doc_id % 7 = 0 AND text IS NOT NULL""",
     "frames_equal": f"""{VERSIONS}
 SELECT 'original, restated' AS pair,
        NOT EXISTS (SELECT * FROM original EXCEPT ALL SELECT * FROM restated)

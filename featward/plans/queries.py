@@ -244,6 +244,24 @@ def q_compare_csv_inferred(spark, sf_dir):
     return cells.groupBy("column_name").agg(F.count("*").alias("cells"), F.sum("pos").alias("positions"))
 
 
+def q_compare_csv_line_breaks(spark, sf_dir):
+    """Whole texts, line breaks and quotes within them: two CSVs of one file each, read in pieces of 256 KB."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    edited = F.when(F.col("doc_id") % 7 == 0, F.concat("text", F.lit('\n"edited",\ntwice'))).otherwise(F.col("text"))
+    paths = []
+    for version in (documents, documents.withColumn("text", edited)):
+        paths.append(new_scratch(spark, "texts-csv"))
+        write_delimited(version.coalesce(1).sortWithinPartitions("doc_id"), paths[-1], ",", null_value="NA", escape='"')
+    before = {name: spark.conf.get(name) for name in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in before:
+            spark.conf.set(name, "262144")
+        return compare_csv(spark, *paths, "doc_id bigint, lang string, text string")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def q_frames_equal(spark, sf_dir):
     original, restated = _versions(spark, sf_dir)
     changed = frames_equal(original, restated).withColumn("pair", F.lit("original, restated"))

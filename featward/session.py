@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _own_base: str | None = None
 _issued: list[str] = []
 _tables: list[str] = []
+_shipped: set[str] = set()
 
 
 def get_spark(app: str = "featward", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,6 +42,21 @@ def get_spark(app: str = "featward", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's source, once, as one small archive: functions that run in Python workers are
+    pickled by reference."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="featward-")), "featward.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def scratch_base(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
 
