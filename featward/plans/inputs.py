@@ -143,6 +143,23 @@ def dated_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def drifting_files(spark: SparkSession, sf_dir: str) -> str:
+    """As :func:`dated_files`, but the columns' order and number change over the days."""
+    root = new_scratch(spark, "drifting-files")
+    rows = _event_text(spark, sf_dir).withColumn("length", F.length("props").cast("string"))
+    name = F.concat(F.lit("feat_final_"), F.col("day"), F.lit(".csv")).alias("file")
+    third = F.substring("day", 7, 2).cast("int") % 3
+    shapes = [
+        ["event_id", "user_id", "event_type", "props"],
+        ["props", "event_id", "event_type", "user_id"],
+        ["event_type", "length", "event_id"],
+    ]
+    for i, columns in enumerate(shapes):
+        part = rows.filter(third == i).select(*columns, name).hint("rebalance", "file")
+        part.write.mode("append").partitionBy("file").option("header", True).csv(root)
+    return root
+
+
 def dated_tree(spark: SparkSession, sf_dir: str) -> str:
     """All events as CSV in ``…/day=<day>/name=feat_final.csv/``; returns the root."""
     root = new_scratch(spark, "dated-tree")

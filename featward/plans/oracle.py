@@ -125,6 +125,12 @@ FROM (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
 
 ORACLE: dict[str, str] = {
     "ingest_dated_csv": EVENT_FILES,
+    "ingest_drifting_headers": """
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, strftime(ts, '%Y%m%d') AS prcsng_dt,
+       CASE WHEN day(ts) % 3 <> 2 THEN CAST(user_id AS VARCHAR) END AS user_id,
+       CASE WHEN day(ts) % 3 <> 2 THEN nullif(props, '') END AS props,
+       CASE WHEN day(ts) % 3 = 2 THEN CAST(length(props) AS VARCHAR) END AS "length"
+FROM events""",
     "ingest_to_table": EVENT_FILES,
     "list_dated_files": "SELECT DISTINCT strftime(ts, '%Y%m%d') AS prcsng_dt FROM events",
     "list_dated_file_sizes": """

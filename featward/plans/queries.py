@@ -22,6 +22,7 @@ from featward.plans.inputs import (
     TREES,
     dated_files,
     dated_tree,
+    drifting_files,
     many_trees,
     mixed_text,
     ordered_csv,
@@ -55,6 +56,11 @@ def q_ingest_dated_csv(spark, sf_dir):
     return ingest_dated_csv(spark, dated_files(spark, sf_dir) + "/file=feat_final_*.csv")
 
 
+def q_ingest_drifting_headers(spark, sf_dir):
+    """Dated files whose headers change over the days, every value under its name."""
+    return ingest_dated_csv(spark, drifting_files(spark, sf_dir) + "/file=feat_final_*.csv", by_name=True)
+
+
 def q_ingest_to_table(spark, sf_dir):
     """Dated files into a table partitioned by their date."""
     rows = ingest_dated_csv(spark, dated_files(spark, sf_dir) + "/file=feat_final_*.csv", strict_header=True)

@@ -10,10 +10,11 @@ import re
 from collections.abc import Sequence
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featward.sources.delimited import read_header_csv, text_schema
+from featward.sources.headers import read_csv_by_name
 
 # Fixed value: the file-name form of a dated feature file; group 1 is the date.
 DATED_FILE = r"feat_final_(\d{8})\.csv"
@@ -26,14 +27,23 @@ def ingest_dated_csv(
     date_pattern: str = DATED_FILE,
     columns: list[str] | None = None,
     strict_header: bool = True,
+    by_name: bool = False,
     **options,
 ) -> DataFrame:
     """All header CSVs of a glob, every column as text, with ``prcsng_dt`` from the file name.
 
     A path the pattern does not match gets ''; its rows are kept (a table partitioned by the date
     cannot hold ''). A file whose header names other columns, or the same in another order, is an
-    error; ``strict_header=False`` reads all files by position, whatever their headers say.
+    error. ``by_name=True`` reads each file by its own header (:func:`featward.sources.headers.read_csv_by_name`):
+    values land under their names, NULL where a file lacks the column; a filter on the date drops files from
+    every group of like headers. ``strict_header=False`` reads all files by position, whatever their headers say.
     """
+    if by_name:
+
+        def date() -> Column:
+            return F.regexp_extract(F.col("_metadata.file_path"), date_pattern, 1)
+
+        return read_csv_by_name(spark, path_glob, columns, {DATE_COLUMN: date}, **options)
     rows = read_header_csv(spark, path_glob, columns, strict_header, **options)
     return rows.withColumn(
         DATE_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), date_pattern, 1)

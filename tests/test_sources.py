@@ -78,6 +78,37 @@ def test_ingest_with_differing_headers(spark, tmp_path, rows):
         ingest_dated_csv(spark, f"{tmp_path}/*.csv").collect()
 
 
+def test_files_with_differing_headers_are_read_by_name(spark, tmp_path, rows):
+    texts = {
+        "feat_final_20240101.csv": "a,b\n1,x\n2,\n",
+        "feat_final_20240102.csv": "b,a\ny,3\n",
+        "feat_final_20240103.csv": 'B,"c,d",extra\nz,q,"1,2"\n',
+        "feat_final_20240104.csv": "a,b\n",
+        "feat_final_20240105.csv": "",
+        "feat_final_{odd} name.csv": "a,b\n4,w\n",
+    }
+    for name, text in texts.items():
+        _file(tmp_path / name, text)
+    got = ingest_dated_csv(spark, str(tmp_path), by_name=True)
+    assert got.columns == ["a", "b", "c,d", "extra", "prcsng_dt"]
+    expected = [
+        ("1", "x", None, None, "20240101"), ("2", None, None, None, "20240101"), ("3", "y", None, None, "20240102"),
+        (None, "z", "q", "1,2", "20240103"), ("4", "w", None, None, ""),
+    ]
+    assert rows(got) == sorted(expected, key=repr)
+    chosen = ingest_dated_csv(spark, str(tmp_path), columns=["extra", "A", "none"], by_name=True)
+    assert rows(chosen) == sorted([(e, a, None, d) for a, _, _, e, d in expected], key=repr)
+    one_day = got.filter("prcsng_dt = '20240102'").select("a")
+    assert _files_read(one_day) == 1 and rows(one_day) == [("3",)]
+    (tmp_path / "feat_final_20240106.csv").write_text("a,A\n1,2\n")
+    with pytest.raises(ValueError, match="repeated names"):
+        ingest_dated_csv(spark, str(tmp_path), by_name=True)
+    only = str(tmp_path / "feat_final_20240105.csv")
+    assert ingest_dated_csv(spark, only, columns=["a"], by_name=True).columns == ["a", "prcsng_dt"]
+    with pytest.raises(ValueError, match="no file with a header"):
+        ingest_dated_csv(spark, only, by_name=True)
+
+
 def test_list_dated_files(spark, tmp_path, rows):
     _file(tmp_path / "f/20240101/feat_final.csv", "a\n1\n")
     _file(tmp_path / "f/20240102/feat_final.csv", "a\n22\n")
