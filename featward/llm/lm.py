@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from featward.llm.arrays import map_arrays, save_arrays
 from featward.llm.components import written
-from featward.llm.packing import buckets_of, by_bucket, pack, pack_sorted, unpack, unpack_sorted
-from featward.llm.words import U64, Texts, chunks, combine, words_of
+from featward.llm.packing import buckets_of, by_bucket, dealt, pack, pack_sorted, unpack, unpack_sorted
+from featward.llm.words import CHUNK_BYTES, U64, Texts, chunks, combine, words_of
 from featward.session import new_scratch
 
 BEGIN, END = U64(0x9AE16A3B2F90404F), U64(0xC949D7C7509E6557)  # before the first word, after the last
@@ -107,7 +107,7 @@ def _count(df: DataFrame, buckets: int) -> DataFrame:
             yield flush()
 
     kinds = "bucket int, before binary, runs binary, tokens binary, times binary"
-    return df.mapInArrow(count, kinds).repartition(buckets, "bucket")
+    return dealt(df.mapInArrow(count, kinds), buckets)
 
 
 def _word_counts(counted: DataFrame, path: str, buckets: int) -> DataFrame:
@@ -120,7 +120,7 @@ def _word_counts(counted: DataFrame, path: str, buckets: int) -> DataFrame:
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, found in by_bucket(batches).items():
+        for bucket, found in by_bucket(batches):
             before = np.concatenate([np.repeat(unpack_sorted(r["before"]), unpack(r["runs"])) for r in found])
             token = np.concatenate([np.frombuffer(r["tokens"], U64) for r in found])
             times = np.concatenate([unpack(r["times"]).astype(np.int64) for r in found])
@@ -176,17 +176,17 @@ def fit_kneser_ney(df: DataFrame, text_col: str = "text") -> KneserNey:
 
     Words are runs without white space, A-Z lower-cased; each text ends with an end token, also a
     NULL or empty one. Each task adds up its own bigrams before they are shuffled, as packed bytes,
-    to buckets that no single word or bigram can fill. Buckets write their bigrams as sorted 64-bit
+    to buckets that no single word or bigram can fill, as many as there is text for; a task holds one at a time. Buckets write their bigrams as sorted 64-bit
     hashes, those seen once apart from the others with their counts, and hand on counts per word,
     which are written likewise. The driver gets five numbers per bucket.
     """
-    buckets = buckets_of(df)
     path = new_scratch(df.sparkSession, "kneser-ney")
     texts = df.select(F.col(text_col).alias("text"))
+    buckets = buckets_of(texts)
     counted = written(_word_counts(_count(texts, buckets), path, buckets), "word-counts")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, found in by_bucket(batches).items():
+        for bucket, found in by_bucket(batches):
             words = np.concatenate([unpack_sorted(r["words"]) for r in found])
             columns = [np.concatenate([unpack(r[c]).astype(np.int64) for r in found]) for c in COLUMNS]
             words, *columns = _added(words, *columns)
@@ -198,9 +198,7 @@ def fit_kneser_ney(df: DataFrame, text_col: str = "text") -> KneserNey:
             yield pa.RecordBatch.from_arrays([pa.array([int(v)]) for v in row], [f"v{i}" for i in range(8)])
 
     totals = written(
-        counted.filter("bucket >= 0").repartition(buckets, "bucket").mapInArrow(
-            add, ", ".join(f"v{i} long" for i in range(8))
-        ),
+        dealt(counted.filter("bucket >= 0"), buckets).mapInArrow(add, ", ".join(f"v{i} long" for i in range(8))),
         "word-totals",
     )
     sums = [r or 0 for r in totals.agg(*[F.sum(f"v{i}") for i in range(8)]).first()]
@@ -299,7 +297,8 @@ def score_kneser_ney(df: DataFrame, model: KneserNey, text_col: str = "text", in
         base_total = model.tokens + model.distinct + 1
         for column in columns:
             parts = []
-            for texts in chunks(column):
+            # the more files there are to look into, the more text is looked up at once
+            for texts in chunks(column, CHUNK_BYTES * min(16, 1 + model.buckets // 256)):
                 before, token, offsets = tokens_of(texts)
                 value, times = log_probabilities(model, before, token)
                 base = np.log10((times + 1) / base_total)

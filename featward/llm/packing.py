@@ -7,6 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BUCKET_TEXT = 4 << 20  # bytes of text that a bucket is meant for
+MOST_BUCKETS = 1 << 14
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -29,16 +33,29 @@ def unpack_sorted(packed: bytes) -> np.ndarray:
     return np.cumsum(unpack(packed).astype(np.uint64), dtype=np.uint64)
 
 
-def buckets_of(df: DataFrame) -> int:
-    """How many buckets a count is dealt into: the session's shuffle partitions, which are set to
-    suit the data."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def buckets_of(rows: DataFrame, text_col: str = "text") -> int:
+    """How many buckets the counts of these texts are dealt into: one per 4 MB of text, so that a bucket stays as large
+    as it is however much there is, but at least the session's shuffle partitions. Beyond 64 GB of text buckets
+    grow, unless there are more shuffle partitions."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = rows.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(least, min(MOST_BUCKETS, -(-size // BUCKET_TEXT)))
+
+
+def dealt(packed: DataFrame, buckets: int) -> DataFrame:
+    """Each bucket's rows one after the other in one task, sorted by Spark, which spills."""
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch]) -> dict[int, list[dict]]:
-    """A partition's rows by their bucket."""
-    found: dict[int, list[dict]] = {}
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
+    """The buckets of a partition in which their rows follow each other; one is held at a time."""
+    bucket, found = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            found.setdefault(row["bucket"], []).append(row)
-    return found
+            if row["bucket"] != bucket:
+                if found:
+                    yield bucket, found
+                bucket, found = row["bucket"], []
+            found.append(row)
+    if found:
+        yield bucket, found
