@@ -43,8 +43,15 @@ def buckets_of(rows: DataFrame, text_col: str = "text") -> int:
 
 
 def dealt(packed: DataFrame, buckets: int) -> DataFrame:
-    """Each bucket's rows one after the other in one task, sorted by Spark, which spills."""
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    """Each bucket in a task of its own, its rows one after the other, sorted by Spark, which spills.
+
+    Dealt by its number, a bucket would share its task with some others; so each goes by a number that Spark's hash
+    sends to the task of the bucket's number.
+    """
+    numbers = packed.sparkSession.range(40 * buckets).select(F.col("id").cast("int").alias("slot"))
+    slots = numbers.groupBy(F.pmod(F.hash("slot"), F.lit(buckets)).alias("bucket")).agg(F.min("slot").alias("slot"))
+    by_slot = packed.join(F.broadcast(slots), "bucket", "left").withColumn("slot", F.coalesce("slot", "bucket"))
+    return by_slot.repartition(buckets, "slot").sortWithinPartitions("bucket").drop("slot")
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:

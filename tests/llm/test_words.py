@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -77,3 +78,21 @@ def test_packing():
         assert unpack(pack(values)).tolist() == values.tolist()
         assert unpack_sorted(pack_sorted(values)).tolist() == values.tolist()
     assert unpack(pack(np.zeros(0, np.int64))).tolist() == []
+
+
+def test_buckets_have_a_task_each_and_follow_the_text(spark, monkeypatch):
+    from featward.llm import packing
+
+    packed = spark.range(400).selectExpr("CAST(id % 50 AS INT) AS bucket", "id").repartition(7)
+
+    def count(batches):
+        for bucket, rows in packing.by_bucket(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([len(rows)])], ["bucket", "n"])
+
+    found = packing.dealt(packed, 50)
+    assert found.groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("bucket").alias("n")).filter("n > 1").isEmpty()
+    assert sorted(map(tuple, found.mapInArrow(count, "bucket long, n long").collect())) == [(b, 8) for b in range(50)]
+    texts = spark.createDataFrame([("é" * 500,), (None,)], "text string")
+    assert packing.buckets_of(texts) == 8
+    monkeypatch.setattr(packing, "BUCKET_TEXT", 50)
+    assert packing.buckets_of(texts) == 20
