@@ -18,11 +18,12 @@ from featward.llm.jaccard import BROADCAST_IDS, jaccard_components
 from featward.llm.langid import fit_languages, identify_languages
 from featward.llm.queries import tokenizer, toxic_from
 from featward.llm.toxicity import fit_severity, predict_severity
-from featward.llm.workers import prepare
+from featward.llm.workers import BATCH, prepare
 from featward.session import new_scratch
 
 MOST_UNKNOWN = 0.5  # share of a text that may be in none of the languages
-MEMO_ENTRIES = 100_000  # pre-tokens a worker remembers: small, beside what earlier stages left it with
+BATCH_BYTES = 2 << 20  # of an Arrow batch: stages share workers and heap with those before them
+MEMO_ENTRIES = 50_000  # pre-tokens a worker remembers: small, beside what earlier stages left it with
 ROW = "__row"
 KEY = "__key"  # a number of its own for every row
 
@@ -33,6 +34,7 @@ def _prepared(stage):
     @wraps(stage)
     def prepared(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         prepare(spark)
+        spark.conf.set(BATCH, f"{BATCH_BYTES}b")
         return stage(spark, docs, sf_dir)
 
     return prepared
