@@ -32,6 +32,33 @@ def comparable(column: str, dtype: T.DataType) -> str:
     return column
 
 
+_PLAIN = (T.StringType, T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.BinaryType)
+
+
+def _written_apart(dtype: T.DataType) -> bool:
+    """Are different values of the type different as JSON?"""
+    if isinstance(dtype, T.ArrayType):
+        return _written_apart(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_written_apart(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.MapType):
+        return isinstance(dtype.keyType, (T.StringType, T.IntegralType)) and _written_apart(dtype.valueType)
+    return isinstance(dtype, _PLAIN)
+
+
+def digested(column: str, dtype: T.DataType) -> str | None:
+    """What a row digest hashes of the column, NULL apart; None for types that it cannot tell apart.
+
+    Values that are not equal come out different. Nested values are written as JSON, since a hash would run
+    through them as if they were flat.
+    """
+    if isinstance(dtype, (*_PLAIN, T.TimestampType, T.TimestampNTZType)):
+        return column
+    if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)) and _written_apart(dtype):
+        return f"to_json(named_struct('v', {column}), map('ignoreNullFields', 'false'))"
+    return None
+
+
 def differs(
     left: str, right: str, left_type: T.DataType, right_type: T.DataType, null_safe: bool
 ) -> str:

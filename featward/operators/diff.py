@@ -5,23 +5,29 @@ otherwise all rows of both sides. For those, keys found to be unique allow one f
 that repeats may be hot, and adaptive execution splits it in a left or anti join but never in a full
 outer one: the side with the repeats then left-joins the other, whose unmatched rows an anti join
 adds. Rows without a key match nothing; a hash of the row spreads them over the tasks.
+
+Wide tables of which little changed need not be shuffled whole: ``digest_first`` groups keys and row digests,
+and only rows whose key came out with differing digests go on to the joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featward.functions.compare import any_of, differs, sql_text
+from featward.functions.compare import any_of, differs, digested, sql_text
 from featward.functions.lookup import lookup_keys
 from featward.functions.names import as_list, positional, positions, quoted, refuse_taken
 from featward.operators.align import align_columns
+from featward.session import new_scratch
 
+# a row digest is two 64-bit hashes, chained over the values from different starts
+CHAINS = (1, 2)
 CELL = "struct<present:boolean,column_name:string,original_value:string,new_value:string>"
 
 
@@ -36,6 +42,7 @@ class _Pair:
     original_types: list[T.DataType]
     new_types: list[T.DataType]
     duplicates: str
+    repeats: str | None = "unknown"  # the side on which a key repeats, once that is known
 
     @property
     def key_ids(self) -> list[str]:
@@ -89,6 +96,8 @@ class _Pair:
 
         One job over the key columns of both sides; copies are counted before the shuffle.
         """
+        if self.repeats != "unknown":
+            return self.repeats
         if self.duplicates == "multiply":
             return None
 
@@ -107,8 +116,11 @@ class _Pair:
             F.max("new").alias("new"),
             F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")).alias("worst"),
         ).first()
+        return self._repeats_in(most, refuse=True)
+
+    def _repeats_in(self, most: Row, refuse: bool) -> str | None:
         worst = most["worst"]
-        if worst and min(worst["original"], worst["new"]) > 1:
+        if refuse and worst and min(worst["original"], worst["new"]) > 1:
             raise ValueError(
                 f"key {dict(zip(self.key, worst))} occurs {worst['original']} times in the original "
                 f"and {worst['new']} times in the new frame; pass duplicates='multiply' to pair them all"
@@ -117,6 +129,61 @@ class _Pair:
             return "both"
         return "original" if (most["original"] or 0) > 1 else "new" if (most["new"] or 0) > 1 else None
 
+    def differing(self, null_safe: bool) -> _Pair:
+        """The rows that may differ: those whose key has rows of different digests, or (null-safe) rows on one side
+        only, or no key.
+
+        One grouping of keys and digests, with map-side sums, so a hot key is one row per task. Rows with equal
+        digests are taken for equal; unequal digests only say that the rows are to be compared. Columns without a
+        digest, and columns or keys of different types on the two sides, leave the pair as it is.
+        """
+        columns = range(len(self.columns))
+        old = [digested(f"o{i}", kind) for i, kind in enumerate(self.original_types)]
+        new = [digested(f"n{i}", kind) for i, kind in enumerate(self.new_types)]
+        if None in old or self.original_types != self.new_types:
+            return self
+        if any(self.original.schema[k].dataType != self.new.schema[k].dataType for k in self.key_ids):
+            return self
+
+        def marks(side: DataFrame, values: list[str], prefix: str, original: int) -> DataFrame:
+            nulls = [f"{prefix}{i} IS NULL" for i in columns]
+            row = ", ".join(x for both in zip(values, nulls) for x in both)
+            chains = [f"xxhash64({', '.join([str(start), row] if row else [str(start)])}) AS d{start}" for start in CHAINS]
+            sides = [f"{original} AS original", f"{1 - original} AS new"]
+            return side.filter(self._has_key).selectExpr(*self.key_ids, *chains, *sides)
+
+        same = " AND ".join(["original > 0 AND new > 0", *[f"low{d} = high{d}" for d in CHAINS]])
+        counted = (
+            marks(self.original, old, "o", 1)
+            .unionAll(marks(self.new, new, "n", 0))
+            .groupBy(*self.key_ids)
+            .agg(
+                F.sum("original").alias("original"),
+                F.sum("new").alias("new"),
+                *[F.min(f"d{d}").alias(f"low{d}") for d in CHAINS],
+                *[F.max(f"d{d}").alias(f"high{d}") for d in CHAINS],
+            )
+        )
+        wanted = f"NOT ({same})" if null_safe else f"original > 0 AND new > 0 AND NOT ({same})"
+        found = counted.selectExpr(*self.key_ids, "original", "new", f"{wanted} AS wanted")
+        spark = self.original.sparkSession
+        path = new_scratch(spark, "differing-keys")
+        found.filter("wanted OR (original > 1 AND new > 1)").write.parquet(path)
+        keys = spark.read.parquet(path)
+        most = keys.agg(
+            F.max(F.when(F.col("wanted"), F.col("original"))).alias("original"),
+            F.max(F.when(F.col("wanted"), F.col("new"))).alias("new"),
+            F.max_by(F.struct(*self.key_ids, "original", "new"), F.least("original", "new")).alias("worst"),
+        ).first()
+        repeats = self._repeats_in(most, refuse=self.duplicates == "refuse")
+        looked_up = keys.filter("wanted").select(*self.key_ids)
+
+        def few(side: DataFrame) -> DataFrame:
+            rows = side.join(looked_up, self.key_ids, "left_semi")
+            return rows.unionAll(side.filter(f"NOT ({self._has_key})")) if null_safe else rows
+
+        return replace(self, original=few(self.original), new=few(self.new), repeats=repeats)
+
 
 def _without(rows: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
     """The rows that have no partner; copies of the keys to look up go before they are shuffled."""
@@ -170,6 +237,7 @@ def diff_cells(
     key: str | Iterable[str],
     null_safe: bool = False,
     duplicates: str = "refuse",
+    digest_first: bool = False,
 ) -> DataFrame:
     """One row per cell that differs: key…, column_name, original_value, new_value.
 
@@ -183,9 +251,16 @@ def diff_cells(
 
     A key may repeat on one side. Repeated on both it would pair every copy with every copy:
     refused, unless ``duplicates='multiply'``.
+
+    ``digest_first`` is for wide tables of which little changed: a first job shuffles only keys and 128-bit row
+    digests, and rows whose key has one digest on both sides are not shuffled. The rows are the same but for
+    a chance of 2**-128 per changed row (the hash is not a cryptographic one: not for data made up to collide).
+    The differing keys are looked up by a semi join, broadcast where they are few.
     """
     refuse_taken(as_list(key), ["column_name", "original_value", "new_value", "change"])
     pair = _pair(original, new, key, None, duplicates)
+    if digest_first:
+        pair = pair.differing(null_safe)
     changes = pair.changes(null_safe)
     cells = [
         _cell_if(change, sql_text(name), _text(f"o{i}"), _text(f"n{i}"))
@@ -239,17 +314,20 @@ def diff_report(
     include_key: bool = True,
     sanitize: bool = True,
     duplicates: str = "refuse",
+    digest_first: bool = False,
 ) -> DataFrame:
     """One line per differing row: ``differences`` = ``c1: old -> new, c2: old -> new``.
 
     Compares the sorted common columns, after ``-`` became ``_`` in the names (the key is given
     by its new name); only differing columns are listed. ``null_safe`` prints NULL as ``NULL``
-    and adds the rows of one side and ``change``, as in :func:`diff_cells`.
+    and adds the rows of one side and ``change``, as in :func:`diff_cells`, as is ``digest_first``.
     """
     original, new = align_columns(original, new, sanitize)
     key = as_list(key)
     refuse_taken(key, ["differences", "change"])
     pair = _pair(original, new, key, None, duplicates)
+    if digest_first:
+        pair = pair.differing(null_safe)
     head = pair.key_out if include_key else []
 
     def shown(column: str) -> str:

@@ -185,6 +185,23 @@ SELECT id, 'o_orderstatus' AS column_name, os AS original_value, ns AS new_value
 FROM x WHERE os IS DISTINCT FROM ns
 UNION ALL
 SELECT id, 'day', od, nd, change FROM x WHERE od IS DISTINCT FROM nd""",
+    "diff_cells_digest_first": """
+WITH n AS (SELECT CASE WHEN doc_id % 103 = 0 THEN -doc_id - 1 ELSE doc_id END AS doc_id,
+                  CASE WHEN doc_id % 29 = 0 THEN text || ' (edited)' ELSE text END AS text,
+                  CASE WHEN doc_id % 37 <> 0 THEN lang END AS lang, source,
+                  CASE WHEN doc_id % 41 = 0 THEN n_chars + 1 ELSE n_chars END AS n_chars FROM documents),
+x AS (SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, o.text AS ot, n.text AS nt, o.lang AS ol, n.lang AS nl,
+             o.source AS os, n.source AS ns, CAST(o.n_chars AS VARCHAR) AS oc, CAST(n.n_chars AS VARCHAR) AS nc,
+             CASE WHEN o.doc_id IS NULL THEN 'added' WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+      FROM documents o FULL JOIN n ON o.doc_id = n.doc_id)
+SELECT doc_id, 'text' AS column_name, ot AS original_value, nt AS new_value, change FROM x WHERE ot IS DISTINCT FROM nt
+UNION ALL
+SELECT doc_id, 'lang', ol, nl, change FROM x WHERE ol IS DISTINCT FROM nl
+UNION ALL
+SELECT doc_id, 'source', os, ns, change FROM x WHERE os IS DISTINCT FROM ns
+UNION ALL
+SELECT doc_id, 'n_chars', oc, nc, change FROM x WHERE oc IS DISTINCT FROM nc""",
+    "diff_report_digest_first": VERSIONS + REPORT,
     "diff_bucketed": f"""{VERSIONS}
 SELECT o.id AS id, 'status' AS column_name, o.status AS original_value, n.status AS new_value
 FROM original o JOIN restated n ON o.id = n.id WHERE o.status <> n.status

@@ -151,6 +151,23 @@ def q_diff_cells_repeated_keys(spark, sf_dir):
     return diff_cells(orders, lines, key="id", null_safe=True)
 
 
+def q_diff_cells_digest_first(spark, sf_dir):
+    """Every document with its whole text, of which few change: only those are shuffled."""
+    documents = table(spark, sf_dir, "documents")
+    new = documents.select(
+        F.when(F.col("doc_id") % 103 == 0, -F.col("doc_id") - 1).otherwise(F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("doc_id") % 29 == 0, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text")).alias("text"),
+        F.when(F.col("doc_id") % 37 != 0, F.col("lang")).alias("lang"),
+        "source",
+        F.when(F.col("doc_id") % 41 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+    return diff_cells(documents, new, key="doc_id", null_safe=True, digest_first=True)
+
+
+def q_diff_report_digest_first(spark, sf_dir):
+    return diff_report(*_versions(spark, sf_dir), key="id", digest_first=True)
+
+
 def q_diff_bucketed(spark, sf_dir):
     """Two tables in as many buckets: their diff shuffles nothing."""
     names = []
