@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from functools import lru_cache
+from math import acos, ceil, comb, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -15,27 +16,80 @@ from featward.llm.words import ALNUM, U64, Texts, chunks, mix, shingles_of, word
 
 SHINGLE = 5
 SIMILARITY = 0.75
-BITS = 64
-BLOCKS = 8  # of 8 bits
-RADIUS = 24  # four standard errors above what similarity 0.75 is expected to differ by
-ITEM_BLOCK = 20_000  # items sent to the executors at once
+BITS = 128
+BLOCKS = 8  # of 16 bits
+LOSS = 1e-6  # chance that a pair exactly at the threshold is farther apart than the radius
+COUNTED = 512  # shingles up to which the chance of a bit to differ is counted out
+ITEM_BLOCK = 20_000  # items in one index
 WINDOWS = 512  # windows compared at once
+SPAN = 8192  # words at most between the first and the last of them
+CELLS = 1 << 19  # windows times buckets compared at once
 
-_PER = BITS // BLOCKS
-# by the pigeonhole principle, within RADIUS some block differs in at most RADIUS // BLOCKS bits
-_NEAR = np.array(
-    [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(_PER), n)], np.int64
-)
+_SECOND = U64(0x9E3779B97F4A7C15)
 
 
 def _signs(hashes: np.ndarray) -> np.ndarray:
     """+1 or -1 for each bit of each hash."""
-    bits = np.unpackbits(np.ascontiguousarray(mix(hashes)).view(np.uint8).reshape(-1, 8), axis=1)
+    wide = np.stack([mix(hashes), mix(hashes ^ _SECOND)], axis=1)
+    bits = np.unpackbits(wide.view(np.uint8).reshape(-1, BITS // 8), axis=1)
     return bits.astype(np.int8) * 2 - 1
 
 
 def _fingerprint(sums: np.ndarray) -> np.ndarray:
-    return np.packbits(sums > 0, axis=1).view(U64)[:, 0] if len(sums) else np.zeros(0, U64)
+    """One row of two words for each row of sums."""
+    return np.packbits(sums > 0, axis=1).view(U64) if len(sums) else np.zeros((0, 2), U64)
+
+
+def least_shared(size: int, width: int, threshold: float) -> int:
+    """Shingles that a window of ``width`` has to share with an item of ``size``."""
+    return ceil(threshold / (1 + threshold) * (size + width) - 1e-9)
+
+
+def _coins(n: int) -> np.ndarray:
+    return np.array([comb(n, k) / 2**n for k in range(n + 1)])
+
+
+def _bit_differs(shared: int, own: int, other: int) -> float:
+    """Chance that a sum of ``shared`` signs and ``own`` more is above zero where that with ``other`` more is not, or
+    the other way round."""
+    at = 2 * np.arange(shared + 1) - shared
+
+    def above(n: int) -> np.ndarray:
+        at_least = np.append(np.cumsum(_coins(n)[::-1])[::-1], 0)
+        return at_least[np.clip((n - at) // 2 + 1, 0, n + 1)]
+
+    a, b = above(own), above(other)
+    return float(_coins(shared) @ (a * (1 - b) + b * (1 - a)))
+
+
+@lru_cache(4096)
+def radius(size: int, width: int, threshold: float) -> int:
+    """Bits in which the fingerprints of such a window and item may differ; -1 if they cannot be similar enough.
+
+    The least number of which two that share just enough differ in more with a chance below LOSS.
+    """
+    shared = least_shared(size, width, threshold)
+    if shared > min(size, width):
+        return -1
+    if size <= COUNTED:
+        share = _bit_differs(shared, size - shared, width - shared)
+    else:  # as often as the angle between both is of a half turn
+        share = acos(shared / sqrt(size * width)) / pi
+    beyond, most = 1.0, -1
+    while beyond > LOSS and most < BITS:
+        most += 1
+        beyond -= comb(BITS, most) * share**most * (1 - share) ** (BITS - most)
+    return most
+
+
+@dataclass
+class SizeIndex:
+    """The items of one size."""
+
+    items: np.ndarray  # places in the whole index
+    prints: np.ndarray  # SimHash of each
+    buckets: list[tuple[np.ndarray, np.ndarray]]  # per block: its distinct values, and which of them each item has
+    held: np.ndarray  # which of all shingles these items hold, as a mask
 
 
 @dataclass
@@ -44,10 +98,7 @@ class ItemIndex:
     sizes: np.ndarray  # shingles of each item
     shingles: np.ndarray  # sorted distinct hashes of all items
     counts: list[tuple[np.ndarray, np.ndarray]]  # per item: places in shingles, and their weights
-    prints: np.ndarray  # SimHash of each item
-    starts: np.ndarray  # per block and value: where its items begin in members
-    members: np.ndarray
-    by_size: dict[int, np.ndarray]  # shingles of items of that many shingles, as a mask
+    by_size: dict[int, SizeIndex]
     table: np.ndarray  # which 18-bit ends of hashes occur at all
 
 
@@ -62,43 +113,54 @@ def build_index(ids: np.ndarray, texts: pa.Array) -> ItemIndex:
     sizes = np.array([len(h) for h in hashes], np.int64)
     every = np.unique(np.concatenate([*hashes, np.zeros(0, U64)]))
     counts = [np.unique(np.searchsorted(every, h), return_counts=True) for h in hashes]
-    prints = np.concatenate([_fingerprint(_signs(h).sum(0, dtype=np.int64)[None]) for h in hashes] or [np.zeros(0, U64)])
-    blocks = _blocks(prints) + np.arange(BLOCKS) * (1 << _PER)
-    order = np.argsort(blocks.ravel(), kind="stable")
-    starts = np.searchsorted(blocks.ravel()[order], np.arange(BLOCKS * (1 << _PER) + 1))
     by_size = {}
     for size in np.unique(sizes):
+        mine = np.flatnonzero(sizes == size)
         mask = np.zeros(len(every), bool)
-        for i in np.flatnonzero(sizes == size):
+        for i in mine:
             mask[counts[i][0]] = True
-        by_size[int(size)] = np.packbits(mask)
+        own = np.concatenate([_fingerprint(_signs(hashes[i]).sum(0, dtype=np.int64)[None]) for i in mine])
+        buckets = [np.unique(block, return_inverse=True) for block in _blocks(own).T]
+        by_size[int(size)] = SizeIndex(mine, own, buckets, np.packbits(mask))
     table = np.zeros(1 << 18, bool)
     table[(every & U64((1 << 18) - 1)).astype(np.int64)] = True
-    return ItemIndex(ids, sizes, every, counts, prints, starts, order // BLOCKS, by_size, table)
+    return ItemIndex(ids, sizes, every, counts, by_size, table)
 
 
 def _blocks(prints: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(prints).view(np.uint8).reshape(-1, BLOCKS).astype(np.int64)
-
-
-def candidates(index: ItemIndex, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (window, item) whose fingerprints differ in at most RADIUS bits."""
-    windows, items = [], []
-    for at in range(0, len(prints), WINDOWS):
-        part = prints[at : at + WINDOWS]
-        probes = (_blocks(part)[:, :, None] ^ _NEAR) + (np.arange(BLOCKS) * (1 << _PER))[None, :, None]
-        probes = probes.reshape(len(part), -1)
-        first, n = index.starts[probes], index.starts[probes + 1] - index.starts[probes]
-        owner = np.repeat(np.arange(len(part)), n.sum(1))
-        n, first = n.ravel(), first.ravel()
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pairs = np.unique(owner * len(index.ids) + index.members[np.repeat(first, n) + inside])
-        window, item = pairs // len(index.ids), pairs % len(index.ids)
-        near = np.bitwise_count(part[window] ^ index.prints[item]) <= RADIUS
+    return np.ascontiguousarray(prints).view(np.uint16).reshape(-1, BLOCKS)
+
+
+def candidates(index: SizeIndex, prints: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (window, place in ``index.items``) whose fingerprints differ in at most ``most`` bits.
+
+    Of blocks that may differ in t1, t2, … bits, one does not if the (t + 1) add up to more than ``most``. So a bucket of
+    items with the same block is opened for the windows that are within the block's t of it, and the whole fingerprints
+    of the items in opened buckets are compared.
+    """
+    windows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at, touched in _touched(index, prints, most):
+        window, place = np.nonzero(touched)
+        differ = np.bitwise_count(prints[window + at] ^ index.prints[place])
+        near = differ.sum(1, dtype=np.int64) <= most
         windows.append(window[near] + at)
-        items.append(item[near])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([*windows, none]), np.concatenate([*items, none])
+        places.append(place[near])
+    return np.concatenate(windows), np.concatenate(places)
+
+
+def _touched(index: SizeIndex, prints: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first window, windows by items: is the item in a bucket that the window opens?)"""
+    step = max(1, CELLS // max(1, len(index.items)))
+    each, rest = divmod(most + 1, BLOCKS)
+    for at in range(0, len(prints), step):
+        part = _blocks(prints[at : at + step])
+        touched = np.zeros((len(part), len(index.items)), bool)
+        for b, (values, bucket) in enumerate(index.buckets):
+            within = each + (b < rest) - 1
+            if within >= 0:
+                opened = np.bitwise_count(part[:, b, None] ^ values) <= within
+                touched |= opened if len(values) == len(bucket) and (np.diff(bucket) > 0).all() else opened[:, bucket]
+        yield at, touched
 
 
 def similarity(index: ItemIndex, item: int, places: np.ndarray, size: int) -> float:
@@ -113,7 +175,9 @@ def similarity(index: ItemIndex, item: int, places: np.ndarray, size: int) -> fl
     return shared / (size + int(index.sizes[item]) - shared)
 
 
-def find_in(index: ItemIndex, texts: Texts, threshold: float) -> Iterator[tuple[int, int, int, int, float]]:
+def find_in(
+    index: ItemIndex, texts: Texts, threshold: float, every_window: bool = False
+) -> Iterator[tuple[int, int, int, int, float]]:
     """(text, item, first word, words, similarity) of the best window of each text and item."""
     words = words_of(texts, ALNUM)
     hashes, offsets = shingles_of(words, SHINGLE)
@@ -126,32 +190,38 @@ def find_in(index: ItemIndex, texts: Texts, threshold: float) -> Iterator[tuple[
     for text in np.unique(np.searchsorted(offsets, at, "right") - 1):
         lo, hi = offsets[text], offsets[text + 1]
         mine = (at >= lo) & (at < hi)
-        for item, start, size, value in _find_in_text(index, hashes[lo:hi], at[mine] - lo, place[mine], threshold):
+        found = _find_in_text(index, hashes[lo:hi], at[mine] - lo, place[mine], threshold, every_window)
+        for item, start, size, value in found:
             yield int(text), item, start, min(size + SHINGLE - 1, int(words.counts[text])), value
 
 
-def _find_in_text(index, hashes, at, place, threshold):
+def _find_in_text(index, hashes, at, place, threshold, every_window):
     """Windows of each item size that hold enough of its items' shingles to reach the threshold at all
     (the others cannot) are fingerprinted and looked up."""
     n = len(hashes)
     best: dict[int, tuple[float, int, int]] = {}
-    for size, packed in index.by_size.items():
+    for size, items in index.by_size.items():
         width = min(size, n)
-        need = threshold / (1 + threshold) * (size + width) - 1e-9
-        if len(at) < need:
+        need, most = least_shared(size, width, threshold), radius(size, width, threshold)
+        if most < 0 or len(at) < need:
             continue
-        mask = (packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
+        mask = (items.held[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
         hit = np.zeros(n + 1, np.int64)
         hit[at[mask] + 1] = 1
         hit = np.cumsum(hit)
         windows = np.flatnonzero(hit[width:] - hit[: n - width + 1] >= need)
-        for part in range(0, len(windows), WINDOWS):
-            starts = windows[part : part + WINDOWS]
-            lo, hi = int(starts[0]), int(starts[-1]) + width
-            sums = np.zeros((hi - lo + 1, BITS), np.int32)
-            np.cumsum(_signs(hashes[lo:hi]), axis=0, out=sums[1:])
-            prints = _fingerprint(sums[starts + width - lo] - sums[starts - lo])
-            for window, item in zip(*candidates(index, prints)):
+        part = 0
+        while part < len(windows):
+            end = min(part + WINDOWS, int(np.searchsorted(windows, windows[part] + SPAN)))
+            starts, part = windows[part:end], end
+            if every_window:
+                pairs = np.divmod(np.arange(len(starts) * len(items.items)), len(items.items))
+            else:
+                lo, hi = int(starts[0]), int(starts[-1]) + width
+                sums = np.zeros((hi - lo + 1, BITS), np.int32)
+                np.cumsum(_signs(hashes[lo:hi]), axis=0, out=sums[1:])
+                pairs = candidates(items, _fingerprint(sums[starts + width - lo] - sums[starts - lo]), most)
+            for window, item in zip(pairs[0], items.items[pairs[1]]):
                 start = int(starts[window])
                 i, j = np.searchsorted(at, [start, start + width])
                 value = similarity(index, item, place[i:j], width)
@@ -173,6 +243,7 @@ def match_benchmark(
     threshold: float = SIMILARITY,
     item_block: int = ITEM_BLOCK,
     into: str = "matches",
+    every_window: bool = False,
 ) -> DataFrame:
     """The frame with an array column ``into``: the benchmark items that a text holds, or nearly.
 
@@ -184,11 +255,14 @@ def match_benchmark(
 
     Windows of every item size and at every word are considered. Those with too few of the items'
     shingles to reach ``threshold`` are left out by counting, which loses none; the rest get a
-    64-bit SimHash, and eight blocks of it, changed in up to three bits each, look up every item
-    within 24 bits; the exact similarity then decides. At similarity 0.75 about one pair in 30,000
-    is farther apart than that, at 0.85 practically none.
-
-    Items are sent to the executors in blocks of ``item_block``, so what is broadcast is bounded.
+    128-bit SimHash, and eight blocks of it open the buckets of items of that size that hold every item within
+    the radius, which follows from the size and ``threshold``. The exact similarity then decides. Of pairs exactly at the
+    threshold about one in a million is farther apart, or more where a window repeats one shingle many times; above it
+    far fewer. ``every_window`` verifies all counted windows against all
+    items of their size instead, slowly: nothing is lost, so the difference is the loss.
+
+    Items are indexed in blocks of ``item_block``, each one broadcast; every executor holds all of them, some
+    200 bytes per word of the benchmark, so a benchmark has to fit in a worker.
     Row by row, no shuffle. NULL, empty and word-less texts and items match nothing; a text or item of
     fewer than five words is one shingle and only matches one of the same words. Repeated items are
     each listed, one with a NULL id too. A column called ``into`` is replaced.
@@ -198,11 +272,11 @@ def match_benchmark(
     found = []
     for b in range(blocks):
         mine = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        found.append(_matcher(df.sparkSession, mine, threshold)(F.col(text_col)))
+        found.append(_matcher(df.sparkSession, mine, threshold, every_window)(F.col(text_col)))
     return df.withColumn(into, found[0] if blocks == 1 else F.concat(*found))
 
 
-def _matcher(spark: SparkSession, items: DataFrame, threshold: float):
+def _matcher(spark: SparkSession, items: DataFrame, threshold: float, every_window: bool):
     rows = items.toArrow()
     ids = np.array(rows.column("id").to_pylist(), object)
     shared = spark.sparkContext.broadcast(build_index(ids, rows.column("text").combine_chunks()))
@@ -216,7 +290,7 @@ def _matcher(spark: SparkSession, items: DataFrame, threshold: float):
         for column in columns:
             out: list[list[tuple]] = [[] for _ in range(len(column))]
             for texts in chunks(column):
-                for text, item, *where in find_in(index, texts, threshold):
+                for text, item, *where in find_in(index, texts, threshold, every_window):
                     out[texts.first + text].append(dict(zip(kind.names, (index.ids[item], *where))))
             yield pa.array(out, pa.list_(kind))
 

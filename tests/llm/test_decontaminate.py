@@ -8,7 +8,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from featward.llm.decontaminate import BITS, RADIUS, _fingerprint, _signs, build_index, candidates, find_contamination
+from featward.llm.decontaminate import (
+    BITS,
+    _fingerprint,
+    _signs,
+    _touched,
+    build_index,
+    candidates,
+    find_contamination,
+    least_shared,
+    radius,
+)
 from featward.llm.queries import op2_decontaminate
 
 from .conftest import SF
@@ -67,32 +77,67 @@ def test_exact_and_altered_passages(spark, prose):
     assert got == brute(docs, items)
     assert len(got) > 60 and (203, 31) in got and (204, 31) not in got and (207, None) in got
     assert as_dict(find_contamination(frame, bench, item_block=10)) == got
+    assert as_dict(find_contamination(frame, bench, every_window=True)) == got
     twice = frame.filter("doc_id = 200").union(frame.filter("doc_id = 200"))
     assert find_contamination(twice, bench).count() == 2
     for empty in ((frame.limit(0), bench), (frame, bench.limit(0))):
         assert find_contamination(*empty).count() == 0
 
 
+def items_of(sizes, seed=1):
+    draw = np.random.default_rng(seed)
+    texts = pa.array([" ".join(f"v{x}" for x in draw.integers(0, 9000, n + 4)) for n in sizes])
+    return build_index(np.arange(len(sizes)), texts)
+
+
+def prints_of(hashes):
+    return _fingerprint(_signs(hashes).sum(0, dtype=int)[None])
+
+
 def test_lookup_finds_every_fingerprint_within_the_radius():
     draw = np.random.default_rng(1)
-    texts = pa.array([" ".join(f"v{x}" for x in draw.integers(0, 9000, 30)) for _ in range(300)])
-    index = build_index(np.arange(300), texts)
-    near = index.prints.copy()
-    for i in range(300):  # turn up to RADIUS bits
-        for bit in draw.choice(BITS, draw.integers(0, RADIUS + 1), replace=False):
-            near[i] ^= np.uint64(1 << int(bit))
-    pairs = set(zip(*map(np.ndarray.tolist, candidates(index, near))))
-    distance = np.bitwise_count(near[:, None] ^ index.prints[None, :])
-    assert pairs == set(zip(*map(np.ndarray.tolist, np.nonzero(distance <= RADIUS))))
-
-
-def test_similar_sets_have_near_fingerprints():
-    draw, far = np.random.default_rng(3), 0
-    for _ in range(400):
-        both, rest = draw.integers(0, 2**63, 36, dtype=np.uint64), draw.integers(0, 2**63, 12, dtype=np.uint64)
-        a, b = (_fingerprint(_signs(np.concatenate([both, x])).sum(0, dtype=int)[None]) for x in (rest[:6], rest[6:]))
-        far += int(np.bitwise_count(a ^ b)[0]) > RADIUS
-    assert far == 0  # 36 shared of 48: similarity 0.75
+    index = items_of([26] * 300).by_size[26]
+    for most in (0, 5, 7, 8, 24, 43):
+        near = index.prints.copy()
+        for i in range(300):  # turn up to so many bits
+            for bit in draw.choice(BITS, draw.integers(0, most + 1), replace=False):
+                near[i, bit // 64] ^= np.uint64(1 << int(bit % 64))
+        pairs = set(zip(*map(np.ndarray.tolist, candidates(index, near, most))))
+        distance = np.bitwise_count(near[:, None] ^ index.prints[None, :]).sum(2, dtype=int)
+        assert pairs == set(zip(*map(np.ndarray.tolist, np.nonzero(distance <= most)))) and len(pairs) >= 300
+
+
+def test_lookup_touches_few_items_in_little_memory():
+    """A benchmark of 4,600 items of 46 sizes: a window is compared with a small part of those of its own size."""
+    index = items_of([15 + i % 46 for i in range(4600)], 2)
+    draw = np.random.default_rng(3)
+    for size in (15, 30, 60):
+        items = index.by_size[size]
+        windows = np.concatenate([prints_of(draw.integers(0, 2**63, size, dtype=np.uint64)) for _ in range(512)])
+        most = radius(size, size, 0.75)
+        touched = sum(int(t.sum()) for _, t in _touched(items, windows, most))
+        assert len(items.items) == 100
+        assert touched < 0.02 * len(windows) * len(index.ids)
+        assert len(candidates(items, windows, most)[0]) < 0.001 * len(windows) * len(items.items)
+
+
+def test_recall_at_the_very_threshold():
+    """Sets that share just enough, of many sizes and of shorter texts: all within the radius."""
+    draw = np.random.default_rng(3)
+    far = tried = 0
+    for size in [*range(1, 40), 60, 150, 400]:
+        for width in {size, max(1, round(size * 0.8))}:
+            shared, most = least_shared(size, width, 0.75), radius(size, width, 0.75)
+            assert (most < 0) == (shared > min(size, width))
+            for _ in range(60 if most >= 0 else 0):
+                both = draw.integers(0, 2**63, shared, dtype=np.uint64)
+                a, b = (
+                    prints_of(np.concatenate([both, draw.integers(0, 2**63, n - shared, dtype=np.uint64)]))
+                    for n in (size, width)
+                )
+                far += int(np.bitwise_count(a ^ b).sum()) > most
+                tried += 1
+    assert tried > 3000 and far == 0
 
 
 def test_query(spark, duck):
