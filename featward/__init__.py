@@ -19,6 +19,7 @@ from featward.operators.positional import compare_csv, compare_positional
 from featward.operators.quality import non_numeric_values
 from featward.operators.rowmatch import frames_equal, match_rows, row_multiset_diff
 from featward.operators.score import assign_bin, class_id, score, scored_output
+from featward.operators.segments import assign_segment_bin
 from featward.session import get_spark
 from featward.sinks.delimited import write_delimited
 from featward.sinks.tables import drop_table, overwrite_table, recover_table
@@ -31,6 +32,7 @@ __all__ = [
     "TreeEnsemble",
     "align_columns",
     "assign_bin",
+    "assign_segment_bin",
     "class_id",
     "compare_csv",
     "compare_positional",

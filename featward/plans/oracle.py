@@ -303,6 +303,17 @@ FROM lineitem""",
         "FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN l_discount END AS d, "
         "CASE WHEN l_orderkey % 3 <> 0 THEN l_tax END AS t FROM lineitem)",
     ),
+    "assign_segment_bin": """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, (l_orderkey * 7 + l_linenumber * 13) % 1101 AS m FROM lineitem),
+bins AS (SELECT s_suppkey, place, place * 10 + s_suppkey % 7 AS low, place * 10 + s_suppkey % 7 + 4 + place * 5 % 17 AS high,
+                CAST(place * 37 % 100 + 2 AS INTEGER) AS number
+         FROM supplier, range(100) AS r(place) WHERE s_suppkey % 9 <> 4),
+found AS (SELECT l_suppkey, m, arg_max(number, place) AS number
+          FROM (SELECT DISTINCT l_suppkey, m FROM l) JOIN bins ON s_suppkey = l_suppkey AND m BETWEEN low AND high
+          GROUP BY l_suppkey, m)
+SELECT l_orderkey, l_linenumber, l.l_suppkey AS l_suppkey, CAST(l.m AS DOUBLE) / CAST(1000 AS DOUBLE) AS "PREDICTED_PROBA",
+       coalesce(number, 1) AS "BIN"
+FROM l LEFT JOIN found ON l.l_suppkey = found.l_suppkey AND l.m = found.m""",
     "assign_bin": f"""
 SELECT l_orderkey, l_linenumber, p AS "PREDICTED_PROBA", {_bin('p', '1')} AS "BIN"
 FROM (SELECT l_orderkey, l_linenumber,

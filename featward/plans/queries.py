@@ -16,6 +16,7 @@ from featward.operators.positional import compare_csv, compare_positional
 from featward.operators.quality import non_numeric_values
 from featward.operators.rowmatch import frames_equal, match_rows, row_multiset_diff
 from featward.operators.score import PROBA, assign_bin, class_id, score, scored_output
+from featward.operators.segments import assign_segment_bin
 from featward.plans.inputs import (
     LOGISTIC,
     RUN_DT,
@@ -357,6 +358,26 @@ def q_assign_bin(spark, sf_dir):
     return assign_bin(lines)
 
 
+def q_assign_segment_bin(spark, sf_dir):
+    """A hundred bins for every supplier but some, which overlap and leave gaps."""
+    proba = ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 1101) / F.lit(1000.0)
+    lines = table(spark, sf_dir, "lineitem").select(*LINE_KEYS, "l_suppkey", proba.alias(PROBA))
+    low = F.col("place") * 10 + F.col("s_suppkey") % 7
+    bins = (
+        table(spark, sf_dir, "supplier")
+        .filter(F.col("s_suppkey") % 9 != 4)
+        .select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("place"))
+        .select(
+            F.col("s_suppkey").alias("l_suppkey"),
+            "place",
+            (low / F.lit(1000.0)).alias("LOW_P"),
+            ((low + 4 + F.col("place") * 5 % 17) / F.lit(1000.0)).alias("HIGH_P"),
+            (F.col("place") * 37 % 100 + 2).alias("BIN"),
+        )
+    )
+    return assign_segment_bin(lines, bins, "l_suppkey", order_by="place")
+
+
 def q_class_id(spark, sf_dir):
     """Class ids over the whole line table; a line without a discount has a NULL bin."""
     proba = F.when(F.col("l_discount") > 0, F.col("l_discount") * 10)

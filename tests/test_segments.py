@@ -1,0 +1,73 @@
+"""Bins per segment against a plain search of each segment's bins."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from featward import assign_bin, assign_segment_bin
+from featward.functions.bins import DECISION_BINS
+
+NAN = float("nan")
+BINS = "seg string, LOW_P double, HIGH_P double, BIN int, n int"
+
+
+def plain(rows, bins, default):
+    found = []
+    for k, seg, p in rows:
+        own = [b for b in bins if b[0] is not None and b[0] == seg and None not in b[1:3]]
+        own = [b for b in own if p is not None and b[1] <= p <= b[2]]
+        found.append((k, seg, p, max(own, key=lambda b: (b[4], b[3]))[3] if own else default))
+    return sorted(found, key=repr)
+
+
+def test_against_a_plain_search(spark, rows):
+    draw = random.Random(4)
+    bins = [(None, 0.0, 1.0, 77, 0), ("gap", 0.2, 0.3, 5, 0), ("gap", 0.6, None, 6, 1), ("turned", 0.9, 0.1, 8, 0)]
+    bins += [("point", 0.5, 0.5, 9, 0), ("point", 0.4, 0.6, 3, -1), ("nan", NAN, 1.0, 4, 0), ("zero", -0.0, 0.0, 2, 0)]
+    for s in range(20):
+        for n in range(draw.randint(1, 130)):
+            low = draw.randint(0, 40) / 40
+            bins.append((f"s{s}", low, low + draw.randint(-1, 12) / 40, draw.randint(2, 99), n // 2))
+    segments = [*{b[0] for b in bins}, "none", None]
+    points = [*[i / 80 for i in range(-2, 100)], -0.0, None, NAN, float("inf")]
+    data = [(k, draw.choice(segments), draw.choice(points)) for k in range(6000)]
+    frame = spark.createDataFrame(data, "k int, seg string, p double")
+    found = assign_segment_bin(frame, spark.createDataFrame(bins, BINS), "seg", "p", order_by="n", default=-1)
+    assert found.columns == ["k", "seg", "p", "BIN"]
+    usable = [b for b in bins if b[1] == b[1]]
+    assert list(map(repr, rows(found))) == list(map(repr, plain(data, usable, -1)))  # NaN differs from itself
+
+
+def test_one_segment_with_the_decision_bins_is_assign_bin(spark, rows):
+    frame = spark.range(1300).selectExpr("id", "'x' AS seg", "(id - 100) / 1000.0D AS PREDICTED_PROBA")
+    bins = spark.createDataFrame([("x", *b) for b in DECISION_BINS], "seg string, LOW_P double, HIGH_P double, BIN int")
+    assert rows(assign_segment_bin(frame, bins, "seg")) == rows(assign_bin(frame))
+
+
+def test_names_types_and_empty_frames(spark, rows):
+    frame = spark.createDataFrame([(1, "a", 0.5, 7), (2, "b", 0.5, 8)], "`a.b` int, edges string, p float, bin int")
+    bins = spark.createDataFrame([("a", 0.0, 1.0, 3)], "edges string, low double, HIGH_P double, BIN int")
+    how = {"segment": ["edges"], "proba_col": "p", "low_col": "low", "default": F.col("bin")}
+    found = assign_segment_bin(frame, bins, **how)
+    assert found.columns == ["a.b", "edges", "p", "BIN"] and rows(found) == [(1, "a", 0.5, 3), (2, "b", 0.5, 8)]
+    assert [r[-1] for r in rows(assign_segment_bin(frame, bins.limit(0), **how))] == [7, 8]
+    assert rows(assign_segment_bin(frame.limit(0), bins, **how)) == []
+    two = spark.createDataFrame([(1, "a", 0.0, 1.0, 3), (1, "b", 0.0, 0.4, 4)], "`a.b` int, edges string, low double, HIGH_P double, BIN int")
+    assert rows(assign_segment_bin(frame, two, **how | {"segment": ["a.b", "edges"]}), "BIN") == [(3,), (8,)]
+    with pytest.raises(ValueError, match="missing"):
+        assign_segment_bin(frame, bins, "nothing", "p")
+
+
+def test_many_segments_without_a_nested_loop(spark, plan, setting):
+    """1,000 segments of 100 bins: one equi-join, whose search is generated code."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    bins = spark.range(100_000).selectExpr(
+        "id % 1000 AS seg", "id div 1000 / 100D AS LOW_P", "(id div 1000 + 1) / 100D AS HIGH_P", "CAST(id div 1000 AS int) AS BIN"
+    )
+    frame = spark.range(200_000).selectExpr("id", "id % 1000 AS seg", "(id * 7919 % 1000000) / 1000000D AS p")
+    found = assign_segment_bin(frame, bins, "seg", "p", default=-1)
+    text = plan(found)
+    assert "NestedLoop" not in text and "Cartesian" not in text and text.count("LeftOuter") == 1
+    wrong = found.filter("BIN <> least(CAST(floor(p * 100D) AS int), 99) AND abs(p * 100 - round(p * 100)) > 1e-9")
+    assert wrong.count() == 0 and found.filter("BIN < 0").count() == 0
