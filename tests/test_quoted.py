@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featward import compare_csv
+from featward.plans import queries
 from featward.sources import quoted
 from featward.sources.quoted import Records, header_names, line_states
 
@@ -134,3 +135,22 @@ def test_a_quoted_line_break_is_no_row(spark, tmp_path, rows):
     (tmp_path / "a.csv").write_text('k,v\n1,"x\ny"\n2,b\n')
     (tmp_path / "b.csv").write_text('k,v\n1,"x\ny"\n2,c\n')
     assert rows(compare_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "b.csv"))) == [(1, "v", "b", "c")]
+
+
+def test_the_query_writes_its_texts_in_many_tasks(spark, tmp_path, setting, monkeypatch):
+    """No part file holds much of the whole; rows of one doc_id, or of none, stay in the order of the input."""
+    setting(spark__sql__adaptive__coalescePartitions__enabled="false")
+    draw = random.Random(9)
+    texts = [None if i % 31 == 0 else f'{i}\n"{"word " * draw.randrange(40)}",' for i in range(2000)]
+    docs = [(None if i % 13 == 0 else i * 7 % 400, "en" if i % 3 else None, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    paths = iter([tmp_path / "a", tmp_path / "b"])
+    monkeypatch.setattr(queries, "new_scratch", lambda *_: str(next(paths)))
+    found = queries.q_compare_csv_line_breaks(spark, str(tmp_path))
+    ordered = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+    expected = [(i, "text", t, f'{t}\n"edited",\ntwice') for i, (d, _, t) in enumerate(ordered) if t and d is not None and d % 7 == 0]
+    assert sorted(map(tuple, found.collect())) == expected
+    for side in "ab":
+        sizes = [f.stat().st_size for f in (tmp_path / side).glob("part-*")]
+        assert max(sizes) < sum(sizes) / 3
