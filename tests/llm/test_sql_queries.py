@@ -5,6 +5,7 @@ import textwrap
 
 import pytest
 
+from featward.llm import jaccard
 from featward.llm.jaccard import jaccard_components
 from featward.llm.licenses import RULES, SENTENCES, anchor_words, plain_sentence, scan_licenses
 from featward.llm.queries import LLM_ORACLE, LLM_QUERIES, URL_RULES
@@ -298,6 +299,37 @@ def test_jaccard_against_brute_force(spark, prose):
     assert {tuple(r) for r in got.collect()} == brute_components(rows)
 
 
+def near_copies(prose, copies):
+    """Copies of one text with edits at some places of their own, some too many to link."""
+    import random
+
+    draw = random.Random(5)
+    base, rows = prose(99, 150, 5000).split(), []
+    for i in range(copies):
+        words = list(base)
+        for at in draw.sample(range(150), draw.choice((1, 1, 2, 2, 3, 5))):
+            words[at] = f"e{draw.randrange(4)}"
+        rows.append((i * 7 % copies, " ".join(words)))
+    return rows
+
+
+def test_jaccard_of_a_large_group_of_near_copies(spark, prose, monkeypatch):
+    """Pairs that are verified grow with the documents, not with the square of the group."""
+    verified, original = [], jaccard._verified
+
+    def counted(pairs, texts):
+        verified.append(pairs.count())
+        return original(pairs, texts)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    monkeypatch.setattr(jaccard, "MEETINGS", 0)
+    rows = near_copies(prose, 240)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in jaccard_components(frame).collect()} == brute_components(rows)
+    assert sum(verified) < 20 * len(rows)
+    assert len(verified) > 2  # more rounds of few pairs
+
+
 def test_jaccard_edges(spark, prose):
     text = prose(1, 40)
     rows = [(None, text), (5, text), (5, text), (7, text), (8, None)]
