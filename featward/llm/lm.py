@@ -18,6 +18,7 @@ from featward.session import new_scratch
 
 BEGIN, END = U64(0x9AE16A3B2F90404F), U64(0xC949D7C7509E6557)  # before the first word, after the last
 FLUSH = 4_000_000  # tokens a task counts before it hands the counts on
+MOST_MAPPED = 1 << 15  # files a worker keeps mapped: Linux allows a process 65,530 mappings
 COLUMNS = ("context", "n1", "n2", "n3", "before", "times")  # of a word, see _word_counts
 
 
@@ -215,11 +216,14 @@ _mapped: dict[str, dict[str, np.ndarray]] = {}
 
 def _arrays(model: KneserNey, name: str) -> dict[str, np.ndarray]:
     key = f"{model.path}/{name}"
-    if key not in _mapped:
-        if len(_mapped) and next(iter(_mapped)).rpartition("/")[0] != model.path:
-            _mapped.clear()  # another model's
-        _mapped[key] = map_arrays(key)
-    return _mapped[key]
+    if key in _mapped:
+        return _mapped[key]
+    if len(_mapped) and next(iter(_mapped)).rpartition("/")[0] != model.path:
+        _mapped.clear()  # another model's
+    found = map_arrays(key)
+    if len(_mapped) < MOST_MAPPED:  # files are looked into in turn, so one that is let go would be the next to be mapped
+        _mapped[key] = found
+    return found
 
 
 def _look_up(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,13 +1,17 @@
 """The Kneser-Ney model against plain Python, and its probabilities' sum."""
 
 import math
+import os
 import re
+import resource
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
+from featward.llm import lm
+from featward.llm.arrays import map_arrays, save_arrays
 from featward.llm.lm import (
     END,
     KneserNey,
@@ -114,3 +118,41 @@ def test_probabilities_add_up_to_one(spark, prose):
     for context in (hashes[0], hashes[3], hashes[-2]):
         scores, _ = log_probabilities(model, np.full(len(hashes), context), hashes)
         assert (10**scores).sum() == pytest.approx(1.0)
+
+
+def test_more_files_than_a_process_may_open(spark, prose, setting, monkeypatch):
+    setting(spark__sql__shuffle__partitions="64")
+    texts = [prose(i, 60, 300) for i in range(40)]
+    model = fit_kneser_ney(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    ((part),) = chunks(__import__("pyarrow").array(texts))
+    before, token, _ = lm.tokens_of(part)
+    files = {(k, b) for k, of in (("words", lm._range(token, 64)), ("bigrams", lm._bucket(before, token, 64))) for b in of}
+    assert model.buckets == 64 and len(files) > 100
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    free = os.dup(0)
+    os.close(free)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (free + 64, hard))
+    try:
+        scores, times = log_probabilities(model, before, token)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    plain = Plain(texts)
+    w = [tokens(t) for t in texts]
+    assert scores == pytest.approx([math.log10(plain.p(*x)) for v in w for x in zip(v, v[1:])], abs=1e-6)
+    monkeypatch.setattr(lm, "MOST_MAPPED", 3)
+    lm._mapped.clear()
+    again, times_again = log_probabilities(model, before, token)
+    assert len(lm._mapped) == 3 and (again == scores).all() and (times_again == times).all()
+
+
+def test_mapped_arrays(tmp_path):
+    empty, kinds = np.zeros(0, np.uint64), (np.uint64, np.uint32, np.float64)
+    for name, arrays in (
+        ("none", {"a": empty}),
+        ("some", {"a": empty, **{str(k): np.arange(5).astype(k) for k in kinds}, "z": empty.astype("<u4")}),
+    ):
+        save_arrays(f"{tmp_path}/{name}", arrays)
+        found = map_arrays(f"{tmp_path}/{name}")
+        assert list(found) == list(arrays)
+        assert all(found[n].dtype == a.dtype and found[n].tolist() == a.tolist() for n, a in arrays.items())
+    assert map_arrays(f"{tmp_path}/missing") == {}
