@@ -48,7 +48,7 @@ def _bucket(before: np.ndarray, token: np.ndarray, buckets: int) -> np.ndarray:
     spread = max(1, buckets // 12)
     step = buckets // spread
     first = (before >> U64(32)) % U64(buckets) + (token >> U64(32)) % U64(spread) * U64(step)
-    return (first % U64(buckets)).astype(np.int64)
+    return (first % U64(buckets)).astype(np.min_scalar_type(buckets))
 
 
 def _range(words: np.ndarray, buckets: int) -> np.ndarray:
@@ -63,6 +63,15 @@ def _added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
 
+def _order(*columns: np.ndarray) -> np.ndarray:
+    """Places in rising order by the last column, then by the one before it, as np.lexsort has them but for the order
+    of equal rows, in about half the time; 16-bit columns are sorted by radix."""
+    order = np.argsort(columns[0])
+    for column in columns[1:]:
+        order = order[np.argsort(column[order], kind="stable")]
+    return order
+
+
 def _fitting(counts: np.ndarray) -> np.ndarray:
     """Counts with bytes enough for the largest."""
     return counts.astype("<u4" if counts.max(initial=0) < 1 << 32 else "<u8")
@@ -77,7 +86,7 @@ def _count(df: DataFrame, buckets: int) -> DataFrame:
         def flush():
             before, token = (np.concatenate(c) for c in zip(*held))
             bucket = _bucket(before, token, buckets)
-            order = np.lexsort((token, before, bucket))
+            order = _order(token, before, bucket)
             before, token, bucket = before[order], token[order], bucket[order]
             new = np.ones(len(order), bool)
             new[1:] = (before[1:] != before[:-1]) | (token[1:] != token[:-1])
@@ -125,7 +134,7 @@ def _word_counts(counted: DataFrame, path: str, buckets: int) -> DataFrame:
             before = np.concatenate([np.repeat(unpack_sorted(r["before"]), unpack(r["runs"])) for r in found])
             token = np.concatenate([np.frombuffer(r["tokens"], U64) for r in found])
             times = np.concatenate([unpack(r["times"]).astype(np.int64) for r in found])
-            order = np.lexsort((token, before))
+            order = _order(token, before)
             before, token, times = before[order], token[order], times[order]
             new = np.ones(len(order), bool)
             new[1:] = (before[1:] != before[:-1]) | (token[1:] != token[:-1])
@@ -249,7 +258,7 @@ def _of_words(model: KneserNey, words: np.ndarray) -> dict[str, np.ndarray]:
 def _of_bigrams(model: KneserNey, before: np.ndarray, token: np.ndarray) -> np.ndarray:
     """How often the model has seen each bigram."""
     bucket, keys = _bucket(before, token, model.buckets), combine([before, token])
-    order = np.lexsort((keys, bucket))
+    order = _order(keys, bucket)
     keys = keys[order]
     cuts = np.searchsorted(bucket[order], np.arange(model.buckets + 1))
     times = np.zeros(len(keys))
